@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import sys
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -317,7 +318,7 @@ class TokenCounter:
         return np.add.reduceat(numbers, first)
 
 
-_COUNTERS: dict[int, TokenCounter] = {}
+_COUNTERS: dict[str, TokenCounter] = {}  # one a Python worker, kept between tasks
 
 
 def token_counts(df: DataFrame, tokenizer_path: str, text: str = "text", limit: int = 512) -> DataFrame:
@@ -329,15 +330,16 @@ def token_counts(df: DataFrame, tokenizer_path: str, text: str = "text", limit:
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
+    own = uuid.uuid4().hex
     names = [c for c in df.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in names)
     schema = ", ".join(x for x in (schema, "n_bytes long, n_tokens long, over_limit boolean") if x)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = _COUNTERS.get(shared.id)
+        counter = _COUNTERS.get(own)
         if counter is None:
             _COUNTERS.clear()
-            counter = _COUNTERS[shared.id] = TokenCounter(shared.value)
+            counter = _COUNTERS[own] = TokenCounter(shared.value)
         for rows in batches:
             texts = [t if isinstance(t, str) else "" for t in rows["_text"]]
             result = rows[names].copy()
