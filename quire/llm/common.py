@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 FOLDS = 4
 HELD_OUT = 2
+ROWS_AT_ONCE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,3 +58,30 @@ def in_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
         size += len(text) + 1
     if batch:
         yield batch
+
+
+def with_texts(df: DataFrame, text: str, fields: str, start: Callable[[], Callable[[list[str | None]], list]]) -> DataFrame:
+    """df's columns but the text, and the fields ("name type, ..."), which a function of a batch's texts computes.
+
+    start() runs once in each task and returns the function, which gives one array or list for each field. The other columns pass
+    through as Arrow data, so their nulls and long integers stay as they are. A column of df with the name of a field is replaced.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    added = StructType.fromDDL(fields)
+    names = [c for c in df.columns if c != text and c not in added.names]
+    rows = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("_text"))
+    schema = StructType([*[StructField(f.name, f.dataType) for f in rows.schema if f.name != "_text"], *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = start()
+        types = to_arrow_schema(schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                made = apply(part.column(len(names)).to_pylist())
+                columns = [part.column(i).cast(types.field(i).type) for i in range(len(names))]
+                columns += [pa.array(x, type=types.field(len(names) + i).type, from_pandas=False) for i, x in enumerate(made)]
+                yield pa.RecordBatch.from_arrays(columns, schema=types)
+
+    return rows.mapInArrow(run, schema)

@@ -23,8 +23,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.simhash import near_copies
+
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts,)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

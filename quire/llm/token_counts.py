@@ -13,14 +13,10 @@ import json
 import sys
 import unicodedata
 import uuid
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from quire.llm.common import in_batches
+from quire.llm.common import in_batches, with_texts
 
 CHUNK = 64
 BATCH_CHARS = 2_000_000
@@ -331,21 +327,18 @@ def token_counts(df: DataFrame, tokenizer_path: str, text: str = "text", limit:
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
     own = uuid.uuid4().hex
-    names = [c for c in df.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in names)
-    schema = ", ".join(x for x in (schema, "n_bytes long, n_tokens long, over_limit boolean") if x)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         counter = _COUNTERS.get(own)
         if counter is None:
             _COUNTERS.clear()
             counter = _COUNTERS[own] = TokenCounter(shared.value)
-        for rows in batches:
-            texts = [t if isinstance(t, str) else "" for t in rows["_text"]]
-            result = rows[names].copy()
-            result["n_bytes"] = np.array([len(t.encode()) for t in texts], np.int64)
-            result["n_tokens"] = counter.counts(texts)
-            result["over_limit"] = result["n_tokens"] > limit
-            yield result
-
-    return df.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("_text")).mapInPandas(run, schema)
+
+        def apply(texts: list[str | None]) -> list:
+            texts = [t or "" for t in texts]
+            tokens = counter.counts(texts)
+            return [np.array([len(t.encode()) for t in texts], np.int64), tokens, tokens > limit]
+
+        return apply
+
+    return with_texts(df, text, "n_bytes long, n_tokens long, over_limit boolean", start)
