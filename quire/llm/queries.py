@@ -29,8 +29,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.common import kept_fold
+    from quire.llm.toxicity import fit, toxic_scores
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxic_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", kept_fold("doc_id").alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.media import text_media
+
+    return text_media(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("media", "tile")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
