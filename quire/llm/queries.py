@@ -44,8 +44,17 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("media", "tile")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.common import kept_fold
+    from quire.llm.language import fit, languages
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = languages(docs.drop("lang"), fit(docs))
+    return found.select("doc_id", kept_fold("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language)}
 
 
 def oracle_sql() -> dict[str, str]:
