@@ -53,8 +53,14 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", kept_fold("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.sentencepiece import encoded
+
+    return encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
