@@ -59,8 +59,14 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.sharding import sharded
+
+    return sharded(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
