@@ -65,8 +65,14 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.mixing import mixed
+
+    return mixed(table(spark, sf_dir, "documents")).drop("source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
