@@ -71,8 +71,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.html_text import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing, op2_html)}
 
 
 def oracle_sql() -> dict[str, str]:
