@@ -29,20 +29,24 @@ def kept_fold(doc_id: str) -> Column:
     return F.coalesce(held_out(doc_id), F.lit(False))
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """df computed once and stored in the shared checkpoint folder, so that a lost executor costs no recomputation.
-
-    The folder is spark.checkpoint.dir. Where that is unset the session must be local (tests), and a temporary one is set.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset the session must be local (tests),
+    and a temporary one is set."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            folder = tempfile.mkdtemp(prefix="quire-checkpoints-")
+    known = sc._jsc.sc().getCheckpointDir()
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="quire-checkpoints-")
+    if known.isEmpty():
         sc.setCheckpointDir(folder)
+    return folder
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """df computed once and stored in the shared checkpoint folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -77,8 +77,16 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.hamming_search import sign_code, top_k
+
+    codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code("embedding").alias("code"))
+    found = top_k(codes, codes.filter("id % 20 = 0"), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing, op2_html)}
+    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing, op2_html, op6_topk)}
 
 
 def oracle_sql() -> dict[str, str]:
