@@ -30,6 +30,9 @@ GROUPS = 6
 SEGMENTS = 32
 CELL_LIMIT = 1 << 16
 SHINGLES_AT_ONCE = 100_000
+BANDS, BAND = 16, 3
+LOOSE = 0.15  # how far below the similarity a sketch may estimate a pair that is then compared exactly
+RUN = 1024
 _LOW = np.uint64(0x5555555555555555)
 _ONE = np.uint64(1)
 
@@ -211,3 +214,120 @@ def near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width
     classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = reliable(rooted.join(classes, "root").select("fp", "component_id"))
     return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(run, SEED) for run in shingles(text, width)], np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """BANDS * BAND minima of the hashes under as many multiplications; zeros without hashes."""
+    rng = np.random.default_rng(17)
+    factors = rng.integers(0, 2**63, BANDS * BAND, dtype=np.uint64) * np.uint64(2) + _ONE
+    if not len(hashes):
+        return np.zeros(len(factors), np.uint64)
+    best = np.full(len(factors), np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 4096):
+        mixed = hashes[at : at + 4096, None] * factors
+        mixed ^= mixed >> np.uint64(29)
+        best = np.minimum(best, (mixed * np.uint64(0x9E3779B97F4A7C15)).min(axis=0))
+    return best
+
+
+def stars(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
+    """(a, b): within each band's cell, which comes whole and sorted by sketch, members and the pivot that they resemble. A cell is worked on in
+    runs of RUN; members that are alike lie close together, and meet in other bands' cells as well."""
+    held: list = []
+    last = None
+
+    def edges() -> list[tuple[int, int]]:
+        fp = np.array([h[0] for h in held], np.int64)
+        own = np.frombuffer(b"".join(h[1] for h in held), np.uint8).reshape(len(held), -1)
+        left = np.arange(len(fp))
+        out = []
+        while len(left) > 1:
+            at, left = left[0], left[1:]
+            near = (own[left] == own[at]).mean(axis=1) >= least
+            out += [(int(fp[at]), int(fp[x])) for x in left[near] if fp[x] != fp[at]]
+            left = left[~near]
+        return out
+
+    for batch in batches:
+        found: list[tuple[int, int]] = []
+        for band, cell, fp, own in zip(batch["band"].tolist(), batch["cell"].tolist(), batch["fp"].tolist(), batch["own"]):
+            if (band, cell) != last or len(held) >= RUN:
+                if len(held) > 1:
+                    found += edges()
+                held, last = [], (band, cell)
+            held.append((fp, own))
+        if found:
+            a = np.array(found, np.int64)
+            yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
+    if len(held) > 1 and (found := edges()):
+        a = np.array(found, np.int64)
+        yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
+
+
+def resembling(edges: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The edges (a, b) whose texts have a Jaccard similarity of their shingle sets of at least similarity. texts: fp, text, one row each."""
+    left = texts.select(F.col("fp").alias("a"), F.col("text").alias("one"))
+    right = texts.select(F.col("fp").alias("b"), F.col("text").alias("two"))
+    pairs = edges.repartition("a", "b").join(left, "a").join(right, "b").select("a", "b", "one", "two")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for one, two in zip(batch["one"], batch["two"]):
+                x, y = shingle_hashes(one or "", width), shingle_hashes(two or "", width)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.loc[keep, ["a", "b"]]
+
+    return pairs.mapInPandas(run, "a long, b long")
+
+
+def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, radius: int = RADIUS) -> DataFrame:
+    """The rows of df that stay when of each group of near copies the one with the smallest id does.
+
+    Near copies resemble each other by similarity or more: the Jaccard similarity of their sets of width-word shingles, which is
+    computed for every candidate pair. Candidates are the links of the fingerprints within the radius, and, as copies at such a similarity differ in many more
+    bits than a 64-bit fingerprint's grid reaches, pairs that agree in a band of a sketch of the same shingle hashes. Texts with one
+    fingerprint are one. Of repeated rows one stays; rows with null ids stay unless a row with an id is in their group; empty texts are one group.
+    """
+    hashed = df.withColumn("_text", F.col(text))
+
+    def start():
+        def apply(texts):
+            prints, keys, own = [], [], []
+            for t in texts:
+                prints.append(fingerprint(t or "", width))
+                best = sketch(shingle_hashes(t or "", width))
+                keys.append([xxhash.xxh64_intdigest(best[k * BAND : (k + 1) * BAND].tobytes()) >> 1 for k in range(BANDS)])
+                own.append((best >> np.uint64(56)).astype(np.uint8).tobytes())
+            return [prints, keys, own]
+
+        return apply
+
+    rows = reliable(with_texts(hashed.select(F.col(doc_id).alias("doc_id"), "_text"), "_text", "fp long, keys array<long>, own binary", start))
+    points = reliable(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min_by("keys", "doc_id").alias("keys"), F.min_by("own", "doc_id").alias("own")))
+    placed = points.filter("keys is not null").select("fp", "own", F.posexplode("keys").alias("band", "cell"))
+    starred = placed.repartition("band", "cell").sortWithinPartitions("band", "cell", "own", "fp").mapInPandas(lambda it: stars(it, similarity - LOOSE), "a long, b long")
+    edges = linked(points.select("fp"), radius).unionByName(starred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ids = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct()
+    wanted = reliable(points.join(ids, "fp").select("fp", "least"))
+    texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text")).join(wanted, "least").groupBy("fp").agg(F.min("text").alias("text"))
+    roots = components(resembling(edges, texts, width, similarity))
+    rooted = points.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    # The smallest id of a group, and of groups without any id one fingerprint.
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least"), F.min("fp").alias("own_fp")).select(
+        "least", F.when(F.col("least").isNull(), F.col("own_fp")).alias("own_fp")
+    )
+    with_id = df.join(kept.filter("least is not null").select(F.col("least").alias("_kept")).distinct(), F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
+    without = df.filter(F.col(doc_id).isNull())
+    if without.isEmpty():
+        return with_id
+    nameless = fingerprints(without.withColumn("_text", F.col(text)), "_text", width)
+    nameless = nameless.join(kept.filter("own_fp is not null").select(F.col("own_fp").alias("fp")), "fp", "left_semi").dropDuplicates(["fp"])
+    return with_id.unionByName(nameless.drop("fp"))
