@@ -70,7 +70,7 @@ def image_descriptions(raw: DataFrame, mode: str = "compat") -> DataFrame:
     as_list = F.from_json("value", "array<struct<name: string, description: string, image_filename: string, ai_description: string>>")
     is_list = F.ltrim("value").startswith("[")
     other = (lambda x, y: x) if mode == "compat" else (lambda x, y: F.coalesce(x, y))
-    records = F.transform(as_list, lambda r, i: F.struct(F.coalesce(other(r.name, r.image_filename), F.concat(F.lit("img_"), i.cast("string"))).alias("image"), F.coalesce(other(r.description, r.ai_description), F.lit("")).alias("description")))
+    records = F.transform(as_list, lambda r, i: F.struct(F.coalesce(other(r.getField("name"), r.image_filename), F.concat(F.lit("img_"), i.cast("string"))).alias("image"), F.coalesce(other(r.description, r.ai_description), F.lit("")).alias("description")))
     entries = F.transform(F.map_entries(as_map), lambda e: F.struct(e.key.alias("image"), e.value.alias("description")))
     return raw.select("book_name", F.explode(F.when(is_list, records).otherwise(entries)).alias("x")).select("book_name", "x.*")
 
