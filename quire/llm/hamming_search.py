@@ -2,8 +2,8 @@
 
 A code is cut into SEGMENTS segments, each an index. In the round with segment radius s a query probes, in every index, all
 values within s bits of its own segment: by the pigeonhole principle that finds every code within SEGMENTS * (s + 1) - 1 bits.
-The query is done once that many bits hold k verified rows; the others go on with s + 1. When a round would probe more values than there are
-codes, the queries left are compared with all codes instead, in blocks. Equal codes are one entry with their smallest ids, and equal queries one query.
+The query is done once that many bits hold k verified rows; the others go on with s + 1. When a round would probe SCAN times as many values as there are
+codes, the table is too small for the method, and the queries left are compared with all codes instead, in blocks. Equal codes are one entry with their smallest ids, and equal queries one query.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from quire.llm.common import reliable
 SEGMENTS = 4
 WIDTH = 16
 BLOCK_CODES = 4096
+SCAN = 4  # probes find few codes in common, comparisons all of them again
 
 
 def sign_code(vector: str) -> Column:
@@ -44,7 +45,8 @@ def probed(queries: DataFrame, index: DataFrame, s: int) -> DataFrame:
     """(query, distance, id) within SEGMENTS * (s + 1) - 1 bits, each once."""
     masks = F.split(F.lit(",".join(str(x) for x in range(1 << WIDTH) if x.bit_count() <= s)), ",").cast("array<long>")
     own = F.array(*[F.struct(F.lit(j).alias("j"), segment(F.col("query"), j).alias("value")) for j in range(SEGMENTS)])
-    probes = queries.select("query", F.explode(own).alias("at")).select("query", F.col("at.j").alias("j"), F.col("at.value").alias("own"), F.explode(masks).alias("mask"))
+    # One query gives thousands of probes: they are dealt out first.
+    probes = queries.repartition("query").select("query", F.explode(own).alias("at")).select("query", F.col("at.j").alias("j"), F.col("at.value").alias("own"), F.explode(masks).alias("mask"))
     probes = probes.select("query", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
     other = F.col("query").bitwiseXOR(F.col("code"))
     # Of the segments that find a code, the first one counts.
@@ -85,7 +87,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     renewed = lambda df: df.select(F.col("query").alias("asked"), F.col("found").alias("found"))
     s = 0
     while not left.isEmpty():
-        if SEGMENTS * sum(comb(WIDTH, w) for w in range(s + 1)) >= size.codes:
+        if SEGMENTS * sum(comb(WIDTH, w) for w in range(s + 1)) >= SCAN * size.codes:
             found = reliable(nearest(scanned(left, points, max(1, -(-size.codes // BLOCK_CODES))), keep))
             answers = renewed(found) if answers is None else answers.unionByName(renewed(found))
             break
