@@ -1,0 +1,28 @@
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__
+
+ROOT = Path(__file__).resolve().parents[1]
+SF = Path("/root/testdata/sf0.001")
+
+
+def test_names():
+    queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+    assert set(sql) <= set(queries) and {"size_distribution", "table_markers"} <= set(queries)
+
+
+@pytest.mark.skipif(not SF.is_dir(), reason="no test tables")
+def test_workers_find_the_package_from_another_folder(tmp_path):
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+import __spark_entry__ as e
+print("rows", e.queries()["table_markers"](spark, {str(SF)!r}).count(), e.entry(spark).count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "rows 200 6" in done.stdout, done.stderr[-2000:]
