@@ -339,3 +339,7 @@ def count_formulas(text: Column) -> Column:
     """Block formulas, then inline ones outside them."""
     block = r"(?s)\$\$.+?\$\$"
     return (F.regexp_count(text, F.lit(block)) + F.regexp_count(F.regexp_replace(text, block, ""), F.lit(r"(?<!\$)\$[^$\n]+\$(?!\$)"))).cast("int")
+
+
+def nullif_empty(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))

@@ -170,3 +170,14 @@ def chunk_rows(chunks: DataFrame) -> DataFrame:
     """Adds the position of a chunk in its book, by file and index."""
     order = Window.partitionBy("book_name").orderBy("source_file", "chunk_index")
     return chunks.withColumn("position", (F.row_number().over(order) - 1).cast("int"))
+
+
+def sizes_by_type(chunks: DataFrame, threshold: int = CHUNK_SIZE) -> DataFrame:
+    """(book_name, chunk_type, n, chars, oversized), with the totals of each book, of each type and of all (nulls)."""
+    chars = F.length("text")
+    return chunks.cube("book_name", "chunk_type").agg(F.count("*").alias("n"), F.sum(chars).alias("chars"), F.count_if(chars > threshold).alias("oversized"))
+
+
+def oversized(chunks: DataFrame, threshold: int = CHUNK_SIZE) -> DataFrame:
+    """The chunks over the threshold, largest first."""
+    return chunks.withColumn("chars", F.length("text")).filter(F.col("chars") > threshold).orderBy(F.desc("chars"), "book_name", "source_file")

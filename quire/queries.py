@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import boundaries, chapters, chunks, extraction, headings
+from quire.operators import articles, boundaries, chapters, chunks, extraction, headings
 from quire.plans import corpus, points, registry
 from quire.plans.corpus import pages, toc
 
@@ -388,3 +388,61 @@ def image_context(spark, sf):
 @query(r"""select page_id, cast(len(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>')) as int) as paragraphs, cast(length(regexp_replace(regexp_replace(html, '<p(?:\s[^>]*)?>', '', 'g'), '</p>', '', 'g')) as int) as chars from pages""")
 def html_p_removal(spark, sf):
     return corpus.view(spark, sf, "pages").select("page_id", F.regexp_count("html", F.lit(r"(?is)<p(?:\s[^>]*)?>")).alias("paragraphs"), F.length(T.clean(F.col("html"), "html_p_tags")).alias("chars"))
+
+
+@query("""select book_name, cast(case when doc_id % 2 = 0 then 'text' else 'table' end as varchar) as chunk_type, count(*) as n, sum(length(text)) as chars, count(*) filter (where length(text) > 1200) as oversized from {p}
+ group by cube(book_name, case when doc_id % 2 = 0 then 'text' else 'table' end)""")
+def size_by_book(spark, sf):
+    d = pages(spark, sf).withColumn("chunk_type", F.when(F.col("doc_id") % 2 == 0, "text").otherwise("table"))
+    return chunks.sizes_by_type(d)
+
+
+@query("select book_name, file as source_file, cast(length(text) as int) as chars from {p} where length(text) > 1200")
+def oversized(spark, sf):
+    return chunks.oversized(pages(spark, sf).withColumnRenamed("file", "source_file")).select("book_name", "source_file", "chars")
+
+
+@query("select book_name, md5(string_agg(raw_text, chr(10) order by ord)) as text from {toc} group by book_name")
+def contents_text(spark, sf):
+    t = toc(spark, sf).select("book_name", F.lpad(F.col("ord").cast("string"), 8, "0").alias("file"), F.col("raw_text").alias("text"))
+    return articles.joined_contents(t).select("book_name", text_of("text"))
+
+
+@query("select cast(conv_id as varchar) as file, md5(string_agg(text, chr(10) || chr(10) order by turn)) as text, sum(turn) as images, cast(sum(length(role)) as bigint) as formulas from conversations group by conv_id")
+def merged_parts(spark, sf):
+    d = corpus.view(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("file"), F.col("turn").alias("part"), "text", F.col("turn").alias("images"), F.length("role").alias("formulas"))
+    return articles.merged_parts(d).select("file", text_of("text"), "images", "formulas")
+
+
+@query("select doc_id, source || '/' || doc_id as id, replace(source || '/' || doc_id, '/', '_') || '.pdf' as pdf_file from documents where doc_id % 6 <> 0")
+def articles_to_download(spark, sf):
+    a = corpus.view(spark, sf, "documents").select("doc_id", F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("arxiv_id"))
+    log, files = a.filter("doc_id % 2 = 0"), a.filter("doc_id % 3 = 0").select(T.article_file_name(F.col("arxiv_id")).alias("file"))
+    return articles.to_download(a, log, files).select("doc_id", F.col("arxiv_id").alias("id"), T.article_file_name(F.col("arxiv_id")).alias("pdf_file"))
+
+
+@query("select page_id, url, row_number() over (order by page_id desc) as place from pages qualify place <= 10")
+def article_search(spark, sf):
+    d = corpus.view(spark, sf, "pages").select(F.col("page_id").alias("arxiv_id"), "url", F.col("page_id").alias("published"), F.col("page_id").alias("updated"))
+    found = articles.search(d, 10)
+    return found.select(F.col("arxiv_id").alias("page_id"), "url").withColumn("place", F.expr("row_number() over (order by page_id desc)").cast("long"))
+
+
+@query("select source, count(*) as files, sum(n_chars) as bytes from documents group by rollup(source)")
+def folder_statistics(spark, sf):
+    d = corpus.view(spark, sf, "documents").select(F.col("source").alias("folder"), F.col("n_chars").alias("bytes"))
+    return articles.folder_statistics(d).select(F.col("folder").alias("source"), "files", "bytes")
+
+
+@query("select book_name, file, 'C ' || doc_id as caption, '<table>' || page_no || '</table>' as html from {p}")
+def answered_tables(spark, sf):
+    fence = F.when(F.col("doc_id") % 2 == 0, F.lit("```json\n")).otherwise("")
+    comma = F.when(F.col("doc_id") % 3 == 0, ",").otherwise("")
+    answer = F.concat(fence, F.lit('[{"caption": "C '), F.col("doc_id"), F.lit('", "html": "<table>'), F.col("page_no"), F.lit('</table>"}'), comma, F.lit("]"), F.when(F.col("doc_id") % 2 == 0, "\n```").otherwise(""))
+    return articles.answered_tables(pages(spark, sf).withColumn("answer", answer)).drop("idx")
+
+
+@query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
+def step_totals(spark, sf):
+    e = corpus.view(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_name"), F.col("event_type").alias("step"), F.floor("value").alias("seconds"), F.lit(1).alias("prompt_tokens"), F.lit(1).alias("completion_tokens"))
+    return registry.step_totals(e).select(F.col("book_name").cast("long").alias("user_id"), F.col("step").alias("event_type"), "calls", "seconds")

@@ -98,3 +98,29 @@ def citation_contexts(tei: DataFrame, width: int = 400) -> DataFrame:
     before = F.right(bare(F.array_join(F.slice("parts", F.lit(1), F.col("at")), "")), F.lit(width // 2))
     after = F.left(bare(F.regexp_replace("part", r"(?s)\A<ref\b[^>]*>.*?</ref>", "")), F.lit(width // 2))
     return each.select("file", F.regexp_extract("part", r'target="#([^"]*)"', 1).alias("ref_id"), marker.alias("marker"), F.concat(before, marker, after).alias("context"))
+
+
+def stage_books(pages: DataFrame) -> DataFrame:
+    """(book_name, files) of a stage."""
+    return pages.groupBy("book_name").agg(F.count("*").alias("files"))
+
+
+def with_crops(pages: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Pages whose stem has a file of boxes (book_name, stem)."""
+    return pages.withColumn("stem", F.regexp_replace("file", r"\.[^.]*\z", "")).join(boxes.select("book_name", "stem"), ["book_name", "stem"], "left_semi")
+
+
+def write_stage(df: DataFrame, path: str) -> None:
+    """A stage table by book; a rerun replaces the books that it has, and the stage that was read stays as it is."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("book_name").parquet(path)
+
+
+def append_log(rows: DataFrame, path: str) -> None:
+    """Adds rows to the step log."""
+    rows.write.mode("append").parquet(path)
+
+
+def export_csv(df: DataFrame, path: str) -> None:
+    """A report as CSV with a header; lists are joined by semicolons."""
+    flat = [F.array_join(F.col(n).cast("array<string>"), "; ").alias(n) if t.startswith("array") else F.col(n) for n, t in df.dtypes]
+    df.select(*flat).write.mode("overwrite").option("header", True).csv(path)

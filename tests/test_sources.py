@@ -54,3 +54,32 @@ def test_ingest(spark, tmp_path):
     (tmp_path / "in/C/parsed/011.md").write_text("new")
     run()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_articles(spark):
+    from quire.operators import articles
+
+    tei = (
+        '<TEI><teiHeader><title>A  <i>b</i></title><persName><forename>X</forename><surname>Y</surname></persName><date when="2001-02"/><idno type="DOI">10/1</idno></teiHeader>'
+        '<text><body>See <ref type="bibr" target="#b0">(Z)</ref>.</body><listBibl><biblStruct xml:id="b0"><title>T</title><persName>Z</persName><date when="1999"/></biblStruct></listBibl></text></TEI>'
+    )
+    d = spark.createDataFrame([("f", tei)], "file string, value string")
+    m = articles.metadata(d).first()
+    assert (m.title, m.authors, m.year, m.doi, m.abstract) == ("A b", ["X Y"], "2001", "10/1", None)
+    row = articles.cited(files.citation_contexts(d), articles.bibliography(d)).first()
+    assert (row.ref_id, row.title, row.authors, row.year) == ("b0", "T", ["Z"], "1999")
+    a = spark.createDataFrame([("B", "1", "Таблица 1 x\nТаблица 2 y\n<table>1</table> and <table>2</table>"), ("B", "2", "none")], "book_name string, file string, answer string")
+    assert [(r.idx, r.caption, r.html) for r in articles.answered_tables(a).orderBy("idx").collect()] == [(0, "Таблица 1 x", "<table>1</table>"), (1, "", "<table>2</table>")]
+
+
+def test_stage_tables_and_reports(spark, tmp_path):
+    d = spark.createDataFrame([("B", "1.md", ["x", "y"]), ("C", "2.md", None)], "book_name string, file string, authors array<string>")
+    files.write_stage(d, str(tmp_path / "s"))
+    files.write_stage(d.filter("book_name = 'B'"), str(tmp_path / "s"))
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 2 and files.stage_books(d).count() == 2
+    files.append_log(d, str(tmp_path / "l"))
+    files.append_log(d, str(tmp_path / "l"))
+    assert spark.read.parquet(str(tmp_path / "l")).count() == 4
+    files.export_csv(d, str(tmp_path / "csv"))
+    assert sorted(r.authors or "" for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()) == ["", "x; y"]
+    assert files.with_crops(d, spark.createDataFrame([("B", "1")], "book_name string, stem string")).count() == 1
