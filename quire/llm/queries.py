@@ -89,5 +89,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing, op2_html, op6_topk)}
 
 
+OP6_SQL = """
+select query_id, cast(rank as int) as rank, vec_id, distance from (
+  select query_id, vec_id, distance, row_number() over (partition by query_id order by distance, vec_id) as rank from (
+    select q.vec_id as query_id, r.vec_id,
+      cast(list_sum(list_transform(range(1, 65), lambda i: case when (q.embedding[i] > 0) <> (r.embedding[i] > 0) then 1 else 0 end)) as int) as distance
+    from embeddings q join embeddings r on q.vec_id <> r.vec_id where q.vec_id % 20 = 0))
+where rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others need models, hashes or automata that SQL lacks; tests/llm compares them with brute force."""
+    return {"op6_topk": OP6_SQL}
