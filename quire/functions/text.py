@@ -55,6 +55,20 @@ def clean_all(text: Column, enabled: list[str] | None = None) -> Column:
     return reduce(clean, [k for k in ARTIFACTS if enabled is None or k in enabled], text)
 
 
+def clean_report(text: Column, enabled: list[str] | None = None) -> Column:
+    """struct(text, counts, modified): the cleaned text, and how much each step found in what the steps before left."""
+    now, counts = text, []
+    for artifact, patterns in ARTIFACTS.items():
+        if enabled is not None and artifact not in enabled:
+            continue
+        n = F.lit(0)
+        for i, pattern in enumerate(patterns):
+            n = n + F.regexp_count(now, F.lit(pattern))
+            now = F.regexp_replace(now, pattern, REPLACEMENTS[artifact][i] if artifact in REPLACEMENTS else "")
+        counts.append(n.cast("int").alias(artifact))
+    return F.struct(now.alias("text"), F.struct(*counts).alias("counts"), (now != text).alias("modified"))
+
+
 def page_number(file: Column) -> Column:
     """The first run of digits of a file name."""
     return F.regexp_extract(file, r"(\d+)", 1).try_cast("int")

@@ -60,6 +60,13 @@ def artifact_clean(spark, sf):
     return d.select("book_name", "page_no", text_of("cleaned", "t"), F.length("t").cast("long").alias("n"))
 
 
+@query(_CLEAN + r""" select e.book_name, count(*) as n, count(*) filter (where e.t <> p.text) as modified, sum(len(regexp_extract_all(c.t, '\$\$q'))) as latex
+ from e join {p} on e.book_name = p.book_name and e.page_no = p.page_no join c on c.book_name = e.book_name and c.page_no = e.page_no group by e.book_name""")
+def artifact_report(spark, sf):
+    d = pages(spark, sf).select("book_name", T.clean_report(F.col("text")).alias("r"))
+    return d.groupBy("book_name").agg(F.count("*").alias("n"), F.count_if("r.modified").alias("modified"), F.sum(F.floor(F.col("r.counts.latex") / 2)).alias("latex"))
+
+
 _TAGGED = r"""with s as (select book_name, page_no, file, text, regexp_extract(file, '(\d+)', 1) as num,
   string_split(regexp_replace(regexp_replace(regexp_replace(text, ' {2,}', ' ', 'g'), '\n{2,}', chr(10), 'g'), '\.{4,}', '...', 'g'), chr(10)) as ls from {p}),
  tagged as (select book_name, page_no, file, array_to_string(list_transform(ls, lambda x: case when regexp_matches(x, '^[\s\x{85}\x{A0}\x{2000}-\x{200A}\x{3000}]*(#|$)') then x else '<' || num || '> ' || x end), chr(10)) as text from s)"""
