@@ -25,8 +25,8 @@ from quire.llm.automaton import ByteAutomaton
 from quire.llm.common import in_batches, with_texts
 
 MARKER = "▁"
-CACHE_WORDS = 400_000
-BATCH_CHARS = 2_000_000
+CACHE_WORDS = 250_000
+BATCH_CHARS = 1_000_000
 LOCKSTEP_CELLS = 1 << 20
 LONG_WORD = 4096
 LONGEST_KEPT = 64
