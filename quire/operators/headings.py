@@ -43,8 +43,8 @@ def heading_candidates(lines: DataFrame) -> DataFrame:
 def matches(found: DataFrame, toc: DataFrame) -> DataFrame:
     """found with strategy, entry (the ord of the entry matched) and new_level, null without a match.
 
-    Strategies in order: exact number, longest parent number, special key, paragraph sign, equal text, prefix, word overlap. Texts are
-    compared by joins on equal text, on equal first letters and on shared words, never all with all.
+    Strategies in order: A exact number, B longest parent number, C special key, D paragraph sign, E equal text, F prefix, G word overlap. Two
+    joins find the entries: one on keys of numbers and special words, one on shared words and first letters; never all with all.
     """
     entries = toc_entries(toc)
     keys = ["book_name", "looked"]
@@ -54,35 +54,41 @@ def matches(found: DataFrame, toc: DataFrame) -> DataFrame:
     looked = looked.withColumn("sign", F.transform(F.split(sign, r"\."), lambda x: x.cast("int")))
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("looked", r"\A(\d+(?:\.\d+)+)[.\s]*", ""), SPECIAL_HEAD, ""), r"\A§\s*(\d+(?:\.\d+)+)[.\s]*", "")
     looked = looked.withColumn("norm", T.normalized(F.regexp_replace(bare, r"\.+\z", "")))
-    numbered = entries.filter("section_key is not null").groupBy("book_name", "section_key").agg(F.max_by("ord", "ord").alias("ord"), F.max_by("level", "ord").alias("level"))
-    named = entries.filter("special is not null").groupBy("book_name", "special").agg(F.max_by("ord", "ord").alias("ord"), F.max_by("level", "ord").alias("level"))
-    hit = lambda df, strategy, score, order: df.select(*keys, F.lit(strategy).alias("strategy"), score.alias("score"), order.alias("cand_ord"), "ord", "level")
-    none = F.struct(F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"))
-    prefixes = looked.filter("section is not null").select(*keys, "section", F.explode(F.sequence(F.lit(1), F.size("section"))).alias("n"))
-    prefixes = prefixes.withColumn("section_key", F.slice("section", F.lit(1), F.col("n"))).join(numbered, ["book_name", "section_key"])
-    exact = F.col("n") == F.size("section")
-    a = hit(prefixes.filter(exact), "A", F.lit(0.0), none)
-    b = hit(prefixes.filter(~exact), "B", F.col("n").cast("double"), none)
-    c = hit(looked.filter("special is not null").join(named, ["book_name", "special"]), "C", F.lit(0.0), none)
-    d = hit(looked.filter("sign is not null").withColumnRenamed("sign", "section_key").join(numbered, ["book_name", "section_key"]), "D", F.lit(0.0), none)
-    texts = entries.filter("normalized <> ''").select("book_name", "normalized", "cand_ord", "ord", "level")
-    words = looked.filter("norm <> ''").select(*keys, "norm")
-    e = hit(words.join(texts, (words.norm == texts.normalized) & (words.book_name == texts.book_name)).drop(texts.book_name), "E", F.lit(0.0), F.col("cand_ord"))
-    head = lambda x: F.substring(x, 1, LEAST_PREFIX)
-    pairs = words.withColumn("head", head(F.col("norm"))).join(texts.withColumn("head", head(F.col("normalized"))), ["book_name", "head"])
+
+    number = lambda x: F.concat(F.lit("n:"), F.array_join(x, "."))
+    special = F.concat(F.lit("s:"), F.col("special.keyword"), F.lit(":"), F.col("special.number").cast("string"))
+    offer = lambda strategy, score, key: F.struct(strategy.alias("strategy"), score.cast("double").alias("score"), key.alias("key"))
+    none = F.array().cast("array<struct<strategy: string, score: double, key: string>>")
+    size = F.size("section")
+    offers = F.concat(
+        F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda n: offer(F.when(n == size, "A").otherwise("B"), n, number(F.slice("section", F.lit(1), n))))).otherwise(none),
+        F.when(F.col("special").isNotNull(), F.array(offer(F.lit("C"), F.lit(0), special))).otherwise(none),
+        F.when(F.col("sign").isNotNull(), F.array(offer(F.lit("D"), F.lit(0), number(F.col("sign"))))).otherwise(none),
+    )
+    numbered = entries.withColumn("key", F.coalesce(number(F.col("section_key")), special)).filter("key is not null")
+    numbered = numbered.groupBy("book_name", "key").agg(F.max("ord").alias("ord"), F.max_by("level", "ord").alias("level"))  # of equal keys the last entry
+    first = F.struct(F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"))
+    by_key = looked.select(*keys, F.explode(offers).alias("o")).select(*keys, "o.*").join(numbered, ["book_name", "key"])
+    by_key = by_key.select(*keys, "strategy", "score", first.alias("cand_ord"), "ord", "level")
+
+    def handles(x: Column) -> Column:
+        words = F.transform(F.array_distinct(F.split(x, " ")), lambda w: F.concat(F.lit("t:"), w))
+        return F.explode(F.when(F.length(x) >= LEAST_PREFIX, F.concat(words, F.array(F.concat(F.lit("h:"), F.substring(x, 1, LEAST_PREFIX))))).otherwise(words))
+
+    texts = entries.filter("normalized <> ''").select("book_name", "normalized", "cand_ord", "ord", "level", handles(F.col("normalized")).alias("key"))
+    words = looked.filter("norm <> ''").select(*keys, "norm", handles(F.col("norm")).alias("key"))
+    pairs = words.join(texts, ["book_name", "key"]).select(*keys, "norm", "normalized", "cand_ord", "ord", "level").distinct()
     long_enough = (F.length("norm") >= LEAST_PREFIX) & (F.length("normalized") >= LEAST_PREFIX)
-    f = hit(pairs.filter(long_enough & (F.col("norm").startswith(F.col("normalized")) | F.col("normalized").startswith(F.col("norm")))), "F", F.lit(0.0), F.col("cand_ord"))
-    token = lambda df, x: df.withColumn("token", F.explode(F.array_distinct(F.split(x, " "))))
-    shared = token(words, F.col("norm")).join(token(texts, F.col("normalized")), ["book_name", "token"]).select(*keys, "norm", "normalized", "cand_ord", "ord", "level").distinct()
-    shared = shared.withColumn("overlap", T.token_overlap(F.col("norm"), F.col("normalized")))
+    prefix = F.col("norm").startswith(F.col("normalized")) | F.col("normalized").startswith(F.col("norm"))
+    overlap = T.token_overlap(F.col("norm"), F.col("normalized"))
     enough = F.least(F.size(F.split("norm", " ")), F.size(F.split("normalized", " "))) >= LEAST_TOKENS
-    g = hit(shared.filter((F.col("overlap") >= LEAST_OVERLAP) & enough), "G", F.col("overlap"), F.col("cand_ord"))
-    every = a
-    for x in (b, c, d, e, f, g):
-        every = every.unionByName(x)
+    strategy = F.when(F.col("norm") == F.col("normalized"), "E").when(long_enough & prefix, "F").when((overlap >= LEAST_OVERLAP) & enough, "G")
+    by_text = pairs.withColumn("strategy", strategy).filter("strategy is not null").select(
+        *keys, "strategy", F.when(F.col("strategy") == "G", overlap).otherwise(0.0).alias("score"), "cand_ord", "ord", "level"
+    )
     order = Window.partitionBy(*keys).orderBy("strategy", F.desc("score"), "cand_ord")
-    best = every.withColumn("place", F.row_number().over(order)).filter("place = 1").select(*keys, "strategy", F.col("ord").alias("entry"), F.col("level").alias("new_level"))
-    return found.join(best, keys, "left")
+    best = by_key.unionByName(by_text).withColumn("place", F.row_number().over(order)).filter("place = 1")
+    return found.join(best.select(*keys, "strategy", F.col("ord").alias("entry"), F.col("level").alias("new_level")), keys, "left")
 
 
 def aligned_lines(pages: DataFrame, toc: DataFrame, remove_unmatched: bool = True) -> DataFrame:
