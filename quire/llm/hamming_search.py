@@ -54,7 +54,8 @@ def probed(queries: DataFrame, index: DataFrame, s: int) -> DataFrame:
     for j in range(SEGMENTS - 1):
         first = first & ((F.col("p.j") <= j) | (F.bit_count(segment(other, j)) > s))
     on = (F.col("p.j") == F.col("i.j")) & (F.col("p.value") == F.col("i.value")) & (F.bit_count(other) < SEGMENTS * (s + 1)) & first
-    return probes.alias("p").join(index.alias("i"), on).select("query", F.bit_count(other).alias("distance"), F.explode("ids").alias("id"))
+    # The number of probes is not bounded, and adaptive execution would judge it by the few rows before the explode: no broadcast.
+    return probes.alias("p").hint("merge").join(index.alias("i").hint("merge"), on).select("query", F.bit_count(other).alias("distance"), F.explode("ids").alias("id"))
 
 
 def scanned(queries: DataFrame, points: DataFrame, blocks: int) -> DataFrame:
