@@ -27,13 +27,14 @@ PAGES_SQL = f"""
 select book_name, source, doc_id, cast(page_no as int) as page_no, lpad(cast(page_no as string), 5, '0') || '.md' as file, {_TEXT} as text
 from ({_BASE}) base"""
 
-# Entries with altered levels; every seventh page's heading is missing, and one entry has no page.
+# Entries with altered levels; those of every seventh page are missing, and one entry of each book has no page.
 TOC_SQL = f"""
 select book_name, cast(page_no as bigint) as ord,
   case when page_no % 5 = 1 then 'Раздел ' || cast(page_no as string) || ' Общие сведения ..... ' || cast(page_no as string)
        else '1.' || cast(page_no as string) || '. Тема номер ' || cast(page_no as string) || ' .... 12' end as raw_text,
   cast(case when page_no % 4 = 0 then 3 when page_no % 5 = 1 then 1 else 2 end as int) as level
-from ({_BASE}) base where (page_no % 5 = 1 or page_no % 2 = 0) and page_no % 7 <> 3"""
+from ({_BASE}) base where (page_no % 5 = 1 or page_no % 2 = 0) and page_no % 7 <> 3
+union all select distinct 'Author ' || source || ', Title ' || source, cast(1000000 as bigint), 'Послесловие без страницы', 2 from documents"""
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -205,9 +205,7 @@ def figure_sequence_gaps(spark, sf):
 @query(r"""select book_name, count(*) as total, count(*) filter (where page_no % 7 <> 3 and (case when page_no % 4 = 0 then 3 when page_no % 5 = 1 then 1 else 2 end) <> (case when page_no % 5 = 1 then 1 else 2 end)) as wrong_level from {p}
  where page_no % 5 = 1 or page_no % 2 = 0 group by book_name""")
 def toc_mismatch_counts(spark, sf):
-    p = pages(spark, sf)
-    d = headings.mismatch_counts(p.withColumn("text", F.substring_index("text", "\n", 1)), toc(spark, sf))
-    return d.select("book_name", "total", "wrong_level")
+    return headings.mismatch_counts(pages(spark, sf), toc(spark, sf)).select("book_name", "total", "wrong_level")
 
 
 @query()
@@ -222,9 +220,9 @@ def toc_aligned(spark, sf):
     return headings.aligned_pages(pages(spark, sf), toc(spark, sf)).select("book_name", "file", text_of("text"))
 
 
-@query()
+@query("select book_name, ord, raw_text from {toc} where raw_text = 'Послесловие без страницы'")
 def toc_uncovered(spark, sf):
-    return headings.uncovered_entries(pages(spark, sf).filter("page_no % 3 <> 0").withColumn("text", F.substring_index("text", "\n", 1)), toc(spark, sf)).select("book_name", "ord", "raw_text")
+    return headings.uncovered_entries(pages(spark, sf), toc(spark, sf)).select("book_name", "ord", "raw_text")
 
 
 def _marked(spark, sf):
