@@ -116,9 +116,12 @@ def aligned_pages(pages: DataFrame, toc: DataFrame, remove_unmatched: bool = Tru
 
 def mismatch_counts(pages: DataFrame, toc: DataFrame) -> DataFrame:
     """(book_name, total, wrong_level, not_in_toc, correct) of the marked headings."""
-    d = aligned_lines(pages, toc).filter("kind = 'heading'")
-    n = lambda outcome: F.count_if(F.col("outcome") == outcome)
-    return d.groupBy("book_name").agg(F.count("*").alias("total"), n("fixed_level").alias("wrong_level"), n("removed_hash").alias("not_in_toc"), n("unchanged").alias("correct"))
+    lines = pages.select("book_name", "file", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    d = matches(heading_candidates(lines).filter("kind = 'heading'"), toc).withColumn("old_level", F.length(F.regexp_extract("line", HEADING, 1)))
+    level = F.col("new_level")
+    return d.groupBy("book_name").agg(
+        F.count("*").alias("total"), F.count_if(level != F.col("old_level")).alias("wrong_level"), F.count_if(level.isNull()).alias("not_in_toc"), F.count_if(level == F.col("old_level")).alias("correct")
+    )
 
 
 def uncovered_entries(pages: DataFrame, toc: DataFrame) -> DataFrame:
