@@ -33,6 +33,7 @@ SHINGLES_AT_ONCE = 100_000
 BANDS, BAND = 16, 3
 LOOSE = 0.15  # how far below the similarity a sketch may estimate a pair that is then compared exactly
 RUN = 1024
+GROUP_LIMIT = 2_000_000  # shingles of a group of candidates that one task compares
 _LOW = np.uint64(0x5555555555555555)
 _ONE = np.uint64(1)
 
@@ -235,9 +236,9 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return best
 
 
-def stars(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
-    """(a, b): within each band's cell, which comes whole and sorted by sketch, members and the pivot that they resemble. A cell is worked on in
-    runs of RUN; members that are alike lie close together, and meet in other bands' cells as well."""
+def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
+    """(a, b): edges that join the members of a band's cell, which comes whole and sorted by sketch, that chains of resembling sketches connect. A cell is
+    worked on in runs of RUN; members that are alike lie close together, and meet in other bands' cells as well."""
     held: list = []
     last = None
 
@@ -247,10 +248,15 @@ def stars(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFram
         left = np.arange(len(fp))
         out = []
         while len(left) > 1:
-            at, left = left[0], left[1:]
-            near = (own[left] == own[at]).mean(axis=1) >= least
-            out += [(int(fp[at]), int(fp[x])) for x in left[near] if fp[x] != fp[at]]
-            left = left[~near]
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                at = queue.pop()
+                near = (own[left] == own[at]).mean(axis=1) >= least
+                if near.any():
+                    hits = left[near]
+                    out += [(int(fp[at]), int(fp[x])) for x in hits]
+                    queue.extend(hits.tolist())
+                    left = left[~near]
         return out
 
     for batch in batches:
@@ -269,56 +275,111 @@ def stars(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFram
         yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
 
 
-def resembling(edges: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The edges (a, b) whose texts have a Jaccard similarity of their shingle sets of at least similarity. texts: fp, text, one row each."""
-    left = texts.select(F.col("fp").alias("a"), F.col("text").alias("one"))
-    right = texts.select(F.col("fp").alias("b"), F.col("text").alias("two"))
-    pairs = edges.repartition("a", "b").join(left, "a").join(right, "b").select("a", "b", "one", "two")
+def links_of_sets(names: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges that join the sets that chains of Jaccard similarities of at least similarity connect. Each set is compared with all that are not joined yet."""
+    sizes = np.array([len(s) for s in sets])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(codes, kind="stable")
+    holders, held = np.repeat(np.arange(len(sets)), sizes)[order], codes[order]
+    starts = np.searchsorted(held, np.arange(codes.max(initial=-1) + 2))
+    left, indexed = np.ones(len(sets), bool), len(sets)
+    edges = []
+    for root in range(len(sets)):
+        if not left[root]:
+            continue
+        left[root] = False
+        queue = [root]
+        while queue and (rest := int(left.sum())):
+            if 2 * rest < indexed:  # the index forgets what is joined
+                kept = left[holders]
+                holders, held, indexed = holders[kept], held[kept], rest
+                starts = np.searchsorted(held, np.arange(len(starts)))
+            at = queue.pop()
+            own = codes[bounds[at] : bounds[at + 1]]
+            lengths = starts[own + 1] - starts[own]
+            ends = np.cumsum(lengths)
+            places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[own] - ends + lengths, lengths)
+            both = np.bincount(holders[places], minlength=len(sets))
+            hits = np.flatnonzero(left & (both >= similarity * (sizes + sizes[at] - both)))
+            left[hits] = False
+            queue.extend(hits.tolist())
+            edges.extend((names[at], names[h]) for h in hits.tolist())
+    return edges
+
+
+def meetings(members: DataFrame, limit: int) -> DataFrame:
+    """members (group, size and others) with i, j: a group whose sizes add up to more than limit is dealt into blocks, and any two of its blocks meet in a
+    cell (group, i, j), so each two members meet."""
+    blocks = members.groupBy("group").agg(F.ceil(F.sum("size") / limit).alias("blocks"))
+    dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("fp", F.lit(11)), F.greatest("blocks", F.lit(1))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1))).filter("blocks <= 1 or other <> block")
+    return dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "block", "other")
+
+
+def resembling(met: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(a, b): edges between the members of each cell (group, i, j) that chains of exact Jaccard similarities of their shingle sets, of at least similarity,
+    connect. met: group, i, j, fp, text; of rows with one fp the first text counts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names: list[int] = []
+        sets: list[np.ndarray] = []
+        last = None
+
+        def edges() -> Iterator[pd.DataFrame]:
+            if len(names) > 1 and (found := links_of_sets(names, sets, similarity)):
+                a = np.array(found, np.int64)
+                yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
+
         for batch in batches:
-            keep = []
-            for one, two in zip(batch["one"], batch["two"]):
-                x, y = shingle_hashes(one or "", width), shingle_hashes(two or "", width)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["a", "b"]]
+            for group, i, j, fp, text in zip(*(batch[c].tolist() for c in ("group", "i", "j", "fp", "text"))):
+                if (group, i, j) != last:
+                    yield from edges()
+                    names, sets, last = [], [], (group, i, j)
+                if not names or names[-1] != fp:
+                    names.append(fp)
+                    sets.append(shingle_hashes(text or "", width))
+        yield from edges()
 
-    return pairs.mapInPandas(run, "a long, b long")
+    dealt = met.select("group", "i", "j", "fp", "text").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "fp", "text")
+    return dealt.mapInPandas(run, "a long, b long")
 
 
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, radius: int = RADIUS) -> DataFrame:
     """The rows of df that stay when of each group of near copies the one with the smallest id does.
 
-    Near copies resemble each other by similarity or more: the Jaccard similarity of their sets of width-word shingles, which is
-    computed for every candidate pair. Candidates are the links of the fingerprints within the radius, and, as copies at such a similarity differ in many more
-    bits than a 64-bit fingerprint's grid reaches, pairs that agree in a band of a sketch of the same shingle hashes. Texts with one
-    fingerprint are one. Of repeated rows one stays; rows with null ids stay unless a row with an id is in their group; empty texts are one group.
+    Near copies resemble each other by similarity or more: the exact Jaccard similarity of their sets of width-word shingles. Candidates are the links of the
+    fingerprints within the radius, and, as copies at such a similarity differ in many more bits than a 64-bit fingerprint's grid reaches, pairs that agree in
+    a band of a sketch of the same shingle hashes and whose sketches resemble each other. Chains of candidates only form groups: within a group any two
+    texts are compared exactly unless links join them already, so no link is hidden by a candidate that fails. Texts with one fingerprint are one.
+    Of repeated rows one stays; rows with null ids stay unless a row with an id is in their group; empty texts are one group.
     """
     hashed = df.withColumn("_text", F.col(text))
 
     def start():
         def apply(texts):
-            prints, keys, own = [], [], []
+            prints, sizes, keys, own = [], [], [], []
             for t in texts:
                 prints.append(fingerprint(t or "", width))
-                best = sketch(shingle_hashes(t or "", width))
+                hashes = shingle_hashes(t or "", width)
+                sizes.append(len(hashes))
+                best = sketch(hashes)
                 keys.append([xxhash.xxh64_intdigest(best[k * BAND : (k + 1) * BAND].tobytes()) >> 1 for k in range(BANDS)])
                 own.append((best >> np.uint64(56)).astype(np.uint8).tobytes())
-            return [prints, keys, own]
+            return [prints, sizes, keys, own]
 
         return apply
 
-    rows = reliable(with_texts(hashed.select(F.col(doc_id).alias("doc_id"), "_text"), "_text", "fp long, keys array<long>, own binary", start))
-    points = reliable(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min_by("keys", "doc_id").alias("keys"), F.min_by("own", "doc_id").alias("own")))
+    rows = reliable(with_texts(hashed.select(F.col(doc_id).alias("doc_id"), "_text"), "_text", "fp long, size long, keys array<long>, own binary", start))
+    points = reliable(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.max("size").alias("size"), F.min_by("keys", "doc_id").alias("keys"), F.min_by("own", "doc_id").alias("own")))
     placed = points.filter("keys is not null").select("fp", "own", F.posexplode("keys").alias("band", "cell"))
-    starred = placed.repartition("band", "cell").sortWithinPartitions("band", "cell", "own", "fp").mapInPandas(lambda it: stars(it, similarity - LOOSE), "a long, b long")
-    edges = linked(points.select("fp"), radius).unionByName(starred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    chained = placed.repartition("band", "cell").sortWithinPartitions("band", "cell", "own", "fp").mapInPandas(lambda it: alike(it, similarity - LOOSE), "a long, b long")
+    edges = linked(points.select("fp"), radius).unionByName(chained.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    ids = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct()
-    wanted = reliable(points.join(ids, "fp").select("fp", "least"))
-    texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text")).join(wanted, "least").groupBy("fp").agg(F.min("text").alias("text"))
-    roots = components(resembling(edges, texts, width, similarity))
+    grouped = components(edges)
+    members = reliable(points.join(grouped, F.col("fp") == F.col("node")).select(F.col("root").alias("group"), "fp", "least", "size"))
+    texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text"))
+    roots = components(resembling(texts.join(meetings(members, GROUP_LIMIT), "least"), width, similarity))
     rooted = points.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # The smallest id of a group, and of groups without any id one fingerprint.
     kept = rooted.groupBy("root").agg(F.min("least").alias("least"), F.min("fp").alias("own_fp")).select(
