@@ -35,10 +35,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix takes their words, rounded, and once at least if it takes any. Rows without an id count as one document."""
-    taken = mixing.mixed(docs).filter("taken > 0").groupBy(F.col("doc_id").alias("of")).agg(F.max(F.col("taken") / F.col("size")).alias("times"))
-    repeats = F.greatest(F.round("times"), F.lit(1)).cast("int")
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("of"))).select(*COLUMNS, F.explode(F.sequence(F.lit(1), repeats)).alias("_copy")).select(*COLUMNS)
+    """A document comes taken / size times, where the mix takes that many of its words: the whole part always, the rest by a draw from a hash of its id, so
+    the words of each source follow its target in expectation. Rows of one source with one id, or without one, have their common ratio."""
+    taken = mixing.mixed(docs).filter("size > 0").groupBy(F.col("doc_id").alias("of"), F.col("source").alias("within")).agg((F.sum("taken") / F.sum("size")).alias("times"))
+    joined = docs.join(taken.filter("times > 0"), F.col("doc_id").eqNullSafe(F.col("of")) & F.col("source").cast("string").eqNullSafe(F.col("within")))
+    # Rows without an id draw by their text.
+    drawn = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), F.lit(9)), F.lit(1 << 30)) / (1 << 30)
+    repeats = F.floor(F.col("times") + drawn).cast("int")
+    return joined.withColumn("_repeats", repeats).filter("_repeats > 0").select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("_repeats"))).alias("_copy")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,3 +100,30 @@ def test_copies_within_a_template_family(spark, limit, monkeypatch):
     assert len(want) == 60
     got = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == want
+
+
+def test_emitted_words_follow_the_targets(spark):
+    """A hot source, whose target is 0.65 of its size or less, and sources that are repeated."""
+    import random
+    from collections import Counter
+
+    from quire.llm import mixing
+
+    rng = random.Random(6)
+    rows = []
+    for i in range(6000):
+        source = "src1" if rng.random() < 0.22 else f"src{rng.randrange(6)}"
+        n = rng.choice([0, 5, 40, 120, 200, 300])
+        rows.append((i if i % 10 else None, " ".join(["w"] * (n - 1) + [f"w{i}"]) if n else "", "en", source, n))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").cache()
+    target = {r.source: r.target for r in mixing.mixed(docs).select("source", "target").distinct().collect()}
+    sizes, emitted = Counter(), Counter()
+    for r in rows:
+        sizes[r[3]] += len(r[1].split())
+    out = P.mix_sources(spark, docs, "").collect()
+    for r in out:
+        emitted[r.source] += len(r.text.split())
+    assert target["src1"] < 0.7 * sizes["src1"] and set(map(tuple, out)) <= set(rows)
+    assert all(abs(emitted[s] / target[s] - 1) < 0.1 for s in sizes), {s: (sizes[s], target[s], emitted[s]) for s in sizes}
+    again = P.mix_sources(spark, docs.repartition(3), "").collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, out))
