@@ -222,6 +222,11 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
     return np.unique(np.array([digest(run, SEED) for run in shingles(text, width)], np.uint64))
 
 
+def set_key(hashes: np.ndarray) -> int:
+    """A 64-bit hash of a set of shingle hashes, as a signed long."""
+    return signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+
+
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """BANDS * BAND minima of the hashes under as many multiplications; zeros without hashes."""
     rng = np.random.default_rng(17)
@@ -243,9 +248,9 @@ def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFram
     last = None
 
     def edges() -> list[tuple[int, int]]:
-        fp = np.array([h[0] for h in held], np.int64)
+        keys = np.array([h[0] for h in held], np.int64)
         own = np.frombuffer(b"".join(h[1] for h in held), np.uint8).reshape(len(held), -1)
-        left = np.arange(len(fp))
+        left = np.arange(len(keys))
         out = []
         while len(left) > 1:
             queue, left = [left[0]], left[1:]
@@ -254,19 +259,19 @@ def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFram
                 near = (own[left] == own[at]).mean(axis=1) >= least
                 if near.any():
                     hits = left[near]
-                    out += [(int(fp[at]), int(fp[x])) for x in hits]
+                    out += [(int(keys[at]), int(keys[x])) for x in hits]
                     queue.extend(hits.tolist())
                     left = left[~near]
         return out
 
     for batch in batches:
         found: list[tuple[int, int]] = []
-        for band, cell, fp, own in zip(batch["band"].tolist(), batch["cell"].tolist(), batch["fp"].tolist(), batch["own"]):
+        for band, cell, key, own in zip(batch["band"].tolist(), batch["cell"].tolist(), batch["key"].tolist(), batch["own"]):
             if (band, cell) != last or len(held) >= RUN:
                 if len(held) > 1:
                     found += edges()
                 held, last = [], (band, cell)
-            held.append((fp, own))
+            held.append((key, own))
         if found:
             a = np.array(found, np.int64)
             yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
@@ -312,14 +317,15 @@ def meetings(members: DataFrame, limit: int) -> DataFrame:
     """members (group, size and others) with i, j: a group whose sizes add up to more than limit is dealt into blocks, and any two of its blocks meet in a
     cell (group, i, j), so each two members meet."""
     blocks = members.groupBy("group").agg(F.ceil(F.sum("size") / limit).alias("blocks"))
-    dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("fp", F.lit(11)), F.greatest("blocks", F.lit(1))))
+    dealt = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("key", F.lit(11)), F.greatest("blocks", F.lit(1))))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1))).filter("blocks <= 1 or other <> block")
     return dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "block", "other")
 
 
 def resembling(met: DataFrame, width: int, similarity: float) -> DataFrame:
     """(a, b): edges between the members of each cell (group, i, j) that chains of exact Jaccard similarities of their shingle sets, of at least similarity,
-    connect. met: group, i, j, fp, text; of rows with one fp the first text counts."""
+    connect. met: group, i, j, key, text; texts whose set_key() is
+    not the key are left out (those of other rows with the id)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names: list[int] = []
@@ -332,16 +338,18 @@ def resembling(met: DataFrame, width: int, similarity: float) -> DataFrame:
                 yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
 
         for batch in batches:
-            for group, i, j, fp, text in zip(*(batch[c].tolist() for c in ("group", "i", "j", "fp", "text"))):
+            for group, i, j, key, text in zip(*(batch[c].tolist() for c in ("group", "i", "j", "key", "text"))):
                 if (group, i, j) != last:
                     yield from edges()
                     names, sets, last = [], [], (group, i, j)
-                if not names or names[-1] != fp:
-                    names.append(fp)
-                    sets.append(shingle_hashes(text or "", width))
+                if not names or names[-1] != key:
+                    hashes = shingle_hashes(text or "", width)
+                    if set_key(hashes) == key:
+                        names.append(key)
+                        sets.append(hashes)
         yield from edges()
 
-    dealt = met.select("group", "i", "j", "fp", "text").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "fp", "text")
+    dealt = met.select("group", "i", "j", "key", "text").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "key")
     return dealt.mapInPandas(run, "a long, b long")
 
 
@@ -351,44 +359,56 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     Near copies resemble each other by similarity or more: the exact Jaccard similarity of their sets of width-word shingles. Candidates are the links of the
     fingerprints within the radius, and, as copies at such a similarity differ in many more bits than a 64-bit fingerprint's grid reaches, pairs that agree in
     a band of a sketch of the same shingle hashes and whose sketches resemble each other. Chains of candidates only form groups: within a group any two
-    texts are compared exactly unless links join them already, so no link is hidden by a candidate that fails. Texts with one fingerprint are one.
+    texts are compared exactly unless links join them already, so no link is hidden by a candidate that fails. Texts with one set of shingles are one; those
+    that have but the fingerprint in common are candidates.
     Of repeated rows one stays; rows with null ids stay unless a row with an id is in their group; empty texts are one group.
     """
     hashed = df.withColumn("_text", F.col(text))
 
     def start():
         def apply(texts):
-            prints, sizes, keys, own = [], [], [], []
+            names, prints, sizes, keys, own = [], [], [], [], []
             for t in texts:
                 prints.append(fingerprint(t or "", width))
                 hashes = shingle_hashes(t or "", width)
+                names.append(set_key(hashes))
                 sizes.append(len(hashes))
                 best = sketch(hashes)
                 keys.append([xxhash.xxh64_intdigest(best[k * BAND : (k + 1) * BAND].tobytes()) >> 1 for k in range(BANDS)])
                 own.append((best >> np.uint64(56)).astype(np.uint8).tobytes())
-            return [prints, sizes, keys, own]
+            return [names, prints, sizes, keys, own]
 
         return apply
 
-    rows = reliable(with_texts(hashed.select(F.col(doc_id).alias("doc_id"), "_text"), "_text", "fp long, size long, keys array<long>, own binary", start))
-    points = reliable(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.max("size").alias("size"), F.min_by("keys", "doc_id").alias("keys"), F.min_by("own", "doc_id").alias("own")))
-    placed = points.filter("keys is not null").select("fp", "own", F.posexplode("keys").alias("band", "cell"))
-    chained = placed.repartition("band", "cell").sortWithinPartitions("band", "cell", "own", "fp").mapInPandas(lambda it: alike(it, similarity - LOOSE), "a long, b long")
-    edges = linked(points.select("fp"), radius).unionByName(chained.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    def keyed():
+        return lambda texts: [[set_key(shingle_hashes(t or "", width)) for t in texts]]
+
+    kinds = "key long, fp long, size long, bands array<long>, own binary"
+    rows = reliable(with_texts(hashed.select(F.col(doc_id).alias("doc_id"), "_text"), "_text", kinds, start))
+    # Size, bands and sketch depend on the set of shingles alone, so any row of a key has them.
+    points = reliable(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("own").alias("own")))
+    placed = points.select("key", "own", F.posexplode("bands").alias("band", "cell"))
+    chained = placed.repartition("band", "cell").sortWithinPartitions("band", "cell", "own", "key").mapInPandas(lambda it: alike(it, similarity - LOOSE), "a long, b long")
+    prints = reliable(rows.groupBy("fp").agg(F.min("key").alias("anchor")))
+    same = rows.select("fp", "key").distinct().join(prints, "fp").filter("key <> anchor").select(F.col("anchor").alias("a"), F.col("key").alias("b"))
+    near = linked(prints.select("fp"), radius)
+    of = lambda end: prints.select(F.col("fp").alias(end), F.col("anchor").alias(f"{end}_key"))
+    near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
+    edges = near.unionByName(same).unionByName(chained)
+    edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
     grouped = components(edges)
-    members = reliable(points.join(grouped, F.col("fp") == F.col("node")).select(F.col("root").alias("group"), "fp", "least", "size"))
+    members = reliable(points.join(grouped, F.col("key") == F.col("node")).select(F.col("root").alias("group"), "key", "least", "size"))
     texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text"))
     roots = components(resembling(texts.join(meetings(members, GROUP_LIMIT), "least"), width, similarity))
-    rooted = points.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    # The smallest id of a group, and of groups without any id one fingerprint.
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least"), F.min("fp").alias("own_fp")).select(
-        "least", F.when(F.col("least").isNull(), F.col("own_fp")).alias("own_fp")
+    rooted = points.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    # The smallest id of a group, and of groups without any id one key.
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least"), F.min("key").alias("own_key")).select(
+        "least", F.when(F.col("least").isNull(), F.col("own_key")).alias("own_key")
     )
     with_id = df.join(kept.filter("least is not null").select(F.col("least").alias("_kept")).distinct(), F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
     without = df.filter(F.col(doc_id).isNull())
     if without.isEmpty():
         return with_id
-    nameless = fingerprints(without.withColumn("_text", F.col(text)), "_text", width)
-    nameless = nameless.join(kept.filter("own_fp is not null").select(F.col("own_fp").alias("fp")), "fp", "left_semi").dropDuplicates(["fp"])
-    return with_id.unionByName(nameless.drop("fp"))
+    nameless = with_texts(without.withColumn("_text", F.col(text)), "_text", "_key long", keyed)
+    nameless = nameless.join(kept.filter("own_key is not null").select(F.col("own_key").alias("_key")), "_key", "left_semi").dropDuplicates(["_key"])
+    return with_id.unionByName(nameless.drop("_key"))

@@ -127,3 +127,12 @@ def test_emitted_words_follow_the_targets(spark):
     assert all(abs(emitted[s] / target[s] - 1) < 0.1 for s in sizes), {s: (sizes[s], target[s], emitted[s]) for s in sizes}
     again = P.mix_sources(spark, docs.repartition(3), "").collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, out))
+
+
+def test_equal_fingerprints_are_checked_exactly(spark):
+    """A shingle with over half of all occurrences decides the fingerprint alone."""
+    rows = [(i, "ha " * 400 + " ".join(f"w{i}x{j}" for j in range(300))) for i in range(3)]
+    rows.append((3, rows[2][1] + " end"))
+    assert len({simhash.fingerprint(t, 5) for _, t in rows}) == 1
+    got = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == kept_by_brute_force(rows, 5, 0.8) == [0, 1, 2]
