@@ -32,7 +32,6 @@ CELL_LIMIT = 1 << 16
 SHINGLES_AT_ONCE = 100_000
 BANDS, BAND = 16, 3
 LOOSE = 0.15  # how far below the similarity a sketch may estimate a pair that is then compared exactly
-RUN = 1024
 GROUP_LIMIT = 2_000_000  # shingles of a group of candidates that one task compares
 _LOW = np.uint64(0x5555555555555555)
 _ONE = np.uint64(1)
@@ -242,8 +241,8 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
-    """(a, b): edges that join the members of a band's cell, which comes whole and sorted by sketch, that chains of resembling sketches connect. A cell is
-    worked on in runs of RUN; members that are alike lie close together, and meet in other bands' cells as well."""
+    """(a, b): edges that join the members of a band's cell, which comes whole and sorted by sketch, that chains of resembling sketches connect. Members with
+    one sketch are one, so that the comparisons of a large cell are those of its different sketches."""
     held: list = []
     last = None
 
@@ -267,11 +266,14 @@ def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFram
     for batch in batches:
         found: list[tuple[int, int]] = []
         for band, cell, key, own in zip(batch["band"].tolist(), batch["cell"].tolist(), batch["key"].tolist(), batch["own"]):
-            if (band, cell) != last or len(held) >= RUN:
+            if (band, cell) != last:
                 if len(held) > 1:
                     found += edges()
                 held, last = [], (band, cell)
-            held.append((key, own))
+            if held and held[-1][1] == own:
+                found.append((held[-1][0], key))
+            else:
+                held.append((key, own))
         if found:
             a = np.array(found, np.int64)
             yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})

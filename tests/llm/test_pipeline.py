@@ -136,3 +136,18 @@ def test_equal_fingerprints_are_checked_exactly(spark):
     assert len({simhash.fingerprint(t, 5) for _, t in rows}) == 1
     got = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == kept_by_brute_force(rows, 5, 0.8) == [0, 1, 2]
+
+
+def test_cells_are_compared_whole():
+    """Two members that differ in the first byte of their sketch have the rest of a large cell between them."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    own = rng.integers(1, 255, (3000, simhash.BANDS * simhash.BAND), dtype=np.uint8)
+    own[1] = own[0]
+    own[0, 0], own[1, 0] = 0, 255
+    cell = sorted((own[i].tobytes(), i) for i in range(len(own)))
+    rows = pd.DataFrame({"band": 0, "cell": 7, "key": [i for _, i in cell], "own": [o for o, _ in cell]})
+    found = [tuple(sorted(x)) for part in simhash.alike(iter([rows[:1700], rows[1700:]]), 0.65) for x in zip(part["a"], part["b"])]
+    assert found == [(0, 1)]
