@@ -400,8 +400,12 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
     grouped = components(edges)
     members = reliable(points.join(grouped, F.col("key") == F.col("node")).select(F.col("root").alias("group"), "key", "least", "size"))
-    texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text"))
-    roots = components(resembling(texts.join(meetings(members, GROUP_LIMIT), "least"), width, similarity))
+    met = meetings(members, GROUP_LIMIT)
+    texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text")).join(met, "least").select("group", "i", "j", "key", "text")
+    if not members.filter("least is null").isEmpty():  # texts that only rows without an id have
+        unnamed = df.filter(F.col(doc_id).isNull()).select(F.col(text).alias("text"), F.col(text).alias("_text"))
+        texts = texts.unionByName(with_texts(unnamed, "_text", "key long", keyed).join(met.filter("least is null"), "key").select("group", "i", "j", "key", "text"))
+    roots = components(resembling(texts, width, similarity))
     rooted = points.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     # The smallest id of a group, and of groups without any id one key.
     kept = rooted.groupBy("root").agg(F.min("least").alias("least"), F.min("key").alias("own_key")).select(

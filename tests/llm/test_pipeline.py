@@ -151,3 +151,17 @@ def test_cells_are_compared_whole():
     rows = pd.DataFrame({"band": 0, "cell": 7, "key": [i for _, i in cell], "own": [o for o, _ in cell]})
     found = [tuple(sorted(x)) for part in simhash.alike(iter([rows[:1700], rows[1700:]]), 0.65) for x in zip(part["a"], part["b"])]
     assert found == [(0, 1)]
+
+
+def test_near_copies_without_ids(spark):
+    import random
+
+    rng = random.Random(8)
+    text = [rng.choice("abcdefgh") + str(rng.randrange(999)) for _ in range(100)]
+    near = " ".join(text[:-6] + ["x1", "x2", "x3", "x4", "x5", "x6"])
+    texts = [" ".join(text), near]
+    assert ((simhash.fingerprint(texts[0], 5) ^ simhash.fingerprint(near, 5)) & (2**64 - 1)).bit_count() > simhash.RADIUS
+    df = spark.createDataFrame([(None, t) for t in texts] + [(1, "other words are in this one")], "doc_id long, text string")
+    assert simhash.representatives(df).count() == 2
+    named = spark.createDataFrame([(None, near), (4, texts[0])], "doc_id long, text string")
+    assert [r.doc_id for r in simhash.representatives(named).collect()] == [4]
