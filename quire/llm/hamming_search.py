@@ -1,14 +1,16 @@
 """Exact top-k search among 64-bit codes by incremental multi-index hashing.
 
-A code is cut into SEGMENTS segments, each an index. In the round with segment radius s a query probes, in every index, all
-values within s bits of its own segment: by the pigeonhole principle that finds every code within SEGMENTS * (s + 1) - 1 bits.
-The query is done once that many bits hold k verified rows; the others go on with s + 1. When a round would probe SCAN times as many values as there are
-codes, the table is too small for the method, and the queries left are compared with all codes instead, in blocks. Equal codes are one entry with their smallest ids, and equal queries one query.
+A code is cut into segments, each an index; their number follows from the number of codes, so that a segment has about as many possible values as there
+are codes. In the round with segment radius s a query probes, in every index, the values at exactly s bits from its own segment. After it the query has met
+every code of which some segment lies within s bits, so by the pigeonhole principle every code within segments * (s + 1) - 1 bits. The query is done once its
+k-th verified distance is no more than that; the others go on with s + 1, the best rows so far and their bound. A code counts for a query once: in the
+round of its nearest segment, by the first such segment. A round deals out no more probes than an index has possible values, about a
+quarter of the number of codes, at any radius. Equal codes are one entry with their smallest ids, and equal queries one query.
 """
 
 from __future__ import annotations
 
-from math import comb
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +18,7 @@ from pyspark.sql.window import Window
 
 from quire.llm.common import reliable
 
-SEGMENTS = 4
-WIDTH = 16
-BLOCK_CODES = 4096
-SCAN = 4  # probes find few codes in common, comparisons all of them again
+HALF = 16  # masks are listed for so many bits; those of wider segments join two lists
 
 
 def sign_code(vector: str) -> Column:
@@ -30,8 +29,25 @@ def sign_code(vector: str) -> Column:
     return F.when(F.col(vector).isNotNull(), merged)
 
 
-def segment(code: Column, j: int) -> Column:
-    return F.shiftrightunsigned(code, WIDTH * j).bitwiseAND((1 << WIDTH) - 1)
+def cuts(codes: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of each segment for a table of so many codes. Two bits less than the number's logarithm: entries are cheaper than probes."""
+    width = min(2 * HALF, max(4, round(log2(max(codes, 2))) - 2))
+    number = -(-64 // width)
+    at = [round(64 * i / number) for i in range(number + 1)]
+    return [(a, b - a) for a, b in zip(at, at[1:])]
+
+
+def segment(code: Column, cut: tuple[int, int]) -> Column:
+    return F.shiftrightunsigned(code, cut[0]).bitwiseAND((1 << cut[1]) - 1)
+
+
+def masks(width: int, s: int) -> list[int]:
+    """The numbers of width bits of which s are set."""
+    return [x for x in range(1 << width) if x.bit_count() == s]
+
+
+def listed(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>") if values else F.lit(None).cast("array<long>")
 
 
 def nearest(rows: DataFrame, keep: int) -> DataFrame:
@@ -41,36 +57,44 @@ def nearest(rows: DataFrame, keep: int) -> DataFrame:
     return best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("found"))
 
 
-def probed(queries: DataFrame, index: DataFrame, s: int) -> DataFrame:
-    """(query, distance, id) within SEGMENTS * (s + 1) - 1 bits, each once."""
-    masks = F.split(F.lit(",".join(str(x) for x in range(1 << WIDTH) if x.bit_count() <= s)), ",").cast("array<long>")
-    own = F.array(*[F.struct(F.lit(j).alias("j"), segment(F.col("query"), j).alias("value")) for j in range(SEGMENTS)])
-    # One query gives thousands of probes: they are dealt out first.
-    probes = queries.repartition("query").select("query", F.explode(own).alias("at")).select("query", F.col("at.j").alias("j"), F.col("at.value").alias("own"), F.explode(masks).alias("mask"))
-    probes = probes.select("query", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+def probes(queries: DataFrame, segments: list[tuple[int, int]], s: int) -> DataFrame:
+    """(query, worst, j, value): for each query and segment the values at s bits from its own."""
+    out = None
+    for wide in sorted({w for _, w in segments}):
+        own = F.array(*[F.struct(F.lit(j).alias("j"), segment(F.col("query"), cut).alias("own")) for j, cut in enumerate(segments) if cut[1] == wide])
+        rows = queries.select("query", "worst", F.explode(own).alias("at")).select("query", "worst", "at.j", "at.own")
+        if wide <= HALF:
+            each = rows.withColumn("mask", F.explode(listed(masks(wide, s)))) if s <= wide else rows.limit(0).withColumn("mask", F.lit(0).cast("long"))
+        else:
+            each = None
+            for low in range(max(0, s - (wide - HALF)), min(s, HALF) + 1):
+                part = rows.withColumn("low", F.explode(listed(masks(HALF, low)))).withColumn("high", F.explode(listed(masks(wide - HALF, s - low))))
+                part = part.withColumn("mask", F.col("low").bitwiseOR(F.shiftleft("high", HALF))).drop("low", "high")
+                each = part if each is None else each.unionByName(part)
+        if each is not None:
+            each = each.select("query", "worst", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+            out = each if out is None else out.unionByName(each)
+    return out
+
+
+def met(queries: DataFrame, index: DataFrame, segments: list[tuple[int, int]], s: int) -> DataFrame:
+    """(query, distance, id) of the codes whose nearest segment lies at s bits, no further than the query's bound, each once."""
     other = F.col("query").bitwiseXOR(F.col("code"))
-    # Of the segments that find a code, the first one counts.
-    first = F.lit(True)
-    for j in range(SEGMENTS - 1):
-        first = first & ((F.col("p.j") <= j) | (F.bit_count(segment(other, j)) > s))
-    on = (F.col("p.j") == F.col("i.j")) & (F.col("p.value") == F.col("i.value")) & (F.bit_count(other) < SEGMENTS * (s + 1)) & first
+    new = F.lit(True)
+    for j, cut in enumerate(segments):
+        off = F.bit_count(segment(other, cut))
+        new = new & F.when(F.col("p.j") > j, off > s).when(F.col("p.j") < j, off >= s).otherwise(True)
+    on = (F.col("p.j") == F.col("i.j")) & (F.col("p.value") == F.col("i.value")) & (F.bit_count(other) <= F.col("worst")) & new
     # The number of probes is not bounded, and adaptive execution would judge it by the few rows before the explode: no broadcast.
-    return probes.alias("p").hint("merge").join(index.alias("i").hint("merge"), on).select("query", F.bit_count(other).alias("distance"), F.explode("ids").alias("id"))
-
-
-def scanned(queries: DataFrame, points: DataFrame, blocks: int) -> DataFrame:
-    """(query, distance, id) for every code: each query meets each block of codes."""
-    dealt = points.withColumn("block", F.pmod(F.xxhash64("code"), F.lit(blocks)))
-    asked = queries.select("query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
-    return asked.join(dealt, "block").select("query", distance, F.explode("ids").alias("id"))
+    found = probes(queries, segments, s).alias("p").hint("merge").join(index.alias("i").hint("merge"), on)
+    return found.select("query", F.bit_count(other).alias("distance"), F.explode("ids").alias("id"))
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, id, distance): for each row of queries (id, code) the k nearest rows (id, code), itself left out.
 
     Order is by distance, then id; rank starts at 1. With fewer than k other rows there are fewer results. Rows with a null id or code neither search nor are found;
-    a query repeated is answered as often; rows with the query's own id are left out.
+    a query repeated is answered as often; rows with the query's own id are left out; other columns are not read. An empty table on either side gives no rows.
     """
     rows = rows.filter("id is not null and code is not null").select("id", "code")
     asking = queries.filter("id is not null and code is not null").select(F.col("id").alias("query_id"), F.col("code").alias("query"))
@@ -80,23 +104,31 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     points = reliable(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     size = points.agg(F.count("*").alias("codes"), F.sum(F.size("ids")).alias("ids")).first()
     wanted = min(keep, size.ids or 0)
-    entries = F.array(*[F.struct(F.lit(j).alias("j"), segment(F.col("code"), j).alias("value")) for j in range(SEGMENTS)])
-    index = points.select("code", "ids", F.explode(entries).alias("at")).select(F.col("at.j").alias("j"), F.col("at.value").alias("value"), "code", "ids")
-    left = reliable(asking.select("query").distinct())
+    segments = cuts(size.codes)
+    entries = F.array(*[F.struct(F.lit(j).alias("j"), segment(F.col("code"), cut).alias("value")) for j, cut in enumerate(segments)])
+    index = points.select("code", "ids", F.explode(entries).alias("at")).select("at.j", "at.value", "code", "ids")
+    parts = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nothing = F.array().cast(f"array<struct<distance:int,id:{rows.schema['id'].dataType.simpleString()}>>")
+    left = asking.select("query").distinct().withColumn("found", nothing).withColumn("worst", F.lit(64))
     answers = None
     # A stored table keeps constraints on columns that it has lost, over which a union stumbles; new names for its columns end them.
     renewed = lambda df: df.select(F.col("query").alias("asked"), F.col("found").alias("found"))
     s = 0
-    while not left.isEmpty():
-        if SEGMENTS * sum(comb(WIDTH, w) for w in range(s + 1)) >= SCAN * size.codes:
-            found = reliable(nearest(scanned(left, points, max(1, -(-size.codes // BLOCK_CODES))), keep))
-            answers = renewed(found) if answers is None else answers.unionByName(renewed(found))
+    while wanted:
+        # One query gives many probes: they are dealt out over a fixed number of parts, which adaptive execution leaves as they are.
+        left = reliable(left.repartition(parts, "query"))
+        if left.isEmpty():
             break
-        found = reliable(nearest(probed(left, index, s), keep).filter(F.size("found") >= wanted))
-        answers = renewed(found) if answers is None else answers.unionByName(renewed(found))
-        left = reliable(left.join(found, "query", "left_anti"))
+        known = left.select("query", F.explode("found").alias("x")).select("query", "x.distance", "x.id")
+        best = nearest(met(left, index, segments, s).unionByName(known), keep)
+        # The bound of a query is its last place's distance; without enough rows there is none, and it is not done.
+        bound = F.when(F.size("found") >= wanted, F.element_at("found", -1)["distance"])
+        best = reliable(left.select("query").join(best, "query", "left").select("query", F.coalesce("found", nothing).alias("found")).withColumn("bound", bound))
+        proved = F.col("bound") < len(segments) * (s + 1)
+        answers = renewed(best.filter(proved)) if answers is None else answers.unionByName(renewed(best.filter(proved)))
+        left = best.filter(~F.coalesce(proved, F.lit(False))).select("query", "found", F.coalesce("bound", F.lit(64)).alias("worst"))
         s += 1
     if answers is None:
-        answers = renewed(nearest(asking.select("query", F.lit(0).alias("distance"), F.col("query_id").alias("id")), keep)).limit(0)
+        answers = renewed(left.select("query", "found")).limit(0)
     each = asking.join(answers, F.col("query") == F.col("asked")).select("query_id", F.slice(F.filter("found", lambda x: x.id != F.col("query_id")), 1, k).alias("found"))
     return each.select("query_id", F.posexplode("found").alias("at", "x")).select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias("id"), F.col("x.distance").cast("int").alias("distance"))
