@@ -104,9 +104,7 @@ def parse(page: str) -> list[Node]:
         while len(stack) > to:
             links -= stack.pop()[0] == "a"
 
-    for m in _TAG.finditer(page):
-        if m.start() < at:
-            continue
+    while m := _TAG.search(page, at):  # from the end of the last tag or raw text, so that nothing inside a script opens a tag
         if m.start() > at:
             text(page[at : m.start()])
         at = m.end()

@@ -26,6 +26,16 @@ def fold(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
+@pytest.mark.parametrize(
+    "inside",
+    ['<script>if(a<b){x="y"}</script>', "<script>var a = '<!-- x';</script>", """<script>document.write('<div class="');</script>""", "<textarea><!-- </textarea>", "<style>p::before{content:'<'}</style>", "<script>s='</p><p>'</script>"],
+)
+def test_raw_text_opens_no_tag(inside):
+    body = "Body text that goes on, and says a few things. It has two sentences."
+    page = f"<html><body><nav><a href=/a>menu</a></nav><article><h1>Some title</h1>{inside}<p>{body}</p></article></body></html>"
+    assert html_text.main_text(page, html_text.default_model()) == f"Some title\n{body}"
+
+
 def test_language_on_the_held_out_fold(spark, sf):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
     rows = Q.op1_language(spark, sf).collect()
