@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import NullType, StructField, StructType
 
 FOLDS = 4
 HELD_OUT = 2
@@ -50,6 +51,21 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or name with underscores after it, that no column of df has in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as a Parquet table in the shared folder and read again: reliable() for rows with texts, which Parquet compresses."""
+    folder = f"{shared_folder(df.sparkSession)}/quire-table-{uuid.uuid4().hex}"
+    df.select(*[F.col(f"`{f.name}`").cast("string") if f.dataType == NullType() else F.col(f"`{f.name}`") for f in df.schema]).write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def in_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
     """Lists of texts of about limit characters each; a longer text is alone in its list."""
     batch: list[str] = []
@@ -74,8 +90,8 @@ def with_texts(df: DataFrame, text: str, fields: str, start: Callable[[], Callab
 
     added = StructType.fromDDL(fields)
     names = [c for c in df.columns if c != text and c not in added.names]
-    rows = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("_text"))
-    schema = StructType([*[StructField(f.name, f.dataType) for f in rows.schema if f.name != "_text"], *added.fields])
+    rows = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias(fresh(df, "_text")))
+    schema = StructType([*[StructField(f.name, f.dataType) for f in rows.schema.fields[:-1]], *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = start()

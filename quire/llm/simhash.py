@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import reliable, with_texts
+from quire.llm.common import fresh, reliable, stored, with_texts
 
 SEED = 42
 RADIUS = 3
@@ -31,7 +31,8 @@ SEGMENTS = 32
 CELL_LIMIT = 1 << 16
 SHINGLES_AT_ONCE = 100_000
 BANDS, BAND = 16, 3
-LOOSE = 0.15  # how far below the similarity a sketch may estimate a pair that is then compared exactly
+LOOSE = 0.3  # how far below the similarity a sketch may estimate a pair that is then compared exactly
+BAND_LIMIT = 8192  # different sketches of a band's cell that one task compares
 GROUP_LIMIT = 2_000_000  # shingles of a group of candidates that one task compares
 _LOW = np.uint64(0x5555555555555555)
 _ONE = np.uint64(1)
@@ -240,13 +241,17 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return best
 
 
-def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
-    """(a, b): edges that join the members of a band's cell, which comes whole and sorted by sketch, that chains of resembling sketches connect. Members with
-    one sketch are one, so that the comparisons of a large cell are those of its different sketches."""
+def alike(batches: Iterator[pd.DataFrame], least: float, limit: int | None = None) -> Iterator[pd.DataFrame]:
+    """(a, b, dense): edges that join the members of a cell (cell, i, j), which comes whole and sorted by sketch, that chains of resembling sketches connect.
+    Members with one sketch are one, so that the comparisons of a large cell are those of its different sketches. A cell with more of them than limit is
+    given back as (key, cell, true)."""
     held: list = []
     last = None
+    over = False
 
-    def edges() -> list[tuple[int, int]]:
+    def edges() -> list[tuple[int, int, bool]]:
+        if len(held) < 2:
+            return []
         keys = np.array([h[0] for h in held], np.int64)
         own = np.frombuffer(b"".join(h[1] for h in held), np.uint8).reshape(len(held), -1)
         left = np.arange(len(keys))
@@ -258,39 +263,68 @@ def alike(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFram
                 near = (own[left] == own[at]).mean(axis=1) >= least
                 if near.any():
                     hits = left[near]
-                    out += [(int(keys[at]), int(keys[x])) for x in hits]
+                    out += [(int(keys[at]), int(keys[x]), False) for x in hits]
                     queue.extend(hits.tolist())
                     left = left[~near]
         return out
 
+    def rows(found):
+        a = np.array(found, np.int64).reshape(-1, 3)
+        return pd.DataFrame({"a": a[:, 0], "b": a[:, 1], "dense": a[:, 2] > 0})
+
     for batch in batches:
-        found: list[tuple[int, int]] = []
-        for band, cell, key, own in zip(batch["band"].tolist(), batch["cell"].tolist(), batch["key"].tolist(), batch["own"]):
-            if (band, cell) != last:
-                if len(held) > 1:
-                    found += edges()
-                held, last = [], (band, cell)
+        found: list[tuple[int, int, bool]] = []
+        for cell, i, j, key, own in zip(*(batch[c].tolist() for c in ("cell", "i", "j", "key", "own"))):
+            if (cell, i, j) != last:
+                found += edges()
+                held, last, over = [], (cell, i, j), False
             if held and held[-1][1] == own:
-                found.append((held[-1][0], key))
-            else:
-                held.append((key, own))
+                found.append((held[-1][0], key, False))
+                continue
+            held.append((key, own))
+            if limit and len(held) > limit:
+                found += [(k, cell, True) for k, _ in held[:-1]] if not over else []
+                found.append((key, cell, True))
+                over, held = True, held[-1:]
+            elif over:
+                found.append((key, cell, True))
+                held = held[-1:]
         if found:
-            a = np.array(found, np.int64)
-            yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
-    if len(held) > 1 and (found := edges()):
-        a = np.array(found, np.int64)
-        yield pd.DataFrame({"a": a[:, 0], "b": a[:, 1]})
+            yield rows(found)
+    if held and not over and (found := edges()):
+        yield rows(found)
+
+
+def banded(points: DataFrame, least: float, limit: int = BAND_LIMIT) -> DataFrame:
+    """(a, b): edges between the keys of points (key, bands, own) that chains of pairs connect which agree in a band and whose sketches agree in a share of at
+    least least. A cell of over limit sketches is dealt into blocks, of which any two meet."""
+    compared = lambda placed, limit: placed.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "own", "key").mapInPandas(
+        lambda batches: alike(batches, least, limit), "a long, b long, dense boolean"
+    )
+    placed = points.select(F.explode("bands").alias("cell"), F.lit(0).alias("i"), F.lit(0).alias("j"), "key", "own")
+    found = reliable(compared(placed, limit))
+    edges = found.filter("not dense").select("a", "b")
+    dense = found.filter("dense").select(F.col("b").alias("group"), F.col("a").alias("key"), F.lit(1).alias("size")).distinct()
+    if dense.isEmpty():
+        return edges
+    met = meetings(dense, limit).withColumnRenamed("group", "cell").join(points.select("key", "own"), "key")
+    return edges.unionByName(compared(met, None).select("a", "b"))
 
 
 def links_of_sets(names: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Edges that join the sets that chains of Jaccard similarities of at least similarity connect. Each set is compared with all that are not joined yet."""
+    """Edges that join the sets that chains of Jaccard similarities of at least similarity connect. Each set is compared with all that are not joined yet: of its
+    members, the rarest first, a prefix is looked up, long enough that a set which has too few of them cannot be similar; the others are compared exactly."""
     sizes = np.array([len(s) for s in sets])
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    codes, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    codes = np.argsort(np.argsort(often, kind="stable"))[codes]  # numbered from the rarest
+    whose = np.repeat(np.arange(len(sets)), sizes)
+    codes = codes[np.lexsort((codes, whose))]
     order = np.argsort(codes, kind="stable")
-    holders, held = np.repeat(np.arange(len(sets)), sizes)[order], codes[order]
-    starts = np.searchsorted(held, np.arange(codes.max(initial=-1) + 2))
+    holders, held = whose[order], codes[order]
+    starts = np.searchsorted(held, np.arange(len(often) + 1))
     left, indexed = np.ones(len(sets), bool), len(sets)
+    mark = np.zeros(len(often), bool)
     edges = []
     for root in range(len(sets)):
         if not left[root]:
@@ -303,12 +337,21 @@ def links_of_sets(names: list[int], sets: list[np.ndarray], similarity: float) -
                 holders, held, indexed = holders[kept], held[kept], rest
                 starts = np.searchsorted(held, np.arange(len(starts)))
             at = queue.pop()
-            own = codes[bounds[at] : bounds[at + 1]]
+            mine = codes[bounds[at] : bounds[at + 1]]
+            shared = np.ceil(similarity * (sizes + sizes[at]) / (1 + similarity) - 1e-9)
+            prefix = min(len(mine), int(len(mine) * (1 - similarity) + 1e-9) + 1)
+            own = mine[:prefix]
             lengths = starts[own + 1] - starts[own]
             ends = np.cumsum(lengths)
             places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[own] - ends + lengths, lengths)
             both = np.bincount(holders[places], minlength=len(sets))
-            hits = np.flatnonzero(left & (both >= similarity * (sizes + sizes[at] - both)))
+            # Beyond the prefix at most the rest of the set is shared.
+            maybe = np.flatnonzero(left & (both >= np.maximum(shared - (len(mine) - prefix), 1)))
+            if not len(maybe):
+                continue
+            mark[mine] = True
+            hits = np.array([h for h in maybe.tolist() if np.count_nonzero(mark[codes[bounds[h] : bounds[h + 1]]]) >= shared[h]], np.int64)
+            mark[mine] = False
             left[hits] = False
             queue.extend(hits.tolist())
             edges.extend((names[at], names[h]) for h in hits.tolist())
@@ -326,8 +369,7 @@ def meetings(members: DataFrame, limit: int) -> DataFrame:
 
 def resembling(met: DataFrame, width: int, similarity: float) -> DataFrame:
     """(a, b): edges between the members of each cell (group, i, j) that chains of exact Jaccard similarities of their shingle sets, of at least similarity,
-    connect. met: group, i, j, key, text; texts whose set_key() is
-    not the key are left out (those of other rows with the id)."""
+    connect. met: group, i, j, key, text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names: list[int] = []
@@ -344,11 +386,8 @@ def resembling(met: DataFrame, width: int, similarity: float) -> DataFrame:
                 if (group, i, j) != last:
                     yield from edges()
                     names, sets, last = [], [], (group, i, j)
-                if not names or names[-1] != key:
-                    hashes = shingle_hashes(text or "", width)
-                    if set_key(hashes) == key:
-                        names.append(key)
-                        sets.append(hashes)
+                names.append(key)
+                sets.append(shingle_hashes(text or "", width))
         yield from edges()
 
     dealt = met.select("group", "i", "j", "key", "text").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "key")
@@ -363,9 +402,12 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     a band of a sketch of the same shingle hashes and whose sketches resemble each other. Chains of candidates only form groups: within a group any two
     texts are compared exactly unless links join them already, so no link is hidden by a candidate that fails. Texts with one set of shingles are one; those
     that have but the fingerprint in common are candidates.
-    Of repeated rows one stays; rows with null ids stay unless a row with an id is in their group; empty texts are one group.
+    Exactly one row of each group stays: that of the smallest id, null ids last, and of rows with one id and one set of shingles any. Different texts under
+    one id are different documents. Null, empty and blank texts are one group. Other columns pass through, whatever their names; an empty table gives no rows.
     """
-    hashed = df.withColumn("_text", F.col(text))
+    at = fresh(df, "_row")
+    base = stored(df.withColumn(at, F.monotonically_increasing_id()))
+    plain = base.select(F.col(at).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     def start():
         def apply(texts):
@@ -376,21 +418,17 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
                 names.append(set_key(hashes))
                 sizes.append(len(hashes))
                 best = sketch(hashes)
-                keys.append([xxhash.xxh64_intdigest(best[k * BAND : (k + 1) * BAND].tobytes()) >> 1 for k in range(BANDS)])
+                keys.append([signed(xxhash.xxh64_intdigest(best[k * BAND : (k + 1) * BAND].tobytes(), k)) for k in range(BANDS)])
                 own.append((best >> np.uint64(56)).astype(np.uint8).tobytes())
             return [names, prints, sizes, keys, own]
 
         return apply
 
-    def keyed():
-        return lambda texts: [[set_key(shingle_hashes(t or "", width)) for t in texts]]
-
-    kinds = "key long, fp long, size long, bands array<long>, own binary"
-    rows = reliable(with_texts(hashed.select(F.col(doc_id).alias("doc_id"), "_text"), "_text", kinds, start))
+    rows = reliable(with_texts(plain, "text", "key long, fp long, size long, bands array<long>, own binary", start))
     # Size, bands and sketch depend on the set of shingles alone, so any row of a key has them.
-    points = reliable(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("own").alias("own")))
-    placed = points.select("key", "own", F.posexplode("bands").alias("band", "cell"))
-    chained = placed.repartition("band", "cell").sortWithinPartitions("band", "cell", "own", "key").mapInPandas(lambda it: alike(it, similarity - LOOSE), "a long, b long")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("least")
+    points = reliable(rows.groupBy("key").agg(least, F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("own").alias("own")))
+    chained = banded(points, similarity - LOOSE)
     prints = reliable(rows.groupBy("fp").agg(F.min("key").alias("anchor")))
     same = rows.select("fp", "key").distinct().join(prints, "fp").filter("key <> anchor").select(F.col("anchor").alias("a"), F.col("key").alias("b"))
     near = linked(prints.select("fp"), radius)
@@ -399,22 +437,10 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     edges = near.unionByName(same).unionByName(chained)
     edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
     grouped = components(edges)
-    members = reliable(points.join(grouped, F.col("key") == F.col("node")).select(F.col("root").alias("group"), "key", "least", "size"))
-    met = meetings(members, GROUP_LIMIT)
-    texts = df.select(F.col(doc_id).alias("least"), F.col(text).alias("text")).join(met, "least").select("group", "i", "j", "key", "text")
-    if not members.filter("least is null").isEmpty():  # texts that only rows without an id have
-        unnamed = df.filter(F.col(doc_id).isNull()).select(F.col(text).alias("text"), F.col(text).alias("_text"))
-        texts = texts.unionByName(with_texts(unnamed, "_text", "key long", keyed).join(met.filter("least is null"), "key").select("group", "i", "j", "key", "text"))
+    members = points.join(grouped, F.col("key") == F.col("node")).select(F.col("root").alias("group"), "key", "least.row", "size")
+    texts = meetings(reliable(members), GROUP_LIMIT).join(plain.select("row", "text"), "row")
     roots = components(resembling(texts, width, similarity))
-    rooted = points.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
-    # The smallest id of a group, and of groups without any id one key.
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least"), F.min("key").alias("own_key")).select(
-        "least", F.when(F.col("least").isNull(), F.col("own_key")).alias("own_key")
-    )
-    with_id = df.join(kept.filter("least is not null").select(F.col("least").alias("_kept")).distinct(), F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
-    without = df.filter(F.col(doc_id).isNull())
-    if without.isEmpty():
-        return with_id
-    nameless = with_texts(without.withColumn("_text", F.col(text)), "_text", "_key long", keyed)
-    nameless = nameless.join(kept.filter("own_key is not null").select(F.col("own_key").alias("_key")), "_key", "left_semi").dropDuplicates(["_key"])
-    return with_id.unionByName(nameless.drop("_key"))
+    rooted = points.join(roots, F.col("key") == F.col("node"), "left").select("least", F.coalesce("root", "key").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.row")
+    dropped = reliable(rows.select("row").join(kept, "row", "left_anti"))  # a small part: then no text is shuffled
+    return base.join(dropped.select(F.col("row").alias(at)), at, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -138,19 +138,77 @@ def test_equal_fingerprints_are_checked_exactly(spark):
     assert sorted(r.doc_id for r in got.collect()) == kept_by_brute_force(rows, 5, 0.8) == [0, 1, 2]
 
 
-def test_cells_are_compared_whole():
-    """Two members that differ in the first byte of their sketch have the rest of a large cell between them."""
+def band_points(spark, count, cell):
+    """Points of one cell, of which the first two have one sketch but for its first byte, and so lie far apart in the cell."""
     import numpy as np
-    import pandas as pd
 
     rng = np.random.default_rng(3)
-    own = rng.integers(1, 255, (3000, simhash.BANDS * simhash.BAND), dtype=np.uint8)
+    own = rng.integers(1, 255, (count, simhash.BANDS * simhash.BAND), dtype=np.uint8)
     own[1] = own[0]
     own[0, 0], own[1, 0] = 0, 255
-    cell = sorted((own[i].tobytes(), i) for i in range(len(own)))
-    rows = pd.DataFrame({"band": 0, "cell": 7, "key": [i for _, i in cell], "own": [o for o, _ in cell]})
-    found = [tuple(sorted(x)) for part in simhash.alike(iter([rows[:1700], rows[1700:]]), 0.65) for x in zip(part["a"], part["b"])]
-    assert found == [(0, 1)]
+    return spark.createDataFrame([(i, [cell, 100 + i], bytearray(own[i].tobytes())) for i in range(count)], "key long, bands array<long>, own binary")
+
+
+@pytest.mark.parametrize("limit", [8192, 300, 1])
+def test_cells_are_compared_whole(spark, limit):
+    """A cell above the limit comes in blocks, any two of which meet."""
+    points = band_points(spark, 1000 if limit > 1 else 20, 7)
+    assert {tuple(sorted((r.a, r.b))) for r in simhash.banded(points, 0.65, limit).collect()} == {(0, 1)}
+
+
+def test_a_template_of_thousands(spark):
+    """Pairs of copies among documents that share most of their text: links as by brute force over all pairs."""
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30_000)]
+    template = rng.choices(words, k=150)
+    texts = []
+    for _ in range(700):
+        text = template + rng.choices(words, k=24)
+        near = list(text)
+        for _ in range(rng.randint(1, 4)):
+            near[rng.randrange(150, 174)] = rng.choice(words)
+        texts += [text, near]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = sorted(r.doc_id for r in simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == kept_by_brute_force(rows, 5, 0.8)
+
+
+def test_links_of_sets_against_all_pairs():
+    import random
+
+    import numpy as np
+
+    for seed in range(30):
+        rng = random.Random(seed)
+        common = list(range(rng.randint(5, 40)))
+        sets = []
+        for _ in range(rng.randint(2, 60)):
+            base = set(rng.choice(sets)) if sets and rng.random() < 0.6 else set(rng.sample(common, rng.randint(1, len(common))))
+            sets.append(base - set(rng.sample(sorted(base), min(len(base) - 1, rng.randint(0, 3)))) | set(rng.sample(range(1000), rng.randint(0, 6))))
+        pairs = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+        found = simhash.links_of_sets(list(range(len(sets))), [np.array(sorted(x), np.uint64) for x in sets], 0.8)
+
+        def classes(edges, n=len(sets)):
+            group = list(range(n))
+            for a, b in edges:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+            return {tuple(i for i in range(n) if group[i] == g) for g in group}
+
+        assert {tuple(sorted(e)) for e in found} <= pairs and classes(found) == classes(pairs)
+
+
+def test_repeated_ids_and_clashing_names(spark):
+    """Two texts under one id are two documents, and columns may have the names that the operator uses itself."""
+    rows = [(1, "a b c d e f g", 1), (1, "h i j k l m n", 2), (1, "a b c d e f g", 3), (None, "h i j k l m n", 4), (None, "", 5), (2, None, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key long").selectExpr("*", "key as fp", "key as row", "key as _row", "key as _text", "key as bands", "null as own")
+    out = simhash.representatives(df)
+    assert out.columns == df.columns
+    got = sorted(r.key for r in out.collect())
+    assert len(got) == 3 and got[0] in (1, 3) and got[1:] == [2, 6] or got == [2, 3, 6]
 
 
 def test_near_copies_without_ids(spark):
