@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructField, StructType
+from pyspark.sql.window import Window
 
 FOLDS = 4
 HELD_OUT = 2
@@ -66,6 +67,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def numbered(df: DataFrame, order: Column, name: str) -> DataFrame:
+    """df with a long column name: 0, 1, 2... in the order, which no two rows share. Rows are dealt out by ranges and numbered within
+    each, and the counts of the ranges, as many as there are partitions, add up to offsets."""
+    part = fresh(df, "_part")
+    dealt = reliable(df.repartitionByRange(order).withColumn(part, F.spark_partition_id()))
+    offsets, total = [], 0
+    for r in sorted(dealt.groupBy(part).count().collect()):
+        offsets += [F.lit(r[0]), F.lit(total)]
+        total += r[1]
+    before = F.element_at(F.create_map(*offsets), F.col(part)) if offsets else F.lit(0)
+    return dealt.withColumn(name, (before + F.row_number().over(Window.partitionBy(part).orderBy(order)) - 1).cast("long")).drop(part)
+
+
 def in_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
     """Lists of texts of about limit characters each; a longer text is alone in its list."""
     batch: list[str] = []

@@ -1,11 +1,14 @@
 """Sentence pieces, images, shards, mixes: brute force and round trips."""
 
+import math
 import random
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm import media, mixing, sentencepiece, sharding
@@ -170,11 +173,115 @@ def test_mix(spark):
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
+def spark_hash(*values):
+    """xxhash64() of longs, ints (as (value,)) and texts."""
+    seed = 42
+    for v in values:
+        if v is not None:
+            raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+            seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def permuted(index, n, seed):
+    high = math.isqrt(n - 1) + 1
+    low = -(-n // high)
+    while True:
+        a, b = divmod(index, low)
+        for k in range(mixing.ROUNDS):
+            a = (a + spark_hash(seed, (2 * k,), b)) % high
+            b = (b + spark_hash(seed, (2 * k + 1,), a)) % low
+        index = a * low + b
+        if index < n:
+            return index
+
+
+def plain_mix(rows, block, shard_slots):
+    """(shard, place, source, index) of every block, and the words taken of every (source, own)."""
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    target = targets(sizes)
+    rank = {s: i for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s)))}
+    slots = {}
+    for s, size in sizes.items():
+        if size:
+            blocks, passes = -(-size // block), int(target[s] / size + 1e-9)
+            slots[s] = passes * blocks + round(max(target[s] - passes * size, 0) / size * blocks)
+    shards = max(1, -(-sum(slots.values()) // shard_slots))
+    counts = {(s, t): 0 for s in slots for t in range(shards)}
+    for s, n in slots.items():
+        for slot in range(n):
+            counts[s, spark_hash(rank[s], slot, (7,)) % shards] += 1
+    mix, times = [], Counter()
+    for t in range(shards):
+        before, everything = 0, sum(counts[s, t] for s in slots)
+        for s in sorted(slots, key=rank.get):
+            first, blocks = sum(counts[s, u] for u in range(t)), -(-sizes[s] // block)
+            for n in range(counts[s, t]):
+                turn, at = divmod(first + n, blocks)
+                index = permuted(at, blocks, spark_hash(rank[s], turn, (8,)))
+                mix.append((t, permuted(before + n, everything, spark_hash(t, (9,))), s, index))
+                times[s, index] += 1
+            before += counts[s, t]
+    taken = {}
+    for s in slots:
+        own = [(spark_hash(d, t), len((t or "").split())) for d, t, of in rows if of == s]
+        at = 0
+        for o, size in sorted(own, key=lambda x: (spark_hash(x[0], (5,)) % 1, spark_hash(x[0], (6,)), x[0])):
+            taken.setdefault((s, o), []).append(sum(times[s, w // block] for w in range(at, at + size)))
+            at += size
+    return mix, {k: sorted(v) for k, v in taken.items()}
+
+
+def test_the_mix_as_a_plain_version_makes_it(spark, monkeypatch):
+    """Counts over shards, places, blocks and words taken, for rows with equal, null and repeated ids."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 40)
+    monkeypatch.setattr(mixing.drawn, "__defaults__", (40,))
+    df, rows = documents(spark)
+    block = 16
+    mix, taken = plain_mix(rows, block, 40)
+    got = mixing.mixture(df, block=block).collect()
+    assert sorted(map(str, ((r.shard, r.place, r.source, r["index"]) for r in got))) == sorted(map(str, mix))
+    by_shard = Counter(r.shard for r in got)
+    assert len(by_shard) > 3 and all(sorted(r.place for r in got if r.shard == t) == list(range(n)) for t, n in by_shard.items())
+    assert all(r.words == sum(p["words"] for p in r.parts) <= block for r in got)
+    totals = {}
+    texts = {}
+    for d, t, s in rows:
+        texts.setdefault((d, s), set()).add(t)
+    out = mixing.mixed(df, block=block).collect()
+    for r in out:
+        totals.setdefault(r.source, []).append(r.taken)
+    want = {}
+    for (s, _), values in taken.items():
+        want.setdefault(s, []).extend(values)
+    assert {s: sorted(v) for s, v in totals.items() if sum(v)} == {s: sorted(v) for s, v in want.items() if sum(v)}
+    from_mix = Counter()
+    for r in got:
+        for p in r.parts:
+            from_mix[p["doc_id"], r.source] += p["words"]
+    assert +Counter(from_mix) == +sum((Counter({(r.doc_id, r.source): r.taken}) for r in out), Counter())
+
+
+def test_repeated_rows_crowd_a_run(spark, monkeypatch):
+    """A third of all rows repeat one another: they are dealt on, and the result is the same."""
+    rows = [(i if i % 3 else 0, f"a b {i}" if i % 3 else "x y z", "s") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "ROWS_A_RUN", 40)
+    got = mixing.mixed(df, block=8).collect()
+    again = mixing.mixed(df.repartition(7), block=8).collect()
+    assert sorted((r.doc_id, r.taken) for r in got) == sorted((r.doc_id, r.taken) for r in again)
+    assert len(got) == 900 and abs(sum(r.taken for r in got) - 1.5 * 2700) <= 16 and all(0 <= r.taken <= 6 for r in got)
+
+
 def test_permutation(spark):
-    for n in (1, 2, 7, 1000, 1000003):
-        d = spark.range(min(n, 5000)).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(-12345).cast("long")).alias("x"))
+    for n in (1, 2, 3, 5, 7, 10, 1000, 333334, 1000003):
+        d = spark.range(min(n, 3000)).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(-12345).cast("long")).alias("x"))
         xs = [r.x for r in d.collect()]
         assert len(set(xs)) == len(xs) and all(0 <= x < n for x in xs)
+        if n >= 1000:  # no stretch of the source
+            assert xs[:9] == [permuted(i, n, -12345) for i in range(9)] and len({b - a for a, b in zip(xs, xs[1:])}) > len(xs) / 4
 
 
 def test_targets_on_random_sources(spark):
