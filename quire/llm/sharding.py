@@ -1,10 +1,11 @@
-"""Shards by a k-d tree: nodes are split at distributed weighted medians along their widest dimension.
-
-All nodes of a level are split together. A split value is found by radix descent: the rows' coordinates are counted (as bytes)
-in DIGITS-bit bins by node, the bin where the running weight crosses the goal is opened, and so on down the coordinate. Rows
-that share the split coordinate (copies of one text, whose coordinates are equal) are then divided by a hash of the id, by the same descent, so a
-group of copies of any size can be cut while smaller ones stay together. Only histograms, of a bounded number of bins for
-each node, reach the driver; no row does. Everything is DataFrame operations.
+"""Shards by a k-d tree over metadata: nodes are split at distributed weighted medians along their widest dimension.
+
+Points are the different texts with the sum of their rows' bytes; a text that outweighs the tolerance is a point for each of 4096 hashes of its rows' ids, so
+that a group of copies of any size can be divided, while smaller ones stay together. A point's key along a dimension is the dimension's value in DIGITS bits,
+then a hash of the text, then that of the ids, so that ties have an order. All nodes of a level are split together, by radix descent: points
+are counted (as bytes) in DIGITS-bit bins by node, the bin where the running weight crosses the goal is opened, and so on down the key. The
+first count takes all dimensions at once and so tells the widest. Only histograms, of a bounded number of bins for each node,
+reach the driver; no row does. A node is an expression of the cuts above it, so that rows and points are stored once. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -15,163 +16,185 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import reliable
+from quire.llm.common import numbered, reliable
 
-BITS = 36  # of a coordinate: RANGE_BITS from the dimension, the others from the text's hash
-RANGE_BITS = 24
-ID_BITS = 36
 DIGITS = 12
+DIGITS_OF_TEXT = 2
+BITS = DIGITS * (DIGITS_OF_TEXT + 2)
+STEPS = 64  # of a continuous dimension
 TOLERANCE = 1e-3
+REPEATED = 0.1  # share of a shard from which rows that repeat one another (one text, one id) are divided
 ROWS_A_RUN = 20_000
+BROADCAST_VALUES = 10_000
 
 
 @dataclass
 class Node:
-    """Rows with number in their node column; shards: how many leaves it still has to give."""
+    """The shards first to first + shards - 1; a node that is split has an axis, the line on it and two parts."""
 
-    number: int
     first: int
     shards: int
-    weight: float
-
-
-def coordinate(value: Column, low: Column, high: Column, text_hash: Column) -> Column:
-    """A dimension's value scaled to 0..2^RANGE_BITS - 1, then bits of the text's hash, so that different texts rarely tie."""
-    top = (1 << RANGE_BITS) - 1
-    scaled = F.when(high > low, (value.cast("double") - low) / (high - low)).otherwise(0.0)
-    scaled = F.coalesce(F.floor(scaled * top), F.lit(0)).cast("long")
-    return F.shiftleft(scaled, BITS - RANGE_BITS).bitwiseOR(F.pmod(text_hash, F.lit(1 << (BITS - RANGE_BITS))))
-
-
-def choice(pairs: dict[int, object], otherwise: object, kind: str = "long") -> Column:
-    """The value for the row's node."""
-    if not pairs:
-        return F.lit(otherwise).cast(kind)
-    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for k, v in pairs.items() for x in (k, v)]), F.col("node")), F.lit(otherwise)).cast(kind)
-
-
-def descend(rows: DataFrame, key: Column, bits: int, goals: dict[int, float], tolerance: dict[int, float], nearest: bool = False) -> tuple[dict[int, int], dict[int, float]]:
-    """For each node the key at which the weight of smaller keys reaches the goal, to the tolerance or as near as whole keys come;
-    and the weight that is missing before the goal there (what the rows with that very key have to give). nearest: those rows are not
-    divided further, so they go to the side that leaves the smaller error."""
-    prefix = dict.fromkeys(goals, 0)
-    left = dict(goals)
-    found: dict[int, int] = {}
-    for shift in range(bits - DIGITS, -1, -DIGITS):
-        open_nodes = [n for n in goals if n not in found]
-        if not open_nodes:
+    axis: str = ""
+    line: int = 0
+    parts: tuple[Node, Node] | None = None
+
+    def column(self) -> Column:
+        """The first shard of the node that a point lies in."""
+        if not self.parts:
+            return F.lit(self.first)
+        return F.when(F.col(self.axis) < self.line, self.parts[0].column()).otherwise(self.parts[1].column())
+
+    def leaves(self) -> list[Node]:
+        return [leaf for part in self.parts for leaf in part.leaves()] if self.parts else [self]
+
+
+def choice(pairs: dict[int, int]) -> Column:
+    """The value for the row's node; null without one."""
+    return F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in pairs.items() for x in pair]), F.col("node").cast("long"))
+
+
+def by_node(rows: list) -> dict[int, list[tuple[int, float]]]:
+    found: dict[int, list[tuple[int, float]]] = {}
+    for r in rows:
+        found.setdefault(r.node, []).append((r.bin, float(r.weight)))
+    return {n: sorted(bins) for n, bins in found.items()}
+
+
+def crossing(bins: list[tuple[int, float]], left: float) -> tuple[int, float, float]:
+    """The bin in which the running weight reaches what is left, with what is left before it and its own weight."""
+    for bin_, weight in bins:
+        if weight >= left:
             break
-        inside = F.shiftright(key, shift + DIGITS) == choice({n: prefix[n] for n in open_nodes}, -1)
-        bins = rows.filter(inside).groupBy("node", F.shiftright(key, shift).bitwiseAND((1 << DIGITS) - 1).alias("bin")).agg(F.sum("weight").alias("weight"))
-        by_node: dict[int, list] = {n: [] for n in open_nodes}
-        for r in bins.collect():
-            by_node[r.node].append((r.bin, float(r.weight)))
-        for n in open_nodes:
-            at = None
-            for b, w in sorted(by_node[n]):
-                if left[n] <= tolerance[n] and at is None:
-                    found[n], left[n] = ((prefix[n] << DIGITS) | b) << shift, 0.0
-                    break
-                at = b
-                if w > left[n]:
-                    break
-                left[n] -= w
-                at = None
-            if n in found:
-                continue
-            if at is None:  # all of it lies before the goal
-                found[n], left[n] = ((prefix[n] + 1) << (shift + DIGITS)), 0.0
-                continue
-            prefix[n] = (prefix[n] << DIGITS) | at
-            if nearest and shift == 0 and dict(by_node[n])[at] < 2 * left[n]:
-                found[n], left[n] = prefix[n] + 1, 0.0
-    for n in goals:
-        found.setdefault(n, prefix[n])
-    return found, {n: max(0.0, left[n]) for n in goals}
-
-
-def kd_shards(df: DataFrame, dimensions: list[str], weight: str, copies: str, doc_id: str, shards: int) -> DataFrame:
-    """df with shard (0 to shards - 1): a k-d tree over the numeric dimensions with leaves of nearly equal weight.
-
-    copies names a long column that is equal for rows to be kept together; such rows are divided only where a boundary has to
-    pass through them. The widest dimension of a node is the one whose values span most of their whole range. Nulls lie at the low end.
-    An empty table gives no rows. df is stored once, as each level reads it.
-    """
-    ranges = df.agg(*[f(d).cast("double").alias(f"{n}{i}") for i, d in enumerate(dimensions) for f, n in ((F.min, "low"), (F.max, "high"))], F.sum(weight).alias("total")).first()
-    total = float(ranges.total or 0)
-    own = F.xxhash64(F.col(doc_id), F.lit(1))
-    axes = [coordinate(F.col(d), F.lit(ranges[f"low{i}"]), F.lit(ranges[f"high{i}"]), F.col(copies)) for i, d in enumerate(dimensions)]
-    rows = reliable(df.select("*", *[a.alias(f"_k{i}") for i, a in enumerate(axes)], F.pmod(own, F.lit(1 << ID_BITS)).alias("_own")))
-    base = rows.select(F.col(weight).alias("weight"), *[f"_k{i}" for i in range(len(axes))], "_own")
-    node: Column = F.lit(0)
-    nodes = [Node(0, 0, shards, total)]
-    while any(n.shards > 1 for n in nodes):
-        splitting = {n.number: n for n in nodes if n.shards > 1}
-        here = base.withColumn("node", node).filter(F.col("node").isin(list(splitting)))
-        spans = here.groupBy("node").agg(*[(F.max(f"_k{i}") - F.min(f"_k{i}")).alias(f"s{i}") for i in range(len(axes))]).collect()
-        widest = {r.node: max(range(len(axes)), key=lambda i, r=r: r[f"s{i}"]) for r in spans}
-        axis = F.coalesce(*[F.when(choice(widest, 0, "int") == i, F.col(f"_k{i}")) for i in range(len(axes))])
-        goals = {k: n.weight * (n.shards // 2) / n.shards for k, n in splitting.items()}
-        tolerance = {k: TOLERANCE * n.weight / n.shards for k, n in splitting.items()}
-        at, missing = descend(here, axis, BITS, goals, tolerance)
-        ties = {k: m for k, m in missing.items() if m > tolerance[k]}
-        cut = dict.fromkeys(at, 0)
-        if ties:
-            tied = here.filter(axis == choice(at, -1)).filter(F.col("node").isin(list(ties)))
-            cut |= descend(tied, F.col("_own"), ID_BITS, ties, tolerance, nearest=True)[0]
-        line, id_line = choice(at, 0), choice(cut, 0)
-        before = (axis < line) | ((axis == line) & (F.col("_own") < id_line))
-        low, high = {}, {}
-        nodes = [n for n in nodes if n.shards == 1]
+        left -= weight
+    else:
+        left += weight
+    return bin_, left, weight
+
+
+def kd_tree(points: DataFrame, axes: list[str], shards: int, grain: float) -> Node:
+    """The tree whose leaves have nearly equal weights. points: weight, and a key of BITS bits for each axis. Cuts are exact to the grain, or to a point's weight."""
+    root = Node(0, shards)
+    while splitting := {n.first: n for n in root.leaves() if n.shards > 1}:
+        here = points.withColumn("node", root.column()).filter(F.col("node").isin(list(splitting)))
+        every = F.explode(F.array(*[F.struct(F.lit(i).alias("axis"), F.shiftrightunsigned(a, BITS - DIGITS).alias("bin")) for i, a in enumerate(axes)]))
+        counts = here.select("node", "weight", every.alias("at")).groupBy("node", "at.axis", "at.bin").agg(F.sum("weight").alias("weight")).collect()
+        prefix, left, line = {}, {}, {}
+        for k, n in splitting.items():
+            bins = [by_node([r for r in counts if r.axis == i]).get(k, []) for i in range(len(axes))]
+            widest = max(range(len(axes)), key=lambda i: bins[i][-1][0] - bins[i][0][0] if bins[i] else -1)
+            n.axis = axes[widest]
+            goal = sum(w for _, w in bins[widest]) * (n.shards // 2) / n.shards
+            if goal:
+                prefix[k], left[k], _ = crossing(bins[widest], goal)
+        key = F.coalesce(*[F.when(F.col("node").isin([k for k in prefix if splitting[k].axis == a]), F.col(a)) for a in axes])
+        for shift in range(BITS - 2 * DIGITS, -1, -DIGITS):
+            unknown = {k: p for k, p in prefix.items() if k not in line}
+            if not unknown:
+                break
+            opened = here.filter(F.shiftrightunsigned(key, shift + DIGITS) == choice(unknown))
+            bins = by_node(opened.groupBy("node", F.shiftrightunsigned(key, shift).bitwiseAND((1 << DIGITS) - 1).alias("bin")).agg(F.sum("weight").alias("weight")).collect())
+            for k in unknown:
+                at, left[k], weight = crossing(bins[k], left[k])
+                prefix[k] = (prefix[k] << DIGITS) | at
+                if left[k] <= grain or weight - left[k] <= grain or not shift:
+                    line[k] = (prefix[k] + (2 * left[k] > weight)) << shift  # the nearer side
         for k, n in splitting.items():
             half = n.shards // 2
-            low[k], high[k] = 2 * k + 1, 2 * k + 2
-            nodes += [Node(2 * k + 1, n.first, half, goals[k]), Node(2 * k + 2, n.first + half, n.shards - half, n.weight - goals[k])]
-        step = F.when(before, choice(low, -1, "int")).otherwise(choice(high, -1, "int"))
-        moved = rows.withColumn("node", node) if "node" not in rows.columns else rows
-        moved = moved.withColumn("node", F.when(F.col("node").isin(list(splitting)), step).otherwise(F.col("node")))
-        rows = reliable(moved)
-        base = rows.select("node", F.col(weight).alias("weight"), *[f"_k{i}" for i in range(len(axes))], "_own")
-        node = F.col("node")
-        actual = {r.node: float(r.weight or 0) for r in base.groupBy("node").agg(F.sum("weight").alias("weight")).collect()}
-        for n in nodes:
-            n.weight = actual.get(n.number, 0.0)
-    leaf = {n.number: n.first for n in nodes}
-    if shards == 1:
-        rows = rows.withColumn("node", F.lit(0))
-    return rows.withColumn("shard", choice(leaf, 0, "int")).drop("node", "_own", *[f"_k{i}" for i in range(len(axes))])
-
-
-def slots(df: DataFrame, shard: str, doc_id: str, rows: int) -> DataFrame:
+            n.line = line.get(k, 0)
+            n.parts = Node(n.first, half), Node(n.first + half, n.shards - half)
+    return root
+
+
+def scaled(value: Column, low: Column, high: Column) -> Column:
+    """A dimension's value as one of 2^DIGITS steps from low to high; nulls lie at the low end."""
+    part = F.when(high > low, (value.cast("double") - low) / (high - low)).otherwise(0.0)
+    return F.coalesce(F.floor(part * ((1 << DIGITS) - 1)), F.lit(0)).cast("long")
+
+
+def ranked(texts: DataFrame, name: str) -> DataFrame:
+    """texts with the column name replaced by the rank of its value, nulls first."""
+    values = reliable(numbered(texts.select(name).distinct(), F.col(name).asc_nulls_first(), "rank").withColumnRenamed(name, "of"))
+    small = F.broadcast(values) if values.count() <= BROADCAST_VALUES else values
+    return texts.join(small, F.col(name).eqNullSafe(F.col("of"))).drop(name, "of").withColumnRenamed("rank", name)
+
+
+def kd_shards(rows: DataFrame, ranks: list[str], measures: list[str], weight: str, copies: str, doc_id: str, number: str, shards: int) -> DataFrame:
+    """rows with shard (0 to shards - 1) and place (a hash by which the rows of a shard can be dealt out), by a k-d tree with leaves of nearly equal weight.
+
+    rows should be stored. copies: a long column, equal for rows to be kept together, which have the dimensions of their smallest values; number: one that differs
+    between all rows. ranks are dimensions by the order of their values, measures numeric ones, taken in STEPS steps. Dimensions come in this order where
+    they are equally wide. Nulls lie at the low end. An empty table gives no rows.
+    """
+    dimensions = [*ranks, *measures]
+    total = float(rows.agg(F.sum(weight)).first()[0] or 0)
+    grain = TOLERANCE * total / shards
+    texts = rows.groupBy(copies).agg(F.sum(weight).alias("weight"), *[F.min(d).alias(d) for d in dimensions])
+    for d in ranks:
+        texts = ranked(texts, d)
+    texts = reliable(texts)
+    ends = texts.agg(*[f(d).cast("double").alias(f"{n}{i}") for i, d in enumerate(dimensions) for f, n in ((F.min, "low"), (F.max, "high"))]).first()
+    steps = lambda d, c: F.floor(c / ((1 << DIGITS) // STEPS)) * ((1 << DIGITS) // STEPS) if d in measures else c
+    dims = [steps(d, scaled(F.col(d), F.lit(ends[f"low{i}"]), F.lit(ends[f"high{i}"]))).alias(f"d{i}") for i, d in enumerate(dimensions)]
+    texts = texts.select(copies, "weight", *dims)
+    axes = [f"k{i}" for i in range(len(dimensions))]
+    text_hash = F.pmod(F.col(copies), F.lit(1 << (DIGITS * DIGITS_OF_TEXT)))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        """The keys from the dimensions, the text's hash and that of the id."""
+        low = F.shiftleft(text_hash, DIGITS).bitwiseOR(F.col("own"))
+        return df.withColumns({k: F.shiftleft(F.col(f"d{i}").cast("long"), BITS - DIGITS).bitwiseOR(low) for i, k in enumerate(axes)})
+
+    # At most shards / TOLERANCE texts, or pairs of a text and an id, outweigh the grain: a bound for the broadcasts.
+    hot = reliable(texts.filter(F.col("weight") > grain))
+    copied = rows.join(F.broadcast(hot.drop("weight")), copies)
+    repeated = reliable(copied.groupBy(copies, doc_id).agg(F.sum(weight).alias("weight")).filter(F.col("weight") > REPEATED * total / shards).select(F.col(copies).alias("_c"), F.col(doc_id).alias("_d")))
+    again = (F.col(copies) == F.col("_c")) & F.col(doc_id).eqNullSafe(F.col("_d"))
+    # Rows that repeat one another are told apart by their number.
+    place = F.when(F.col("_c").isNull(), F.xxhash64(doc_id, copies, F.lit(1))).otherwise(F.xxhash64(number, F.lit(1)))
+    copied = copied.join(F.broadcast(repeated), again, "left").withColumn("place", place).drop("_c", "_d").withColumn("own", F.pmod("place", F.lit(1 << DIGITS)))
+    single = texts.join(hot.select(copies), copies, "left_anti").withColumn("own", F.lit(0).cast("long"))
+    parts = copied.groupBy(copies, "own", *[f"d{i}" for i in range(len(axes))]).agg(F.sum(weight).alias("weight"))
+    points = reliable(keyed(single.unionByName(parts)).select("weight", *axes))
+    shard = kd_tree(points, axes, shards, grain).column().cast("int")
+    alone = rows.join(F.broadcast(hot.select(copies)), copies, "left_anti").join(single.drop("weight"), copies).withColumn("place", F.xxhash64(doc_id, copies, F.lit(1)))
+    return keyed(alone.unionByName(copied)).select(*rows.columns, "place", shard.alias("shard"))
+
+
+def slots(df: DataFrame, shard: str, place: str, number: str, rows: int) -> DataFrame:
     """df with slot: gapless from 0 within each shard.
 
-    A shard is dealt by a hash into runs of about ROWS_A_RUN rows, each numbered in one task; the runs' sizes add up to offsets. rows is the number of df's rows.
+    A shard is dealt by a hash of place into runs of about ROWS_A_RUN rows, each numbered in one task; the runs' sizes add up to offsets. rows is the number of df's rows in a shard.
     """
     runs = max(1, -(-rows // ROWS_A_RUN))
-    dealt = df.withColumn("_run", F.pmod(F.xxhash64(F.col(doc_id), F.lit(2)), F.lit(runs)).cast("int"))
+    dealt = df.withColumn("_run", F.pmod(F.xxhash64(F.col(place), F.lit(2)), F.lit(runs)).cast("int"))
     before = Window.partitionBy(shard).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     sizes = dealt.groupBy(shard, "_run").count()
     offsets = sizes.select(shard, "_run", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(shard, "_run").orderBy(F.xxhash64(F.col(doc_id), F.lit(3)), doc_id)
+    inside = Window.partitionBy(shard, "_run").orderBy(F.xxhash64(F.col(place), F.lit(3)), place, number)
     numbered = dealt.withColumn("_at", F.row_number().over(inside) - 1)
     return numbered.join(offsets, [shard, "_run"]).withColumn("slot", (F.col("_offset") + F.col("_at")).cast("long")).drop("_run", "_offset", "_at")
 
 
-def sharded(df: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sharded(df: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str = "text", ranks: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row.
 
-    size is the text's UTF-8 bytes (null: none) plus 8. The law is bytes: shards have nearly equal sizes. Dimensions are the bytes a character
-    (which tells languages and scripts apart) and the checksum, both properties of the text, so equal texts have equal coordinates; the size is none, as leaves of only large texts could not be balanced. Rows with a null text or id and repeated rows count like others.
+    size is the text's UTF-8 bytes (null: none) plus 8. The law is bytes: shards have nearly equal sizes. Dimensions are the metadata columns of ranks that df
+    has, the bytes of a text (by their logarithm) and its bytes a character, which tells scripts apart. Rows with equal texts share the smallest of each, so
+    copies stay together but where a boundary cuts a group. Rows with a null text, id or metadata and repeated rows count like others; an empty table gives
+    no rows; other columns are not read.
     """
-    n_bytes = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    n_bytes = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long")
+    ranks = tuple(r for r in ranks if r in df.columns)
     rows = df.select(
-        F.col(doc_id).alias("doc_id"),
+        F.col(f"`{doc_id}`").alias("doc_id"),
         (n_bytes + 8).alias("size"),
-        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        (n_bytes / F.greatest(F.coalesce(F.char_length(text), F.lit(0)), F.lit(1))).alias("density"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copies"),
+        F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_crc32"),
+        *[F.col(f"`{r}`").cast("string").alias(f"rank{i}") for i, r in enumerate(ranks)],
+        F.log2(n_bytes + 8).alias("bytes"),
+        (n_bytes / F.greatest(F.coalesce(F.char_length(F.col(f"`{text}`")), F.lit(0)), F.lit(1))).alias("density"),
+        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("copies"),
     )
-    rows = reliable(rows)
-    placed = kd_shards(rows, ["density", "text_crc32"], "size", "copies", "doc_id", shards)
-    numbered = slots(placed, "shard", "doc_id", -(-rows.count() // shards))
-    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    rows = reliable(rows.withColumn("number", F.monotonically_increasing_id()))
+    placed = kd_shards(rows, [f"rank{i}" for i in range(len(ranks))], ["bytes", "density"], "size", "copies", "doc_id", "number", shards)
+    numbered_rows = slots(reliable(placed.select("doc_id", "size", "text_crc32", "number", "place", "shard")), "shard", "place", "number", -(-rows.count() // shards))
+    return numbered_rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -139,6 +139,66 @@ def test_shards(spark):
     assert sharding.sharded(df.limit(0), 6).count() == 0 and {r.shard for r in sharding.sharded(df.limit(9), 1).collect()} == {0}
 
 
+def test_the_tree_against_sorted_points(spark):
+    """Each cut of the tree lies on the widest axis, at the weighted median of the points there, to the grain or one point."""
+    rng = random.Random(12)
+    rows = []
+    for _ in range(600):
+        dims = [rng.randrange(0, 4096), rng.choice([5, 6, 4000]), rng.randrange(100, 900)]
+        rows.append((float(rng.randint(1, 50)), *[d << 36 | rng.getrandbits(36) for d in dims]))
+    rows += [(9.0, *rows[0][1:])] * 40  # points that no cut can part
+    points = spark.createDataFrame(rows, "weight double, k0 long, k1 long, k2 long")
+    axes, grain = ["k0", "k1", "k2"], 0.5
+    tree = sharding.kd_tree(points, axes, 11, grain)
+
+    def check(node, inside):
+        if not node.parts:
+            assert node.shards == 1
+            return
+        spans = {a: max(r[1 + i] >> 36 for r in inside) - min(r[1 + i] >> 36 for r in inside) for i, a in enumerate(axes)}
+        assert spans[node.axis] == max(spans.values())
+        i = axes.index(node.axis)
+        low, high = [r for r in inside if r[1 + i] < node.line], [r for r in inside if r[1 + i] >= node.line]
+        total = sum(r[0] for r in inside)
+        goal = total * node.parts[0].shards / node.shards
+        ordered = sorted(inside, key=lambda r: r[1 + i])
+        best, run = goal, 0.0
+        for at, r in enumerate(ordered):
+            run += r[0]
+            if at + 1 == len(ordered) or ordered[at + 1][1 + i] != r[1 + i]:
+                best = min(best, abs(run - goal))
+        assert abs(sum(r[0] for r in low) - goal) <= best + 2 * grain
+        for part, those in zip(node.parts, (low, high)):
+            check(part, those)
+
+    check(tree, rows)
+    assert [n.first for n in tree.leaves()] == list(range(11))
+
+
+def test_metadata_parts_the_rows(spark):
+    """The first cut is by source: the sources of the lower shards come before those of the upper ones, but for the source that is cut."""
+    rng = random.Random(1)
+    rows = [(i, f"{i} " + "w" * rng.randint(1, 90), rng.choice("abcdefgh"), "xy"[i % 2], i) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, place int")
+    source = {r[0]: r[2] for r in rows}
+    out = sharding.sharded(df, 8).collect()
+    low, high = ({source[r.doc_id] for r in out if (r.shard < 4) == side} for side in (True, False))
+    assert len(low & high) <= 1 + 2 and max(low - high) < min(high - low)
+
+
+def test_one_row_a_third_of_the_table(spark):
+    rows = [(7, "same text for all of these") for _ in range(300)] + [(None, "and these") for _ in range(300)] + [(i, f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.sharded(df, 6).collect()
+    total = Counter()
+    for r in out:
+        total[r.shard] += r["size"]
+    even = sum(total.values()) / 6
+    assert len(out) == 900 and all(abs(t - even) < 0.25 * even for t in total.values()), total
+    for s in range(6):
+        assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+
+
 def targets(sizes):
     """By the rule itself: deal, cap, deal the rest again."""
     weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
