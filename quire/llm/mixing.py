@@ -18,7 +18,7 @@ BLOCK = 128
 SHARE = 1.5
 LIMIT = 2.0
 SHARD_SLOTS = 8192
-ROWS_A_RUN = 20_000
+ROWS_A_RUN = 4096
 SLOTS_A_CHUNK = 1024
 BROADCAST_SOURCES = 10_000
 ROUNDS = 4
@@ -170,6 +170,7 @@ def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """
     sources, placed = packed(df, doc_id, text, source, share, limit)
     times = mix(drawn(sources, block)).groupBy("rank", "index").agg(F.count("*").alias("times"))
-    taken = parts_of(placed, block).join(times, ["rank", "index"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = placed.join(taken, "row", "left")
+    # These grow with the table: never broadcast, however small they look.
+    taken = parts_of(placed, block).join(times.hint("merge"), ["rank", "index"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    out = placed.join(taken.hint("merge"), "row", "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -24,7 +24,7 @@ BITS = DIGITS * (DIGITS_OF_TEXT + 2)
 STEPS = 64  # of a continuous dimension
 TOLERANCE = 1e-3
 REPEATED = 0.1  # share of a shard from which rows that repeat one another (one text, one id) are divided
-ROWS_A_RUN = 20_000
+ROWS_A_RUN = 4096
 BROADCAST_VALUES = 10_000
 
 
