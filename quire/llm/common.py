@@ -80,6 +80,11 @@ def numbered(df: DataFrame, order: Column, name: str) -> DataFrame:
     return dealt.withColumn(name, (before + F.row_number().over(Window.partitionBy(part).orderBy(order)) - 1).cast("long")).drop(part)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt out over a fixed number of partitions, which adaptive execution leaves as they are: for few rows of which each gives many."""
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def in_batches(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
     """Lists of texts of about limit characters each; a longer text is alone in its list."""
     batch: list[str] = []

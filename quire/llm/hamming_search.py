@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import reliable
+from quire.llm.common import reliable, spread
 
 HALF = 16  # masks are listed for so many bits; those of wider segments join two lists
 
@@ -107,7 +107,6 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     segments = cuts(size.codes)
     entries = F.array(*[F.struct(F.lit(j).alias("j"), segment(F.col("code"), cut).alias("value")) for j, cut in enumerate(segments)])
     index = points.select("code", "ids", F.explode(entries).alias("at")).select("at.j", "at.value", "code", "ids")
-    parts = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nothing = F.array().cast(f"array<struct<distance:int,id:{rows.schema['id'].dataType.simpleString()}>>")
     left = asking.select("query").distinct().withColumn("found", nothing).withColumn("worst", F.lit(64))
     answers = None
@@ -115,8 +114,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     renewed = lambda df: df.select(F.col("query").alias("asked"), F.col("found").alias("found"))
     s = 0
     while wanted:
-        # One query gives many probes: they are dealt out over a fixed number of parts, which adaptive execution leaves as they are.
-        left = reliable(left.repartition(parts, "query"))
+        left = reliable(spread(left, "query"))
         if left.isEmpty():
             break
         known = left.select("query", F.explode("found").alias("x")).select("query", "x.distance", "x.id")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import numbered, reliable
+from quire.llm.common import numbered, reliable, spread
 
 BLOCK = 128
 SHARE = 1.5
@@ -55,16 +55,17 @@ def permuted(index: Column, n: Column, seed: Column) -> Column:
     high = F.ceil(F.sqrt(n.cast("double")))
     low = F.ceil(n / high)
 
-    def network(x: Column) -> Column:
-        a, b = F.floor(x / low), F.pmod(x, low)
-        for k in range(ROUNDS):
-            a = F.pmod(a + F.pmod(F.xxhash64(seed, F.lit(2 * k), b), high), high)
-            b = F.pmod(b + F.pmod(F.xxhash64(seed, F.lit(2 * k + 1), a), low), low)
-        return a * low + b
+    def half(cell: Column, k: Column) -> Column:
+        a, b = cell["a"], cell["b"]
+        left = F.pmod(a + F.pmod(F.xxhash64(seed, k, b), high), high)
+        right = F.pmod(b + F.pmod(F.xxhash64(seed, k, a), low), low)
+        return F.when(k % 2 == 0, F.struct(left.alias("a"), b.alias("b"))).otherwise(F.struct(a.alias("a"), right.alias("b")))
 
-    first = network(index)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda at, _: F.when(at < n, at).otherwise(network(at)))
-    return F.when(first < n, first).otherwise(walked)
+    # The rounds are folded, as written out their expression would double with each.
+    start = lambda x: F.struct(F.floor(x / low).alias("a"), F.pmod(x, low).alias("b"))
+    network = lambda x: F.aggregate(F.sequence(F.lit(0), F.lit(2 * ROUNDS - 1)), start(x), half, lambda cell: cell["a"] * low + cell["b"])
+    walk = lambda x: F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), x, lambda at, _: F.when(at < n, at).otherwise(network(at)))
+    return F.transform(F.array(network(index)), lambda x: F.when(x < n, x).otherwise(walk(x)))[0]
 
 
 def laid_out(rows: DataFrame, count: int) -> DataFrame:
@@ -105,7 +106,7 @@ def drawn(sources: DataFrame, block: int, shard_slots: int = SHARD_SLOTS) -> Dat
     shards = max(1, -(-(sized.agg(F.sum("slots")).first()[0] or 0) // shard_slots))
     chunks = sized.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SLOTS_A_CHUNK))).alias("chunk"))
     first = F.col("chunk") * SLOTS_A_CHUNK
-    each = chunks.repartition("rank", "chunk").select("rank", "blocks", F.explode(F.sequence(first, F.least(first + SLOTS_A_CHUNK, F.col("slots")) - 1)).alias("slot"))
+    each = spread(chunks, "rank", "chunk").select("rank", "blocks", F.explode(F.sequence(first, F.least(first + SLOTS_A_CHUNK, F.col("slots")) - 1)).alias("slot"))
     counts = each.groupBy("rank", "blocks", F.pmod(F.xxhash64("rank", "slot", F.lit(7)), F.lit(shards)).alias("shard")).count()
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0).cast("long")))
@@ -115,8 +116,8 @@ def mix(counts: DataFrame) -> DataFrame:
     """(shard, place, rank, index): the block at each place of each output shard, from drawn()."""
     shard = Window.partitionBy("shard")
     before = F.coalesce(F.sum("count").over(shard.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    spread = counts.withColumn("before", before).withColumn("all", F.sum("count").over(shard))
-    each = spread.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("n")).withColumn("slot", F.col("first") + F.col("n"))
+    counted = counts.withColumn("before", before).withColumn("all", F.sum("count").over(shard))
+    each = spread(counted, "rank", "shard").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("n")).withColumn("slot", F.col("first") + F.col("n"))
     turn = F.floor(F.col("slot") / F.col("blocks"))
     return each.select(
         "shard",
