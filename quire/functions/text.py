@@ -27,6 +27,7 @@ FIGURE_REFERENCE = r"(?iu)(?:рис\.?|рисунок[а-яё]*)\s*(\d+(?:\.\d+)
 FIGURE_REFERENCE_INTENDED = r"(?iu)(?:рис\.?|рисун[а-яё]*)\s*(\d+(?:\.\d+)*)"
 FIGURE_ID = r"(?iu)Рис\.?\s+(\d+(?:\.\d+)*)"
 PAGE_TAG = r"<(\d+)>"
+SPECIAL_HEADING = r"\A(?:#{1,6}\s+)?(Раздел|Глава|Часть|раздел|глава|часть)\s+([IVXLCDM]+|\d+)"
 PARTICLES = ["то", "либо", "нибудь", "таки", "ка", "де"]
 
 
@@ -115,8 +116,8 @@ def figure_id(text: Column) -> Column:
 
 def page_of_chunk_file(file: Column) -> Column:
     """The leading digits of a file name as an array of one page, or of none."""
-    number = F.regexp_extract(file, r"\A0*(\d+)", 1).try_cast("int")
-    return F.when(number.isNotNull(), F.array(number)).otherwise(F.array().cast("array<int>"))
+    number = F.regexp_extract(file, r"\A0*(\d+)", 1).try_cast(PAGE)
+    return F.when(number.isNotNull(), F.array(number)).otherwise(F.array().cast(f"array<{PAGE}>"))
 
 
 def page_of_stem(stem: Column) -> Column:
@@ -142,8 +143,11 @@ def without_page_tags(text: Column, leading: bool = False) -> Column:
     return stripped(F.regexp_replace(text, r"\A\s*<\d+>\s*", "")) if leading else F.regexp_replace(text, PAGE_TAG, "")
 
 
+PAGE = "decimal(38,0)"  # of page tags, which have no bound; longer ones than this holds are left out
+
+
 def pages_in(text: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PAGE_TAG), F.lit(1)), lambda x: x.cast("int"))))
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(F.regexp_extract_all(text, F.lit(PAGE_TAG), F.lit(1)), lambda x: x.try_cast(PAGE)))))
 
 
 LEADING_HEADINGS = r"(?U)\A((?:#{1,6}\s+[^\n]*(?:\n|\z))*)"
@@ -219,17 +223,25 @@ def is_text_block(block: Column) -> Column:
     return ~block.rlike(r"(?U)\A\s*(\||#|!\[|<img|\$\$)")
 
 
+def is_unfinished(text: Column) -> Column:
+    """Whether a text stops in mid-sentence."""
+    end = F.regexp_replace(stripped(text), r"[*_]+\z", "")
+    return (F.length(text) > 0) & (end.endswith("-") | ~end.rlike("[.!?»\":;]\\z"))
+
+
 def is_continuation(previous: Column, text: Column) -> Column:
     """Whether text goes on where previous stops."""
-    end = F.regexp_replace(stripped(previous), r"[*_]+\z", "")
-    unfinished = end.endswith("-") | ~end.rlike("[.!?»\":;]\\z")
-    return (F.length(previous) > 0) & (F.length(text) > 0) & ~stripped(text).startswith("#") & unfinished
+    return is_unfinished(previous) & (F.length(text) > 0) & ~stripped(text).startswith("#")
 
 
-def hyphen_resolved(previous: Column, following: Column) -> Column:
-    """previous as it stands before the page tag and the following text: its hyphen goes but before a particle."""
-    word = F.lower(F.regexp_extract(stripped(following), r"\A([а-яА-ЯёЁa-zA-Z]+)", 1))
-    kept = previous.rlike("[а-яА-ЯёЁa-zA-Z]-\\z") & word.isin(PARTICLES)
+def begins_with_particle(text: Column) -> Column:
+    """Whether the first word is one that stays behind its hyphen."""
+    return F.lower(F.regexp_extract(stripped(text), r"\A([а-яА-ЯёЁa-zA-Z]+)", 1)).isin(PARTICLES)
+
+
+def hyphen_resolved(previous: Column, before_particle: Column) -> Column:
+    """previous as it stands before the page tag and the text that follows: its hyphen goes but before a particle."""
+    kept = previous.rlike("[а-яА-ЯёЁa-zA-Z]-\\z") & before_particle
     return F.when(~previous.endswith("-"), F.concat(previous, F.lit(" "))).when(kept, previous).otherwise(F.regexp_replace(previous, r"-\z", ""))
 
 
@@ -304,17 +316,22 @@ def normalized(text: Column) -> Column:
 
 
 def section_key(text: Column) -> Column:
-    """The parts of a section number such as 1.2.3, or of a single one with a dot, at the start; else null."""
+    """The parts of a section number such as 1.2.3, or of a single one with a dot, at the start, without zeros in front; else null. Parts are text, as they have no bound."""
     s = stripped(text)
     number = F.coalesce(F.nullif(F.regexp_extract(s, r"\A(\d+(?:\.\d+)+)[.\s]", 1), F.lit("")), F.nullif(F.regexp_extract(s, r"\A(\d+)\.\s", 1), F.lit("")))
-    return F.transform(F.split(number, r"\."), lambda x: x.cast("int"))
+    return F.transform(F.split(number, r"\."), whole_number)
+
+
+def whole_number(digits: Column) -> Column:
+    """Digits without zeros in front."""
+    return F.regexp_replace(digits, r"\A0+(?=\d)", "")
 
 
 def special_key(text: Column) -> Column:
-    """struct(keyword, number) of a heading by section, chapter or part, its number Arabic or Roman."""
-    pattern = r"\A(?:#{1,6}\s+)?([РрГгЧч](?:аздел|лава|асть))\s+([IVXLCDM]+|\d+)"
-    word, number = F.lower(F.regexp_extract(stripped(text), pattern, 1)), F.regexp_extract(stripped(text), pattern, 2)
-    return F.when(word.isin("раздел", "глава", "часть"), F.struct(word.alias("keyword"), F.coalesce(number.try_cast("int"), roman(number)).alias("number")))
+    """struct(keyword, number) of a heading by section, chapter or part, its number Arabic or Roman, as digits."""
+    word, number = F.lower(F.regexp_extract(stripped(text), SPECIAL_HEADING, 1)), F.regexp_extract(stripped(text), SPECIAL_HEADING, 2)
+    digits = F.when(number.rlike(r"\A\d+\z"), whole_number(number)).otherwise(roman(number).cast("string"))
+    return F.when(word != "", F.struct(word.alias("keyword"), digits.alias("number")))
 
 
 def token_overlap(a: Column, b: Column) -> Column:

@@ -35,21 +35,24 @@ def text_chunks(chapters: DataFrame, size: int = CHUNK_SIZE, overlap: int = OVER
     split = chapters.withColumn("_p", T.headers_and_body(F.col("text")))
     body = F.col("_p.body")
     pieces = F.split(body, T.PAGE_TAG)
-    numbers = F.transform(F.regexp_extract_all(body, F.lit(T.PAGE_TAG), F.lit(1)), lambda x: x.cast("int"))
+    numbers = F.transform(F.regexp_extract_all(body, F.lit(T.PAGE_TAG), F.lit(1)), lambda x: x.try_cast(T.PAGE))
     split = split.withColumn("_pieces", pieces).withColumn("_numbers", numbers).withColumn("_clean", F.array_join("_pieces", ""))
-    sums = F.aggregate(
-        "_pieces", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x)))
+    # The n-th tag's place is the length of what lies before it, without the tags themselves.
+    state = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<pos:int,page:{T.PAGE}>>").alias("marks"))
+    pages = F.arrays_zip(F.slice(F.transform("_pieces", F.length), 1, F.size("_numbers")).alias("n"), F.col("_numbers").alias("page"))
+    marks = F.aggregate(pages, state, lambda a, x: F.struct((a.at + x["n"]).alias("at"), F.concat(a.marks, F.array(F.struct((a.at + x["n"]).alias("pos"), x["page"].alias("page")))).alias("marks")), lambda a: a.marks)
+    split = split.withColumn("_marks", F.when(F.size("_numbers") > 0, marks).otherwise(state.marks)).filter(T.stripped(F.col("_clean")) != "")
+    # Chunks are finished inside the array, so that nothing else of the chapter is copied into each of them.
+    cut = lambda at: F.struct(
+        F.substr(F.col("_clean"), at.s + 1, at.e - at.s).alias("text"),
+        F.array_sort(F.array_compact(F.array_distinct(F.transform(F.filter("_marks", lambda m: (m.pos >= at.s) & (m.pos < at.e)), lambda m: m.page)))).alias("pages"),
     )
-    marks = F.transform("_numbers", lambda n, i: F.struct(F.get(F.col("_sums"), i + 1).alias("pos"), n.alias("page")))
-    split = split.withColumn("_sums", sums).withColumn("_marks", marks).filter(T.stripped(F.col("_clean")) != "")
-    each = split.select("*", F.posexplode(spans(F.length("_clean"), size, overlap, least)).alias("chunk_index", "_at"))
-    inside = F.filter("_marks", lambda m: (m.pos >= F.col("_at.s")) & (m.pos < F.col("_at.e")))
-    chunk = F.substr(F.col("_clean"), F.col("_at.s") + 1, F.col("_at.e") - F.col("_at.s"))
-    each = each.withColumn("chunk", chunk)
+    done = F.transform(spans(F.length("_clean"), size, overlap, least), cut)
+    each = split.select("book_name", "source_file", F.col("_p.headers").alias("headers"), F.posexplode(done).alias("chunk_index", "c"))
+    chunk = F.col("c.text")
     return each.select(
-        "book_name", "source_file", F.lit("text").alias("chunk_type"), "chunk_index", F.col("chunk").alias("text"), F.col("_p.headers").alias("headers"),
-        F.array_sort(F.array_distinct(F.transform(inside, lambda m: m.page))).alias("page_numbers"),
-        T.table_refs(F.col("chunk")).alias("table_refs"), T.figure_refs(F.col("chunk")).alias("figure_refs"), F.col("chunk").alias("full_content"),
+        "book_name", "source_file", F.lit("text").alias("chunk_type"), "chunk_index", chunk.alias("text"), "headers", F.col("c.pages").alias("page_numbers"),
+        T.table_refs(chunk).alias("table_refs"), T.figure_refs(chunk).alias("figure_refs"), chunk.alias("full_content"),
     )
 
 
@@ -179,5 +182,5 @@ def sizes_by_type(chunks: DataFrame, threshold: int = CHUNK_SIZE) -> DataFrame:
 
 
 def oversized(chunks: DataFrame, threshold: int = CHUNK_SIZE) -> DataFrame:
-    """The chunks over the threshold, largest first."""
-    return chunks.withColumn("chars", F.length("text")).filter(F.col("chars") > threshold).orderBy(F.desc("chars"), "book_name", "source_file")
+    """The chunks over the threshold with chars. Sort them where an order is shown."""
+    return chunks.withColumn("chars", F.length("text")).filter(F.col("chars") > threshold)

@@ -41,12 +41,11 @@ def pipe_tables(pages: DataFrame, least: int = 3) -> DataFrame:
 
 def captioned(pages: DataFrame, tables: DataFrame, back: int = 12) -> DataFrame:
     """tables (book_name, file, first_line, ...) with the last caption line in the so many lines above, or null."""
-    marks = lines(pages).filter(T.is_caption_line(F.col("line"))).select("book_name", "file", F.col("line_no").alias("caption_line"), T.stripped(T.without_page_tags(F.col("line"))).alias("caption"))
-    on = ["book_name", "file"]
-    near = tables.join(marks, on, "left").filter(F.col("caption_line").isNull() | True)
-    hit = (F.col("caption_line") < F.col("first_line")) & (F.col("caption_line") >= F.col("first_line") - back)
-    keys = [c for c in tables.columns]
-    return near.groupBy(*keys).agg(F.max_by(F.when(hit, F.col("caption")), F.when(hit, F.col("caption_line"))).alias("caption"))
+    marks = lines(pages).filter(T.is_caption_line(F.col("line"))).select("book_name", "file", "line_no", T.stripped(T.without_page_tags(F.col("line"))).alias("above"))
+    rows = tables.select("book_name", "file", F.col("first_line").alias("line_no"), F.struct(*tables.columns).alias("row"))
+    above = Window.partitionBy("book_name", "file").orderBy("line_no").rangeBetween(-back, -1)
+    both = rows.unionByName(marks, allowMissingColumns=True).withColumn("caption", F.last("above", ignorenulls=True).over(above))
+    return both.filter("row is not null").select("row.*", "caption")
 
 
 def extracted_tables(chapters: DataFrame) -> DataFrame:
@@ -86,15 +85,18 @@ def without_captions(text: Column, pattern: str = FIGURE_START_PATTERN) -> Colum
 
 
 def figure_number(caption: Column) -> Column:
-    return F.regexp_extract(caption, r"(?iu)Рис(?:унок|\.)\s*(\d+)", 1).try_cast("int")
+    return F.regexp_extract(caption, r"(?iu)Рис(?:унок|\.)\s*(\d+)", 1).try_cast("long")
 
 
 def missing_figures(captions: DataFrame) -> DataFrame:
-    """(book_name, largest, missing, unnumbered): numbers from 1 to the largest that no caption of the book has."""
-    numbered = captions.withColumn("number", figure_number(F.col("caption")))
-    per = numbered.groupBy("book_name").agg(F.max("number").alias("largest"), F.collect_set("number").alias("found"), F.count_if(F.col("number").isNull()).alias("unnumbered"))
-    every = F.when(F.col("largest") >= 1, F.sequence(F.lit(1), F.col("largest"))).otherwise(F.array().cast("array<int>"))
-    return per.select("book_name", "largest", F.array_except(every, "found").alias("missing"), "unnumbered")
+    """(book_name, largest, missing, unnumbered): the gaps (first, last) in the numbers of the book's captions, from 1 to the largest."""
+    counted = captions.groupBy("book_name", figure_number(F.col("caption")).alias("number")).agg(F.count("*").alias("n"))
+    before = F.lag("number", 1, 0).over(Window.partitionBy("book_name").orderBy(F.col("number").asc_nulls_first()))
+    gap = F.when(F.col("number") - F.col("before") > 1, F.struct((F.col("before") + 1).alias("first"), (F.col("number") - 1).alias("last")))
+    gaps = counted.withColumn("before", F.coalesce(before, F.lit(0).cast("long"))).groupBy("book_name").agg(
+        F.max("number").alias("largest"), F.array_sort(F.collect_list(gap)).alias("missing"), F.coalesce(F.sum(F.when(F.col("number").isNull(), F.col("n"))), F.lit(0)).alias("unnumbered")
+    )
+    return gaps
 
 
 def _shortened(value: Column) -> Column:
@@ -142,9 +144,9 @@ def table_summary(text: Column) -> Column:
 
 
 def pending(tables: DataFrame, summaries: DataFrame, threshold: int = 1200) -> DataFrame:
-    """Tables (book_name, file, text) over the threshold that have no summary, largest first."""
+    """Tables (book_name, file, text) with chars over the threshold that have no summary. Sort them where an order is shown."""
     large = tables.withColumn("chars", F.length("text")).filter(F.col("chars") > threshold)
-    return large.join(summaries.select("book_name", "file"), ["book_name", "file"], "left_anti").orderBy(F.desc("chars"), "book_name", "file")
+    return large.join(summaries.select("book_name", "file"), ["book_name", "file"], "left_anti")
 
 
 def not_done(items: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -40,23 +40,45 @@ def heading_candidates(lines: DataFrame) -> DataFrame:
     return d.withColumn("looked", T.stripped(F.regexp_replace(looked, r"\A<\d+>\s*", "")))
 
 
+def begun(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(book_name, text, other): texts of longer that begin with one of shorter, or equal it. Beginnings are cut at the lengths that shorter has in the book."""
+    lengths = shorter.groupBy("book_name").agg(F.collect_set(F.length("text")).alias("lengths"))
+    cut = longer.join(lengths, "book_name").select("book_name", "text", F.explode(F.filter("lengths", lambda n: n <= F.length("text"))).alias("n"))
+    return cut.select("book_name", "text", F.substring("text", F.lit(1), F.col("n")).alias("other")).join(shorter.withColumnRenamed("text", "other"), ["book_name", "other"])
+
+
+def overlapping(smaller: DataFrame, larger: DataFrame) -> DataFrame:
+    """(book_name, text, other): pairs of which the first text, if it has no more words, can have LEAST_OVERLAP of them in the other.
+
+    Such a text shares one of its rarest words, all but as many as it must share and one more; so common words find no pairs.
+    """
+    words = lambda d: d.select("book_name", "text", F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
+    index = words(larger)
+    often = index.groupBy("book_name", "word").agg(F.count("*").alias("often"))
+    text = Window.partitionBy("book_name", "text")
+    ranked = words(smaller).join(often, ["book_name", "word"], "left").withColumn("size", F.count("*").over(text))
+    ranked = ranked.withColumn("place", F.row_number().over(text.orderBy(F.coalesce("often", F.lit(0)), "word")))
+    rare = ranked.filter(F.col("often").isNotNull() & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * LEAST_OVERLAP - 1e-9) + 1))
+    return rare.select("book_name", "text", "word").join(index.withColumnRenamed("text", "other"), ["book_name", "word"]).select("book_name", "text", "other")
+
+
 def matches(found: DataFrame, toc: DataFrame) -> DataFrame:
     """found with strategy, entry (the ord of the entry matched) and new_level, null without a match.
 
-    Strategies in order: A exact number, B longest parent number, C special key, D paragraph sign, E equal text, F prefix, G word overlap. Two
-    joins find the entries: one on keys of numbers and special words, one on shared words and first letters; never all with all.
+    Strategies in order: A exact number, B longest parent number, C special key, D paragraph sign, E equal text, F prefix, G word overlap. Joins
+    find the entries: one on keys of numbers and special words, others on whole beginnings and on the rarest words that texts with enough in common must share.
     """
     entries = toc_entries(toc)
     keys = ["book_name", "looked"]
     looked = found.select(*keys).distinct()
     looked = looked.withColumn("section", T.section_key(F.col("looked"))).withColumn("special", T.special_key(F.col("looked")))
     sign = F.nullif(F.regexp_extract("looked", r"\A§\s*(\d+(?:\.\d+)+)[.\s]*", 1), F.lit(""))
-    looked = looked.withColumn("sign", F.transform(F.split(sign, r"\."), lambda x: x.cast("int")))
+    looked = looked.withColumn("sign", F.transform(F.split(sign, r"\."), T.whole_number))
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("looked", r"\A(\d+(?:\.\d+)+)[.\s]*", ""), SPECIAL_HEAD, ""), r"\A§\s*(\d+(?:\.\d+)+)[.\s]*", "")
     looked = looked.withColumn("norm", T.normalized(F.regexp_replace(bare, r"\.+\z", "")))
 
     number = lambda x: F.concat(F.lit("n:"), F.array_join(x, "."))
-    special = F.concat(F.lit("s:"), F.col("special.keyword"), F.lit(":"), F.col("special.number").cast("string"))
+    special = F.concat(F.lit("s:"), F.col("special.keyword"), F.lit(":"), F.col("special.number"))
     offer = lambda strategy, score, key: F.struct(strategy.alias("strategy"), score.cast("double").alias("score"), key.alias("key"))
     none = F.array().cast("array<struct<strategy: string, score: double, key: string>>")
     size = F.size("section")
@@ -71,13 +93,13 @@ def matches(found: DataFrame, toc: DataFrame) -> DataFrame:
     by_key = looked.select(*keys, F.explode(offers).alias("o")).select(*keys, "o.*").join(numbered, ["book_name", "key"])
     by_key = by_key.select(*keys, "strategy", "score", first.alias("cand_ord"), "ord", "level")
 
-    def handles(x: Column) -> Column:
-        words = F.transform(F.array_distinct(F.split(x, " ")), lambda w: F.concat(F.lit("t:"), w))
-        return F.explode(F.when(F.length(x) >= LEAST_PREFIX, F.concat(words, F.array(F.concat(F.lit("h:"), F.substring(x, 1, LEAST_PREFIX))))).otherwise(words))
-
-    texts = entries.filter("normalized <> ''").select("book_name", "normalized", "cand_ord", "ord", "level", handles(F.col("normalized")).alias("key"))
-    words = looked.filter("norm <> ''").select(*keys, "norm", handles(F.col("norm")).alias("key"))
-    pairs = words.join(texts, ["book_name", "key"]).select(*keys, "norm", "normalized", "cand_ord", "ord", "level").distinct()
+    texts = entries.filter("normalized <> ''").select("book_name", "normalized", "cand_ord", "ord", "level")
+    offered = texts.select("book_name", F.col("normalized").alias("text")).distinct()
+    asked = looked.filter("norm <> ''").select("book_name", F.col("norm").alias("text")).distinct()
+    flipped = lambda d: d.select("book_name", F.col("other").alias("text"), F.col("text").alias("other"))
+    pairs = begun(asked, offered).unionByName(flipped(begun(offered, asked))).unionByName(overlapping(asked, offered)).unionByName(flipped(overlapping(offered, asked)))
+    pairs = pairs.select("book_name", F.col("text").alias("norm"), F.col("other").alias("normalized")).distinct()
+    pairs = pairs.join(looked.select(*keys, "norm"), ["book_name", "norm"]).join(texts, ["book_name", "normalized"])
     long_enough = (F.length("norm") >= LEAST_PREFIX) & (F.length("normalized") >= LEAST_PREFIX)
     prefix = F.col("norm").startswith(F.col("normalized")) | F.col("normalized").startswith(F.col("norm"))
     overlap = T.token_overlap(F.col("norm"), F.col("normalized"))

@@ -1,4 +1,7 @@
-"""Books made from the driver's documents: structure is planted by expressions that Spark and DuckDB read alike."""
+"""Books made from the driver's documents: structure is planted by expressions that Spark and DuckDB read alike.
+
+A page's number follows from its document's id, so that no text is sorted to number pages; a book has gaps in its numbers.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 NL = "chr(10)"
 _BASE = """
-select 'Author ' || source || ', Title ' || source as book_name, doc_id, source, text as body,
-  row_number() over (partition by source order by doc_id) as page_no
+select 'Author ' || source || ', Title ' || source as book_name, doc_id, source, text as body, 1 + doc_id + cast(floor(doc_id / 7) as bigint) as page_no
 from documents"""
 
 _TEXT = f"""
@@ -24,7 +26,7 @@ _TEXT = f"""
   || case when doc_id % 8 = 4 then {NL} || ' 42 ' when doc_id % 8 = 5 then ' and so-' else '' end"""
 
 PAGES_SQL = f"""
-select book_name, source, doc_id, cast(page_no as int) as page_no, lpad(cast(page_no as string), 5, '0') || '.md' as file, {_TEXT} as text
+select book_name, source, doc_id, cast(page_no as int) as page_no, lpad(cast(page_no as string), 9, '0') || '.md' as file, {_TEXT} as text
 from ({_BASE}) base"""
 
 # Entries with altered levels; those of every seventh page are missing, and one entry of each book has no page.
@@ -34,7 +36,7 @@ select book_name, cast(page_no as bigint) as ord,
        else '1.' || cast(page_no as string) || '. Тема номер ' || cast(page_no as string) || ' .... 12' end as raw_text,
   cast(case when page_no % 4 = 0 then 3 when page_no % 5 = 1 then 1 else 2 end as int) as level
 from ({_BASE}) base where (page_no % 5 = 1 or page_no % 2 = 0) and page_no % 7 <> 3
-union all select distinct 'Author ' || source || ', Title ' || source, cast(1000000 as bigint), 'Послесловие без страницы', 2 from documents"""
+union all select distinct 'Author ' || source || ', Title ' || source, cast(1000000000000 as bigint), 'Послесловие без страницы', 2 from documents"""
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

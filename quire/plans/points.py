@@ -14,16 +14,24 @@ from quire.functions import text as T
 
 # The offsets of the kinds' indices and the dimensions of the models.
 OFFSETS = {"text": 0, "image": 100_000, "table": 200_000}
-MODELS = (("e5-small", "local", 384), ("e5-base", "local", 768), ("e5-large", "local", 1024), ("minilm", "local", 384), ("gigachat", "api", 1024), ("openai-small", "api", 1536), ("openai-large", "api", 3072))
+MODELS = (
+    ("e5-small", "intfloat/multilingual-e5-small", "huggingface", 384),
+    ("e5-base", "intfloat/multilingual-e5-base", "huggingface", 768),
+    ("e5-large", "intfloat/multilingual-e5-large", "huggingface", 1024),
+    ("minilm-l12", "sentence-transformers/paraphrase-multilingual-MiniLM-L12-v2", "huggingface", 384),
+    ("gigachat-embed", "Embeddings", "gigachat", 1024),
+    ("neuroapi-small", "text-embedding-3-small", "neuroapi", 1536),
+    ("neuroapi-large", "text-embedding-3-large", "neuroapi", 3072),
+)
 API_CHARACTERS = 1900
 
 
 def models(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(MODELS), "model string, provider string, dim int")
+    return spark.createDataFrame(list(MODELS), "model string, id string, provider string, dim int")
 
 
 def dimension(model: str) -> int:
-    for name, _, dim in MODELS:
+    for name, _, _, dim in MODELS:
         if name == model:
             return dim
     raise KeyError(f"no such model: {model}")
@@ -41,12 +49,16 @@ def hashed_vector(text: str, dim: int) -> np.ndarray:
     return out / norm if norm else out
 
 
-PROVIDERS: dict[str, Callable[[list[str], int], list[np.ndarray]]] = {"local": lambda texts, dim: [hashed_vector(t, dim) for t in texts], "api": lambda texts, dim: [hashed_vector(t[:API_CHARACTERS], dim) for t in texts]}
+PROVIDERS: dict[str, Callable[[list[str], int], list[np.ndarray]]] = {
+    "huggingface": lambda texts, dim: [hashed_vector(t, dim) for t in texts],
+    "gigachat": lambda texts, dim: [hashed_vector(t[:API_CHARACTERS], dim) for t in texts],
+    "neuroapi": lambda texts, dim: [hashed_vector(t, dim) for t in texts],
+}
 
 
 def dense(chunks: DataFrame, model: str = "e5-small", text: str = "embedding_text", batch: int = 32) -> DataFrame:
     """chunks with dense (array of float), by the model's provider, which is set up once in each task. E5 models read "passage: " first."""
-    dim, provider = dimension(model), next(p for m, p, _ in MODELS if m == model)
+    dim, provider = dimension(model), next(p for m, _, p, _ in MODELS if m == model)
     prefix = "passage: " if model.startswith("e5") else ""
 
     @F.pandas_udf("array<float>")
@@ -77,11 +89,14 @@ def unit(vector):
 def points(chunks: DataFrame, kind: str = "text", mode: str = "compat") -> DataFrame:
     """chunks (book_name, source_file, chunk_index, text, headers, page_numbers, ...) as points: id, text to embed, and payload.
 
-    The index counts the chunks of a book by file and position, from the kind's offset. Page numbers are strings; fields that are empty are null.
+    The index counts the chunks of a book by file and chunk_index, which counts from 0 in each file, from the kind's offset. Page numbers are strings; fields that are empty are null.
     """
-    order = Window.partitionBy("book_name").orderBy("source_file", "chunk_index")
-    index = F.row_number().over(order) - 1 + OFFSETS[kind]
-    d = chunks.withColumn("idx", index)
+    # Files are numbered by their counts alone: no text takes part in a window.
+    sizes = chunks.groupBy("book_name", "source_file").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("book_name").orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(F.col("book_name").alias("_book"), F.col("source_file").alias("_file"), F.coalesce(before, F.lit(0)).alias("_start"))
+    joined = chunks.join(starts, F.col("book_name").eqNullSafe(F.col("_book")) & F.col("source_file").eqNullSafe(F.col("_file")))
+    d = joined.withColumn("idx", (F.col("_start") + F.col("chunk_index") + OFFSETS[kind]).cast("int"))
     optional = [F.nullif(F.col(c), F.lit("")).alias(c) for c in ("table_id", "figure_id", "author", "title", "year") if c in chunks.columns]
     lists = [F.when(F.size(c) > 0, F.col(c)).alias(c) for c in ("table_refs", "figure_refs") if c in chunks.columns]
     payload = F.struct(
@@ -91,8 +106,9 @@ def points(chunks: DataFrame, kind: str = "text", mode: str = "compat") -> DataF
 
 
 def upserted(old: DataFrame, new: DataFrame, seq: str | None = None) -> DataFrame:
-    """old with the points of new in place of those with their ids; of points of new with one id the last by seq. Nothing is deleted."""
-    order = Window.partitionBy("id").orderBy(F.desc(seq) if seq else F.lit(0))
+    """old with the points of new in place of those with their ids; of points of new with one id the last by seq, then by their content. Nothing is deleted."""
+    content = F.to_json(F.struct(*new.columns)).desc()
+    order = Window.partitionBy("id").orderBy(*([F.desc(seq)] if seq else []), content)
     last = new.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
     return old.join(last.select("id"), "id", "left_anti").unionByName(last)
 
@@ -131,14 +147,15 @@ class Collections:
     def _current(self, name: str) -> str | None:
         fs, at = self._fs(), self._path(name, "versions")
         found = sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
-        return f"{self.root}/{name}/versions/{found[-1]}" if found else None
+        whole = [v for v in found if fs.exists(self._path(name, "versions", v, "_SUCCESS"))]  # a write that failed leaves its folder without one
+        self._next = int(found[-1]) + 1 if found else 0
+        return f"{self.root}/{name}/versions/{whole[-1]}" if whole else None
 
     def write(self, name: str, points: DataFrame, recreate: bool = False) -> None:
         """Upserts points into a new version; the last version is read, never overwritten."""
         now = self._current(name)
-        number = 0 if now is None else int(now.rpartition("/")[2]) + 1
         out = points if recreate or now is None else upserted(self.spark.read.parquet(now), points)
-        out.write.parquet(f"{self.root}/{name}/versions/{number:08d}")
+        out.write.parquet(f"{self.root}/{name}/versions/{self._next:08d}")
 
     def read(self, name: str) -> DataFrame:
         now = self._current(name)

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 
 # What makes a provider's error final, and the retry policy.
-FATAL = ("insufficient", "quota", "unauthorized", "invalid api key", "permission", "balance")
+FATAL = (
+    "insufficient balance", "no resource package", "please recharge", "invalid api key", "incorrect api key", "authentication", "unauthorized",
+    "permission denied", 'code":"1113', 'code": "1113',
+)
 ATTEMPTS, FIRST_PAUSE = 3, 2.0
 
 
@@ -31,6 +34,8 @@ def prompt_row(name: str, description: str, text: str) -> dict:
 
 def updated(table: DataFrame, key: str, value: str, **changes: str) -> DataFrame:
     hit = F.col(key) == value
+    if "updated_at" in table.columns:
+        changes = {"updated_at": time.strftime("%Y-%m-%dT%H:%M:%S")} | changes
     return table.select(*[F.when(hit, F.lit(changes[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in table.columns])
 
 

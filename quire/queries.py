@@ -195,32 +195,84 @@ def paragraph_captions(spark, sf):
     return extraction.figure_captions(pages(spark, sf)).select("book_name", "file", "caption")
 
 
-@query(r"""with n as (select distinct book_name, cast(regexp_extract(text, '(?s).*\*\*Рис\. (\d+)\.\*\*', 1) as int) as k from {p} where text like '%**Рис.%'), m as (select book_name, max(k) as largest from n group by 1)
- select m.book_name, largest, coalesce((select string_agg(cast(x as varchar), ',' order by x) from (select unnest(generate_series(1, largest)) as x) s where x not in (select k from n where n.book_name = m.book_name)), '') as missing from m""")
+@query(r"""with n as (select distinct book_name, cast(regexp_extract(text, '(?s).*\*\*Рис\. (\d+)\.\*\*', 1) as bigint) as k from {p} where text like '%**Рис.%'),
+ g as (select book_name, k, lag(k, 1, 0) over (partition by book_name order by k) as b from n)
+ select book_name, max(k) as largest, coalesce(string_agg((b + 1) || '-' || (k - 1), ',' order by k) filter (where k - b > 1), '') as missing, cast(0 as bigint) as unnumbered from g group by book_name""")
 def figure_sequence_gaps(spark, sf):
     d = extraction.missing_figures(extraction.figure_captions(pages(spark, sf)))
-    return d.select("book_name", "largest", F.array_join(F.transform(F.array_sort("missing"), lambda x: x.cast("string")), ",").alias("missing"))
-
-
-@query(r"""select book_name, count(*) as total, count(*) filter (where page_no % 7 <> 3 and (case when page_no % 4 = 0 then 3 when page_no % 5 = 1 then 1 else 2 end) <> (case when page_no % 5 = 1 then 1 else 2 end)) as wrong_level from {p}
- where page_no % 5 = 1 or page_no % 2 = 0 group by book_name""")
+    gap = lambda x: F.concat(x.first.cast("string"), F.lit("-"), x.last.cast("string"))
+    return d.select("book_name", "largest", F.array_join(F.transform("missing", gap), ",").alias("missing"), "unnumbered")
+
+
+def _strip(x: str) -> str:
+    return rf"regexp_replace({x}, '^[\s\x{{85}}\x{{A0}}\x{{2000}}-\x{{200A}}\x{{3000}}]+|[\s\x{{85}}\x{{A0}}\x{{2000}}-\x{{200A}}\x{{3000}}]+$', '', 'g')"
+
+
+def _section(x: str) -> str:
+    number = rf"coalesce(nullif(regexp_extract({x}, '^(\d+(?:\.\d+)+)[.\s]', 1), ''), nullif(regexp_extract({x}, '^(\d+)\.\s', 1), ''))"
+    return rf"list_transform(string_split({number}, '.'), lambda n: regexp_replace(n, '^0+(\d)', '\1'))"
+
+
+def _special(x: str) -> str:
+    pattern = T.SPECIAL_HEADING
+    return rf"nullif(lower(regexp_extract({x}, '{pattern}', 1)) || ':' || regexp_replace(regexp_extract({x}, '{pattern}', 2), '^0+(\d)', '\1'), ':')"
+
+
+def _normal(x: str) -> str:
+    plain = rf"regexp_replace(regexp_replace(regexp_replace(lower({_strip(x)}), '§\s*', '', 'g'), '\.{{2,}}', ' ', 'g'), '[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Pc}}\s]', ' ', 'g')"
+    return _strip(rf"regexp_replace({plain}, '\s+', ' ', 'g')")
+
+
+# Every heading against every entry of its book: what the joins must find.
+_H, _HEAD = headings, headings.SPECIAL_HEAD
+_CASCADE = rf"""with toc_clean as (select *, {_strip(r"regexp_replace(regexp_replace(regexp_replace(raw_text, '\s*\.{3,}\s*\d*\s*$', ''), '\s+\d+\s*$', ''), '\.+$', '')")} as clean from {{toc}}),
+ e0 as (select *, {_section('clean')} as sec, case when {_section('clean')} is null then {_special('clean')} end as special from toc_clean),
+ e as (select *, {_normal(rf"case when sec is not null then regexp_replace(clean, '^\d+(?:\.\d+)*[.\s]*', '') when special is not null then regexp_replace(clean, '{_HEAD}', '') else clean end")} as norm,
+   case when sec is null and special is null then 0 else 1 end as rank from e0),
+ numbered as (select book_name, sec, special, max(ord) as ord, max_by(level, ord) as level from e where sec is not null or special is not null group by 1, 2, 3),
+ ln as (select book_name, file, unnest(ls) as line, generate_subscripts(ls, 1) - 1 as line_no from (select book_name, file, string_split(text, chr(10)) as ls from {{p}})),
+ k as (select *, case when regexp_matches(line, '{_H.CAPTION.replace("(?iu)", "(?i)")}') then null when regexp_matches(line, '{_H.HEADING}') then 'heading' when regexp_matches(line, '{_H.BARE}') then 'bare'
+   when regexp_matches(line, '{_H.PARAGRAPH}') then 'paragraph' when regexp_matches(line, '{_H.SPECIAL}') then 'special' end as kind from ln),
+ f0 as (select *, {_strip(f"case when kind = 'heading' then regexp_extract(line, '{_H.HEADING}', 2) else line end")} as text from k where kind is not null),
+ f as (select *, {_strip(r"regexp_replace(case when kind = 'special' then regexp_replace(text, '^#{1,6}\s+', '') else text end, '^<\d+>\s*', '')")} as looked from f0),
+ l0 as (select distinct book_name, looked from f),
+ l as (select *, {_section('looked')} as sec, {_special('looked')} as special, list_transform(string_split(nullif(regexp_extract(looked, '^§\s*(\d+(?:\.\d+)+)[.\s]*', 1), ''), '.'), lambda n: regexp_replace(n, '^0+(\d)', '\1')) as sign,
+   {_normal(rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(looked, '^(\d+(?:\.\d+)+)[.\s]*', ''), '{_HEAD}', ''), '^§\s*(\d+(?:\.\d+)+)[.\s]*', ''), '\.+$', '')")} as norm from l0),
+ words as (select l.book_name, looked, e.ord, e.level, e.rank, l.norm as a, e.norm as b, list_distinct(list_filter(string_split(l.norm, ' '), lambda w: w <> '')) as wa, list_distinct(list_filter(string_split(e.norm, ' '), lambda w: w <> '')) as wb
+   from l join e on l.book_name = e.book_name where l.norm <> '' and e.norm <> ''),
+ share as (select *, len(list_intersect(wa, wb)) / least(len(wa), len(wb)) as part from words),
+ offers as (
+   select l.book_name, looked, case when len(n.sec) = len(l.sec) then 'A' else 'B' end as strategy, len(n.sec) as score, 0 as rank, 0 as o, n.ord, n.level from l join numbered n on l.book_name = n.book_name and n.sec = l.sec[1:len(n.sec)]
+   union all select l.book_name, looked, 'C', 0, 0, 0, n.ord, n.level from l join numbered n on l.book_name = n.book_name and n.special = l.special
+   union all select l.book_name, looked, 'D', 0, 0, 0, n.ord, n.level from l join numbered n on l.book_name = n.book_name and n.sec = l.sign
+   union all select book_name, looked, case when a = b then 'E' when length(a) >= 5 and length(b) >= 5 and (starts_with(a, b) or starts_with(b, a)) then 'F' else 'G' end, case when a = b or length(a) >= 5 and length(b) >= 5 and (starts_with(a, b) or starts_with(b, a)) then 0 else part end, rank, ord, ord, level
+     from share where a = b or length(a) >= 5 and length(b) >= 5 and (starts_with(a, b) or starts_with(b, a)) or part >= 0.7 and least(len(string_split(a, ' ')), len(string_split(b, ' '))) >= 2),
+ best as (select * from offers qualify row_number() over (partition by book_name, looked order by strategy, score desc, rank, o) = 1),
+ found as (select f.*, b.strategy, b.ord as entry, b.level as new_level, case when kind = 'heading' then length(regexp_extract(line, '{_H.HEADING}', 1)) end as old_level from f left join best b on f.book_name = b.book_name and f.looked = b.looked)"""
+
+
+@query(_CASCADE + """ select book_name, count(*) as total, count(*) filter (where new_level <> old_level) as wrong_level, count(*) filter (where new_level is null) as not_in_toc, count(*) filter (where new_level = old_level) as correct
+ from found where kind = 'heading' group by book_name""")
 def toc_mismatch_counts(spark, sf):
-    return headings.mismatch_counts(pages(spark, sf), toc(spark, sf)).select("book_name", "total", "wrong_level")
+    return headings.mismatch_counts(pages(spark, sf), toc(spark, sf))
 
 
-@query()
+@query(_CASCADE + " select book_name, file, cast(line_no as int) as line_no, kind, strategy, entry, new_level from found")
 def toc_cascade(spark, sf):
     p = pages(spark, sf)
     lines = p.select("book_name", "file", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return headings.matches(headings.heading_candidates(lines), toc(spark, sf)).select("book_name", "file", "line_no", "kind", "strategy", "entry", "new_level")
 
 
-@query()
+@query(_CASCADE + r""", rows as (select ln.book_name, ln.file, ln.line_no, case when f.kind = 'heading' and f.new_level <> f.old_level then repeat('#', f.new_level) || ' ' || f.text when f.kind = 'heading' and f.new_level is null then f.text
+   when f.kind <> 'heading' and f.new_level is not null then repeat('#', f.new_level) || ' ' || """ + _strip(r"regexp_replace(f.text, '^(?:<\d+>\s*)*(?:#{1,6}\s*)?', '')") + """ else ln.line end as line
+   from ln left join found f on ln.book_name = f.book_name and ln.file = f.file and ln.line_no = f.line_no)
+ select book_name, file, md5(string_agg(line, chr(10) order by line_no)) as text from rows group by 1, 2""")
 def toc_aligned(spark, sf):
     return headings.aligned_pages(pages(spark, sf), toc(spark, sf)).select("book_name", "file", text_of("text"))
 
 
-@query("select book_name, ord, raw_text from {toc} where raw_text = 'Послесловие без страницы'")
+@query(_CASCADE + " select book_name, ord, raw_text from e where not exists (select 1 from found f where f.book_name = e.book_name and f.entry = e.ord)")
 def toc_uncovered(spark, sf):
     return headings.uncovered_entries(pages(spark, sf), toc(spark, sf)).select("book_name", "ord", "raw_text")
 
@@ -234,7 +286,14 @@ def table_markers(spark, sf):
     return _marked(spark, sf).select("book_name", "file", text_of("text"), T.count_blocks(F.col("text")).alias("n")).select("book_name", "file", "text", "n.tables", "n.figures")
 
 
-@query()
+@query("with " + _LINES + r""", r as (select book_name, file, line_no, trim(regexp_replace(line, '<\d+>', '', 'g'), ' ') as bare from l),
+ g as (select *, line_no - row_number() over (partition by book_name, file order by line_no) as run from r where bare like '|%'),
+ pipe as (select book_name, file, count(*) as n from (select book_name, file, run from g group by all having bool_or(regexp_matches(bare, '^\|[\s\-:|]+\|?$'))) group by all),
+ o as (select book_name, file, text, string_split(regexp_replace(text, '(?s)\[TABLE_START\].*?\[TABLE_END\]', '', 'g'), chr(10)) as outside from {p}),
+ each as (select o.book_name, len(regexp_extract_all(text, '(?is)<table\b.*?</table>')) as html, coalesce(pipe.n, 0) as pipe, len(regexp_extract_all(text, '(?is)<figure\b[^>]*>.*?</figure>')) as tags,
+   len(list_filter(outside, lambda x: regexp_matches(x, 'Рис(?:унок|\.)\s+\d+[.\d]*\s'))) as plain, len(regexp_extract_all(text, '\[FIGURE_START\]')) as starts from o left join pipe on o.book_name = pipe.book_name and o.file = pipe.file)
+ select book_name, cast(sum(html) as bigint) as t_html, cast(sum(pipe) as bigint) as t_pipe, cast(sum(html + pipe) as bigint) as t_total, cast(sum(tags) as bigint) as f_figure_tags, cast(sum(plain) as bigint) as f_plain_captions, cast(sum(starts) as bigint) as f_starts
+ from each group by rollup(book_name)""")
 def marker_counts(spark, sf):
     d = pages(spark, sf).select("book_name", boundaries.tables_in(F.col("text")).alias("t"), boundaries.figures_in(F.col("text")).alias("f"))
     return d.rollup("book_name").agg(*[F.sum(c).alias(c.replace(".", "_")) for c in ("t.html", "t.pipe", "t.total", "f.figure_tags", "f.plain_captions", "f.starts")])
@@ -275,7 +334,11 @@ def text_chunks(spark, sf):
     return _text_chunks(spark, sf).select("book_name", "source_file", "chunk_index", text_of("text"), F.length("text").alias("chars"))
 
 
-@query()
+_CHUNK_PAGES = _CHUNKS + r""", tags as (select book_name, file, regexp_extract_all(substr(text, length(top) + 1), '<(\d+)>', 1) as ns, list_transform(regexp_split_to_array(substr(text, length(top) + 1), '<\d+>'), lambda x: length(x)) as ps from h),
+ cp as (select c.*, list_sort(list_distinct(list_transform(list_filter(generate_series(1, len(ns)), lambda k: list_sum(ps[1:k]) >= s and list_sum(ps[1:k]) < e), lambda k: cast(ns[k] as bigint)))) as pages from c join tags on c.book_name = tags.book_name and c.file = tags.file)"""
+
+
+@query(_CHUNK_PAGES + " select book_name, file as source_file, cast(i as int) as chunk_index, array_to_string(pages, ',') as pages from cp")
 def chunk_pages(spark, sf):
     return _text_chunks(spark, sf).select("book_name", "source_file", "chunk_index", F.array_join(F.transform("page_numbers", lambda x: x.cast("string")), ",").alias("pages"))
 
@@ -302,18 +365,29 @@ def _table_chunks(spark, sf):
     return chunks.table_chunks(t, t.select("book_name", "source_file", extraction.table_summary(F.col("text")).alias("summary")), 60)
 
 
-@query()
+# A table's own text if it has at most 60 characters, else its summary.
+_CHOICE = r"""ch as (select book_name, file, case when length(whole) <= 60 then whole else regexp_extract(whole, '^([^\n]*)', 1) || chr(10) || 'Столбцы: '
+    || array_to_string(list_transform(string_split(trim(regexp_extract(whole, '\n(\|[^\n]*)\n\|---', 1), '| '), '|'), lambda x: trim(x)), ', ') || chr(10) || 'Значения: '
+    || array_to_string(list_transform(regexp_extract_all(regexp_extract(whole, '(?s)---\|\n(.*)$', 1), '(?m)^\|\s*([^|]*?)\s*\|', 1), lambda x: x), ', ') end as text, nullif(regexp_extract(whole, '(?i)Таблица\s+(\d+(?:\.\d+)*)', 1), '') as table_id
+  from (select book_name, file, regexp_replace(unnest(regexp_extract_all(text, '(?s)\[TABLE_START\](.*?)\[TABLE_END\]', 1)), '^\s+|\s+$', '', 'g') as whole from {p}))"""
+
+
+@query("with " + _CHOICE + " select book_name, file as source_file, md5(text) as text, table_id from ch")
 def table_chunk_choice(spark, sf):
     return _table_chunks(spark, sf).select("book_name", "source_file", text_of("text"), "table_id")
 
 
-@query()
+@query(_CHUNKS + ", " + _CHOICE + r""", b as (select book_name, file, regexp_replace(regexp_replace(substr(text, length(regexp_extract(text, '\A((?:#{1,6}\s+[^\n]*(?:\n|\z))*)', 1)) + 1), '<\d+>', '', 'g'), '^\s+|\s+$', '', 'g') as t from {p}),
+ fs as (select book_name, regexp_replace(substr(t, i + 1, 1200), '^\s+|\s+$', '', 'g') as text from (select book_name, t, unnest(case when length(t) <= 1200 then [0] else generate_series(0, length(t) - 1, 1200) end) as i from b where t <> '')),
+ every as (select book_name, 'text' as chunk_type, e - s as n from c union all select book_name, 'table', length(text) from ch union all select book_name, 'figure', length(text) from fs where text <> '')
+ select book_name, chunk_type, count(*) as n, cast(sum(n) as bigint) as chars from every group by 1, 2""")
 def chunk_union(spark, sf):
     every = chunks.all_chunks(_text_chunks(spark, sf), _table_chunks(spark, sf), chunks.extracted_chunks(_files(spark, sf), "figure"))
     return every.groupBy("book_name", "chunk_type").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
-@query()
+@query(_CHUNKS + ", " + _CHOICE + r""", mention as (select book_name, file, i, unnest(list_distinct(regexp_extract_all(substr(t, s + 1, e - s), '(?i)(?:табл\.?|таблиц[а-яё]+)\s*(\d+(?:\.\d+)*)', 1))) as ref from c)
+ select m.book_name, m.file as source_file, cast(m.i as int) as chunk_index, m.ref, ch.file as target_file from mention m join ch on m.book_name = ch.book_name and m.ref = ch.table_id""")
 def chunk_ref_join(spark, sf):
     return chunks.referenced(chunks.all_chunks(_text_chunks(spark, sf), _table_chunks(spark, sf))).select("book_name", "source_file", "chunk_index", "ref", "target_file")
 
@@ -353,7 +427,9 @@ def point_ids(spark, sf):
     return d.select("book_name", F.col("idx").cast("long").alias("idx"), T.point_id(F.col("book_name"), F.col("idx"), F.col("text")).alias("id"))
 
 
-@query()
+@query(_CHUNK_PAGES + f""", n as (select *, substr(t, s + 1, e - s) as body, row_number() over (partition by book_name order by file, i) - 1 as idx from cp)
+ select ('0x' || substr(sha256(book_name || '::' || idx || '::' || substr(body, 1, 200)), 1, 13))::bigint as id, cast(idx as int) as idx, book_name, file as source_file, trim(split_part(book_name, ',', 1)) as author,
+   array_to_string(pages, ',') as pages, md5({_strip('body')}) as embedded from n""")
 def point_payload(spark, sf):
     p = points.points(chunks.with_book(_text_chunks(spark, sf)))
     return p.select("id", "idx", "payload.book_name", "payload.source_file", "payload.author", F.array_join("payload.page_numbers", ",").alias("pages"), F.md5("embedding_text").alias("embedded"))

@@ -93,7 +93,10 @@ def test_extraction(spark):
     assert rows[0].body == "| a |\n|---|\n| 1 |" and rows[0].text.startswith("# H\n\nТаблица")
     gaps = spark.createDataFrame([("B", f"Рис. {n}. x") for n in (1, 2, 5, 6)] + [("B", "без номера")], "book_name string, caption string")
     row = extraction.missing_figures(gaps).first()
-    assert sorted(row.missing) == [3, 4] and row.unnumbered == 1
+    assert [tuple(g) for g in row.missing] == [(3, 4)] and row.unnumbered == 1
+    far = spark.createDataFrame([("B", "Рис. 2000000000. x"), ("B", f"Рис. {'7' * 40}. x"), ("C", "x")], "book_name string, caption string")
+    found = {r.book_name: r for r in extraction.missing_figures(far).collect()}
+    assert [tuple(g) for g in found["B"].missing] == [(1, 1999999999)] and found["B"].unnumbered == 1 and found["C"].missing == [] and found["C"].largest is None
 
 
 def test_summaries(spark):

@@ -68,8 +68,17 @@ def test_headers(value):
 def test_headings(value):
     assert value(T.token_overlap, "a b c", "a c d e") == pytest.approx(2 / 3)
     assert [value(T.roman, r) for r in ("XIV", "IX", "MCM", "Q")] == [14, 9, 1900, None]
-    assert value(T.section_key, "1.2.3 Title") == [1, 2, 3] and value(T.section_key, "0. Введение") == [0] and value(T.section_key, "5 Раздел") is None
-    assert tuple(value(T.special_key, "Раздел IV. Имя")) == ("раздел", 4)
+    assert value(T.section_key, "1.02.3 Title") == ["1", "2", "3"] and value(T.section_key, "0. Введение") == ["0"] and value(T.section_key, "5 Раздел") is None
+    assert tuple(value(T.special_key, "Раздел IV. Имя")) == ("раздел", "4")
+    assert tuple(value(T.special_key, "# глава 0012 x")) == ("глава", "12") and value(T.special_key, "рлава 2") is None
+
+
+def test_numbers_without_bound(value):
+    """No number of a text stops a query, however long it is."""
+    long = "9" * 30
+    assert value(T.section_key, f"{long}.007. x") == [long, "7"] and tuple(value(T.special_key, f"Часть {long} x")) == ("часть", long)
+    assert value(T.pages_in, f"<{long}>a<0002>b") == [2, int(long)] and value(T.pages_in, f"<{'9' * 50}>a<3>") == [3]
+    assert value(T.page_of_chunk_file, f"{long}.md") == [int(long)]
     assert value(T.normalized, "§ 1. Имя,  СЛОВО ..... 5") == "1 имя слово 5"
 
 
