@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import articles, boundaries, chapters, chunks, extraction, headings
+from quire.operators import articles, boundaries, chapters, chunks, extraction, headings, page_files
 from quire.plans import corpus, points, registry
 from quire.plans.corpus import pages, toc
 
@@ -316,6 +316,45 @@ def table_summary_pipe(spark, sf):
     return _extracted(spark, sf).select("book_name", "name", extraction.table_summary(t).alias("told"))
 
 
+_PAGE_TABLES = r"""t as (select book_name, file, 1 as ord, '[TABLE_START]' || chr(10) || regexp_extract(text, '\n(Таблица [^\n]*)\n\|', 1) as caption, regexp_extract(text, '(?m)^\|[^\n]*(?:\n\|[^\n]*)*') as body, 'markdown' as type from {p} where regexp_matches(text, '(?m)^\|---')
+  union all select book_name, file, 2, regexp_extract(text, '<caption>(.*?)</caption>', 1), regexp_replace(regexp_extract(text, '(?s)<table.*?</table>'), '<caption>.*?</caption>', ''), 'html' from {p} where text like '%<table%'),
+ n as (select *, row_number() over (partition by book_name, file order by ord) as idx, count(*) over (partition by book_name, file) as total from t)"""
+
+
+@query("with " + _PAGE_TABLES + """ select book_name, file as source_file, replace(file, '.md', '') || case when total > 1 then '-' || idx else '' end || '.md' as name, type, caption, md5(caption || chr(10) || chr(10) || body || chr(10)) as text from n""")
+def page_table_files(spark, sf):
+    return page_files.page_table_files(pages(spark, sf)).select("book_name", "source_file", "name", "type", "caption", text_of("text"))
+
+
+@query(r"""select book_name, file, case when regexp_matches(text, '(?m)^\|---') or text like '%<table%'
+   then md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\[TABLE_START\]\nТаблица [^\n]*\n(\|[^\n]*\n?)*', '', 'g'), '(?s)<table.*?</table>(?:\n(?:\*[^\n]*)?)*', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10)) else md5(text) end as text from {p}""")
+def page_without_tables(spark, sf):
+    return page_files.pages_without_tables(pages(spark, sf)).select("book_name", "file", text_of("text"))
+
+
+def _with_figures(spark, sf):
+    """Every other page with a marked caption, and a marked block that is none."""
+    mark = F.concat(F.lit("\n\n[FIGURE_START]\n<0007> **Рис. "), F.col("doc_id").cast("string"), F.lit(".** Имя\n[FIGURE_END]\n\n\n[FIGURE_START]\n<3> слово\n[FIGURE_END]\n"))
+    return pages(spark, sf).withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat("text", mark)).otherwise(F.col("text")))
+
+
+@query(r"""with h as (select book_name, file, doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x like '#%'), chr(10)) as heads from {p})
+ select book_name, file as source_file, case when doc_id % 2 = 0 then '0007.md' end as name, case when doc_id % 2 = 0 then md5(heads || case when heads = '' then '' else chr(10) || chr(10) end || '**Рис. ' || doc_id || '.** Имя' || chr(10)) end as text, case when doc_id % 2 = 1 then 'no_markers' end as error from h""")
+def chapter_caption_files(spark, sf):
+    return page_files.chapter_caption_files(_with_figures(spark, sf)).select("book_name", "source_file", "name", text_of("text"), "error")
+
+
+@query(r"""with b as (select book_name, file, doc_id, text from {p} where doc_id % 2 = 0)
+ select book_name, file, md5(regexp_replace(regexp_replace(text || chr(10) || chr(10) || chr(10) || chr(10) || chr(10) || 'слово' || chr(10) || chr(10), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10)) as text from b""")
+def page_without_captions(spark, sf):
+    return page_files.cleaned_pages(_with_figures(spark, sf).filter("doc_id % 2 = 0")).select("book_name", "file", text_of("text"))
+
+
+@query("select count(*) filter (where doc_id % 2 = 0) as successes, count(*) filter (where doc_id % 2 = 1) as errors, cast(0 as bigint) as skipped from documents")
+def run_counts(spark, sf):
+    return page_files.run_counts(page_files.chapter_caption_files(_with_figures(spark, sf)))
+
+
 def _text_chunks(spark, sf):
     p = pages(spark, sf).withColumn("text", T.tag_pages(F.col("text"), F.col("file"))).withColumnRenamed("file", "source_file")
     return chunks.text_chunks(p)
