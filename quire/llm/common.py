@@ -31,6 +31,12 @@ def kept_fold(doc_id: str) -> Column:
     return F.coalesce(held_out(doc_id), F.lit(False))
 
 
+def sampled(hashed: Column, share: Column) -> Column:
+    """True for about that share of the values of a 64-bit hash, exactly for all from 1 on: the threshold is a whole long, so that any bound on the
+    number of rows holds at any size of the table."""
+    return (share >= 1) | (hashed < F.floor((share - 0.5) * float(1 << 64)).cast("decimal(20,0)"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset the session must be local (tests),
     and a temporary one is set."""

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import kept_fold, with_texts
+from quire.llm.common import kept_fold, sampled, with_texts
 
 UNDETERMINED = "und"
 ROWS_PER_LANGUAGE = 1200  # rows to learn from, about: the bound of the labelled sample
@@ -59,13 +59,13 @@ def has_letter(text: str) -> bool:
 
 
 def sample(docs: DataFrame, rows: int) -> DataFrame:
-    """(lang, text): about rows documents of each language, chosen by a hash of the id, outside the held-out fold."""
+    """(lang, text): about rows documents of each language, chosen by a hash of id and text, outside the held-out fold. Rows that repeat one another are one."""
     known = docs.filter("lang is not null and text is not null").filter(~kept_fold("doc_id"))
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not sizes:
         return known.select("lang", "text")
     share: Column = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, rows / n))) for k, n in sizes.items()])
-    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
+    return known.filter(sampled(F.xxhash64("doc_id", "text"), share)).select("lang", "text").dropDuplicates()
 
 
 def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
@@ -181,7 +181,8 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
 
 
 def languages(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """df's columns but the text, with lang_pred (und for a null text or one without a letter) and score, its probability.
+    """df's columns but the text, with lang_pred (und for a null text or one without a letter) and score, its probability. Of languages with one
+    probability the first by name is taken.
 
     The score of und is 0. Only the text decides, so equal texts get equal results; repeated rows stay. A column of df with the
     name of a result is replaced.

@@ -17,9 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import kept_fold, reliable, with_texts
+from quire.llm.common import kept_fold, reliable, sampled, with_texts
 
 MAX_TOXIC, MAX_CLEAN = 4000, 16000  # rows to learn from, about: the bound of the labelled sample
+MINIMA = 4
+BROADCAST_STEMS = 200_000
 STEM = 4
 PRIOR = 2.0
 LEAST = 3.0
@@ -100,19 +102,20 @@ def segments(found: list[tuple[int, float]], drift: float) -> list[tuple[int, in
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int) -> DataFrame:
-    """(text, toxic) of labelled documents outside the held-out fold: by a hash of the id, about as many rows as the bounds."""
+    """(text, toxic) of labelled documents outside the held-out fold: by a hash of the id, about as many as the bounds. An id has one text, that of the least hash."""
     own = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     own = own.filter(~kept_fold("doc_id"))
     sizes = {r.toxic: r["count"] for r in own.groupBy("toxic").count().collect()}
     share = F.coalesce(*[F.when(F.col("toxic") == t, F.lit(min(1.0, (max_toxic if t else max_clean) / n))) for t, n in sizes.items()], F.lit(0.0))
-    chosen = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = own.filter(sampled(F.xxhash64("doc_id"), share))
     # The number of ids chosen is bounded by the parameters, so they can be broadcast.
-    return docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """Learns from at most about max_toxic and max_clean labelled rows. Documents that share their least word hash (copies and
-    most near copies) count once."""
+    """Learns from at most about max_toxic and max_clean labelled rows. Documents that share their MINIMA least word hashes (copies and
+    most near copies) count once, with the first of their word lists."""
     sample = labelled_sample(docs, labels, max_toxic, max_clean)
 
     def start():
@@ -120,13 +123,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
 
         def apply(texts):
             sets = [sorted(set(_WORD.findall(t.lower()))) for t in texts]
-            least = [min((digest(w) for w in s), default=0) >> 1 for s in sets]
+            least = [digest(str(sorted(map(digest, s))[:MINIMA])) >> 1 for s in sets]
             return [sets, least]
 
         return apply
 
     texts = reliable(sample.dropDuplicates())
-    bags = with_texts(texts, "text", "words array<string>, least long", start).dropDuplicates(["least", "toxic"])
+    bags = with_texts(texts, "text", "words array<string>, least long", start).groupBy("least", "toxic").agg(F.min("words").alias("words"))
     counts = bags.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(
         F.sum("toxic").cast("double").alias("pos"), F.sum(1 - F.col("toxic")).cast("double").alias("neg")
     )
@@ -144,7 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     mass = base.pos / (base.pos + base.neg)
     prior = F.col("share") / (F.col("share") + (1 - F.col("share")) * (kind / (1 - kind)) * ((1 - mass) / mass))
     by_word = F.log((F.col("pos") + PRIOR * prior) / (F.col("neg") + PRIOR * (1 - prior))) - np.log(mass / (1 - mass))
-    scored = counts.join(kinds, "stem").select("word", "stem", "by_stem", by_word.alias("score"))
+    kinds = reliable(kinds)
+    # Some stems have many words: while they are few, as in any sample of the default bounds, they are sent to the words.
+    scored = counts.join(F.broadcast(kinds) if kinds.count() <= BROADCAST_STEMS else kinds, "stem").select("word", "stem", "by_stem", by_word.alias("score"))
     kept = scored.filter((F.col("score") >= LEAST) | (F.col("by_stem") >= LEAST)).collect()
     model = Model()
     for r in kept:

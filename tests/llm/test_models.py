@@ -149,3 +149,136 @@ def test_pages_rows(spark):
     got = sorted(html_text.main_texts(df).collect(), key=lambda r: r.page_id)
     assert [(r.text, r.n_chars) for r in got] == [("", 0), ("", 0), ("Some text here.", 15), ("Deep text in here.", 18)]
     assert html_text.main_texts(df.limit(0)).count() == 0
+
+
+def test_samples_keep_their_bound(spark):
+    """The threshold is fine enough for any size: shares far below 2^-20 pass almost nothing, and shares from 1 on everything."""
+    from pyspark.sql import functions as F
+
+    from quire.llm.common import sampled
+
+    df = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    for share in (0.0, 1e-9, 0.001, 0.25, 0.5, 0.999, 1.0, 7.0):
+        n = df.filter(sampled(F.col("h"), F.lit(share))).count()
+        want = min(share, 1.0) * 200_000
+        assert abs(n - want) <= 5 * (want * (1 - min(share, 1.0))) ** 0.5 + (share > 0) * 0.5 + 1e-9, (share, n)
+    edge = spark.createDataFrame([(-(2**63),), (-(2**63) + 2**26,), (2**63 - 1,)], "h long")
+    assert [edge.filter(sampled(F.col("h"), F.lit(s))).count() for s in (0.0, 1e-12, 0.999999, 1.0)] == [0, 1, 2, 3]
+
+
+def test_one_document_repeated_is_one_example(spark):
+    rows = [(1, "same text of one document", "xx")] * 500 + [(i, f"autre {i}", "yy") for i in range(2, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.sample(df, 1000).groupBy("lang").count().filter("lang = 'xx'").first()["count"] == 1
+
+
+def plain_training(langs, bags):
+    """The regularised leader with dicts, one example after the other: (idf, weights by language and n-gram, bias by language)."""
+    import math
+
+    languages, n = sorted(set(langs)), len(bags)
+    seen = {}
+    for bag in bags:
+        for g in bag:
+            seen[g] = seen.get(g, 0) + 1
+    idf = {g: math.log((1 + n) / (1 + k)) + 1 for g, k in seen.items()}
+    z, sq = {}, {}
+    used = np.random.default_rng(7).permutation(n)  # too few rows to keep some for the temperature
+
+    def weight(g, j):
+        zi, penalty = z.get((g, j), 0.0), 0.0 if g == "bias" else language.L1
+        if abs(zi) <= penalty:
+            return 0.0
+        return -(zi - math.copysign(penalty, zi)) / ((language.BETA + math.sqrt(sq.get((g, j), 0.0))) / language.ALPHA + language.L2)
+
+    rng = np.random.default_rng(11)
+    for _ in range(language.EPOCHS):
+        for i in rng.permutation(used):
+            total = sum(bags[i].values())
+            x = {g: c / total * idf[g] * language.SCALE for g, c in bags[i].items()} | {"bias": 1.0}
+            scores = [sum(v * weight(g, j) for g, v in x.items()) for j in range(len(languages))]
+            e = [math.exp(s - max(scores)) for s in scores]
+            old = {(g, j): weight(g, j) for g in x for j in range(len(languages))}
+            for j, name in enumerate(languages):
+                off = e[j] / sum(e) - (name == langs[i])
+                for g, v in x.items():
+                    grad, before = v * off, sq.get((g, j), 0.0)
+                    z[g, j] = z.get((g, j), 0.0) + grad - (math.sqrt(before + grad * grad) - math.sqrt(before)) / language.ALPHA * old[g, j]
+                    sq[g, j] = before + grad * grad
+    return idf, {(g, j): weight(g, j) for g in seen for j in range(len(languages))}, [weight("bias", j) for j in range(len(languages))]
+
+
+def test_training_as_a_plain_version_does_it():
+    rng = random.Random(4)
+    texts = [(lang, "".join(rng.choices(letters, k=rng.randint(4, 30)))) for lang, letters in (("aa", "abcd "), ("bb", "cdef "), ("cc", "efgh ")) for _ in range(12)]
+    langs, bags = [x for x, _ in texts], []
+    for _, t in texts:
+        bag = {}
+        for k in language.ORDERS:
+            for b in language.buckets(language.points_of(t), k).tolist():
+                bag[b] = bag.get(b, 0) + 1
+        bags.append(dict(sorted(bag.items())))
+    model = language.train(langs, [np.array(list(b)) for b in bags], [np.array(list(b.values()), float) for b in bags])
+    idf, weights, bias = plain_training(langs, bags)
+    assert model.bias == pytest.approx(bias, rel=1e-6) and model.temperature == 1.0
+    for (g, j), w in weights.items():
+        assert model.table[g, j] == pytest.approx(w * idf[g] * language.SCALE, rel=1e-4, abs=1e-6)
+    untouched = np.ones(len(model.table), bool)
+    untouched[list(idf)] = False
+    assert not model.table[untouched].any() and any(w == 0 for w in weights.values())
+
+
+def test_temperature_has_the_least_loss():
+    rng = np.random.default_rng(2)
+    scores = rng.normal(size=(400, 3)) * 6
+    y = np.array([rng.choice(3, p=language.softmax(s / 3)) for s in scores])
+    loss = lambda t: -np.log(language.softmax(scores / t)[np.arange(400), y] + 1e-12).mean()
+    grid = np.exp(np.linspace(np.log(0.05), np.log(20), 4000))
+    assert language.best_temperature(scores, y) == pytest.approx(grid[np.argmin([loss(t) for t in grid])], rel=5e-3)
+
+
+def test_word_scores_by_their_formulas(spark):
+    """Log-odds under the two-level prior, over counts of documents made by hand."""
+    import math
+
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(120):
+        if fold(i):
+            continue
+        toxic = int(i % 4 == 0)
+        words = rng.sample([f"c{chr(97 + k % 26)}{k:03d}" for k in range(300)], 12) + ([rng.choice(["vilea", "vileb", "vilec", "grimx"])] * 2 if toxic else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0, toxic))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    tox = {i: t for i, _, t in labels}
+    pos, neg = {}, {}
+    for i, text in rows:
+        for w in set(text.split()):
+            side = pos if tox[i] else neg
+            side[w] = side.get(w, 0) + 1
+    vocabulary = set(pos) | set(neg)
+    alone = [w for w in vocabulary if w not in neg]
+    kind = (len(alone) + 0.5) / (len(vocabulary) + 1)
+    mass = sum(pos.values()) / (sum(pos.values()) + sum(neg.values()))
+    want, stems = {}, {}
+    for w in vocabulary:
+        same = [v for v in vocabulary if v[: toxicity.STEM] == w[: toxicity.STEM]]
+        share = (sum(v not in neg for v in same) + toxicity.PRIOR * kind) / (len(same) + toxicity.PRIOR)
+        by_stem = math.log(share / (1 - share)) - math.log(kind / (1 - kind))
+        prior = share / (share + (1 - share) * (kind / (1 - kind)) * ((1 - mass) / mass))
+        score = math.log((pos.get(w, 0) + toxicity.PRIOR * prior) / (neg.get(w, 0) + toxicity.PRIOR * (1 - prior))) - math.log(mass / (1 - mass))
+        if score >= toxicity.LEAST or by_stem >= toxicity.LEAST:
+            want[w] = score if score >= toxicity.LEAST else 0.0
+        if by_stem >= toxicity.LEAST:
+            stems[w[: toxicity.STEM]] = by_stem
+    assert want and model.words == pytest.approx(want) and model.stems == pytest.approx(stems)
+    # lambda solves the equation of the clean words' scores: their exponentials have the mean 1
+    clean = [t for i, t in rows if not tox[i]]
+    hits = [round(s, 1) for t in clean for _, s in model.hits(t)[1]]
+    total = sum(len(t.split()) for t in clean) + 1
+    scores = sorted(set(hits or [toxicity.LEAST]))
+    often = [(hits.count(s) + 0.5) / total if hits else 1.5 / total for s in scores]
+    mean = (1 - sum(often)) * math.exp(-model.rate * toxicity.DRIFT) + sum(f * math.exp(model.rate * s) for f, s in zip(often, scores))
+    assert mean == pytest.approx(1, abs=1e-6)
