@@ -176,6 +176,19 @@ def goes_on(text: str) -> bool:
     return bool(text) and not text.startswith("- ") and ("—" in text or "–" in text or text[-1] in ";:" or bool(re.match("[а-яё]", text)))
 
 
+def figure_line_kind(line: str) -> str:
+    """s: no line under a figure, p: position, l: list item, a: both, o: other text; in upper case where the list stays open behind it."""
+    if not line or line.startswith("#") or "[TABLE_" in line or "[FIGURE_" in line or FIGURE.search(line):
+        return "s"
+    kind = {(True, True): "a", (True, False): "p", (False, True): "l"}.get((bool(POSITION.match(line)), goes_on(line)), "o")
+    return kind.upper() if kind != "o" and line[-1] in ";:" else kind
+
+
+# What belongs to a caption, over the kinds of the lines under it: positions, and behind a colon list items as long as the line before leaves the list open.
+UNDER_CAPTION = re.compile("[AaPp]*")
+UNDER_COLON = re.compile("(?:[APL]|p[ap]*[AP])*(?:[al]|p[ap]*)?")
+
+
 def mark_figures(text: str) -> str:
     """Markers around figure elements and captions outside tables. Marked text stays as it is."""
     text = unmarked(text, FIGURE_START, FIGURE_END)
@@ -183,6 +196,7 @@ def mark_figures(text: str) -> str:
     text = outside_tables(text, lambda p: FIGURE_BLOCK.sub(figure_block, p))
     lines = [x for x in text.split("\n") if not IMAGE.search(x) or IMAGE.sub("", bare(x)).strip()]
     plain = [bare(x) for x in lines]
+    kinds = "".join(map(figure_line_kind, plain))
     ranges: list[tuple[int, int]] = []
     in_table = in_figure = False
     i = 0
@@ -193,17 +207,8 @@ def mark_figures(text: str) -> str:
             i += 1
             continue
         first = i - 1 if i and (not ranges or ranges[-1][1] < i - 1) and (IMG.search(plain[i - 1]) or IMAGE.search(plain[i - 1])) else i
-        last = i
-        for j in range(i + 1, min(len(lines), i + 1 + LIST_AHEAD)):
-            x = plain[j]
-            if not x or x.startswith("#") or "[TABLE_" in x or "[FIGURE_" in x or FIGURE.search(x):
-                break
-            listed = plain[i].endswith(":") and plain[j - 1][-1:] in (":", ";") and goes_on(x)
-            if not POSITION.match(x) and not listed:
-                break
-            last = j
-            if listed and x[-1] not in ";:":
-                break
+        under = UNDER_COLON if plain[i].endswith(":") else UNDER_CAPTION
+        last = i + len(under.match(kinds, i + 1, i + 1 + LIST_AHEAD)[0])
         ranges.append((first, last))
         i = last + 1
     return surrounded(lines, ranges, FIGURE_START, FIGURE_END) if ranges else re.sub(r"\n{4,}", "\n\n\n", "\n".join(lines))

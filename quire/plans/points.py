@@ -66,7 +66,10 @@ def dense(chunks: DataFrame, model: str = "e5-small", text: str = "embedding_tex
         run = PROVIDERS[provider]
         for texts in parts:
             full = [t if t.startswith(prefix) else prefix + t for t in texts.fillna("")]
-            yield pd.Series([v for k in range(0, len(full), batch) for v in run(full[k : k + batch], dim)])
+            vectors = [v for k in range(0, len(full), batch) for v in run(full[k : k + batch], dim)]
+            if len(vectors) != len(full):
+                raise ValueError(f"{len(full)} texts, but {len(vectors)} vectors")
+            yield pd.Series(vectors)
 
     return chunks.withColumn("dense", embed(text))
 
@@ -105,6 +108,24 @@ def points(chunks: DataFrame, kind: str = "text", mode: str = "compat") -> DataF
     return d.select(T.point_id(F.col("book_name"), F.col("idx"), F.col("text")).alias("id"), "idx", T.embedding_text(F.col("text"), F.col("headers"), mode).alias("embedding_text"), payload.alias("payload"))
 
 
+def image_points(described: DataFrame, mode: str = "compat") -> DataFrame:
+    """described (book_name, image, description) as points of the images' kind, by name within their book; the text is the description."""
+    by_name = F.row_number().over(Window.partitionBy("book_name").orderBy("image"))
+    light = described.select("book_name", "image").distinct().withColumn("chunk_index", (by_name - 1).cast("int"))
+    named = T.author_and_title(F.col("book_name"))
+    rows = described.join(light, ["book_name", "image"]).select(
+        "book_name", F.lit("images").alias("source_file"), "chunk_index", F.col("description").alias("text"), F.lit(None).cast("map<int,string>").alias("headers"),
+        F.array().cast(f"array<{T.PAGE}>").alias("page_numbers"), F.col("description").alias("full_content"), named.author.alias("author"), named.title.alias("title"),
+    )
+    return points(rows, "image", mode)
+
+
+def vector_run(points: DataFrame, model: str, with_sparse: bool = True) -> DataFrame:
+    """Points of any kind with their vectors. A provider that gives another number of vectors than it got texts ends the run."""
+    d = dense(points, model)
+    return sparse(d) if with_sparse else d
+
+
 def upserted(old: DataFrame, new: DataFrame, seq: str | None = None) -> DataFrame:
     """old with the points of new in place of those with their ids; of points of new with one id the last by seq, then by their content. Nothing is deleted."""
     content = F.to_json(F.struct(*new.columns)).desc()

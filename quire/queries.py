@@ -474,6 +474,15 @@ def point_payload(spark, sf):
     return p.select("id", "idx", "payload.book_name", "payload.source_file", "payload.author", F.array_join("payload.page_numbers", ",").alias("pages"), F.md5("embedding_text").alias("embedded"))
 
 
+@query(f"""with i as (select 'Author ' || source || ', Title ' || source as book_name, 'i' || lpad(cast(doc_id as varchar), 12, '0') as image, text from documents where doc_id % 2 = 0),
+ n as (select *, row_number() over (partition by book_name order by image) - 1 + 100000 as idx from i)
+ select ('0x' || substr(sha256(book_name || '::' || idx || '::' || substr(text, 1, 200)), 1, 13))::bigint as id, cast(idx as int) as idx, trim(split_part(book_name, ',', 1)) as author, md5({_strip('text')}) as embedded from n""")
+def image_points(spark, sf):
+    d = corpus.view(spark, sf, "documents").filter("doc_id % 2 = 0")
+    described = d.select(F.format_string("Author %s, Title %s", "source", "source").alias("book_name"), F.format_string("i%012d", "doc_id").alias("image"), F.col("text").alias("description"))
+    return points.image_points(described).select("id", "idx", "payload.author", F.md5("embedding_text").alias("embedded"))
+
+
 @query("select doc_id as id, case when doc_id % 10 = 0 then 'new' else 'old' end as version from documents where doc_id % 3 = 0 or doc_id % 10 = 0")
 def point_upsert(spark, sf):
     d = corpus.view(spark, sf, "documents").select(F.col("doc_id").alias("id"))

@@ -124,3 +124,31 @@ def export_csv(df: DataFrame, path: str) -> None:
     """A report as CSV with a header; lists are joined by semicolons."""
     flat = [F.array_join(F.col(n).cast("array<string>"), "; ").alias(n) if t.startswith("array") else F.col(n) for n, t in df.dtypes]
     df.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+
+
+def listing(spark: SparkSession, path: str, extensions: tuple[str, ...]) -> DataFrame:
+    """(path, file, stem, bytes) of the files under a path, or a pattern of paths, with one of the extensions in any case; contents are not read."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    d = df.select("path", *[c.alias(n) for n, c in _parts(F.col("path")).items()], F.col("length").alias("bytes"))
+    return d.filter(F.lower("file").rlike(r"\.(" + "|".join(extensions) + r")\z"))
+
+
+def book_files(spark: SparkSession, root: str, stage: str, extensions: tuple[str, ...], books: list[str] | None = None) -> DataFrame:
+    """(book_name, file, stem, bytes) of root/<book>/<stage>: the images of a contents folder (convert_in_jpg/toc), the split files of a book (split_pdf)."""
+    d = listing(spark, f"{root}/*/{stage}", extensions).withColumn("book_name", book_of(F.col("path"), stage))
+    d = d.filter(F.col("book_name").isin(books)) if books is not None else d
+    return d.select("book_name", "file", "stem", "bytes")
+
+
+def parsed_stems(spark: SparkSession, root: str) -> DataFrame:
+    """(stem): the folders under root with a Markdown file in them, which are the articles already parsed."""
+    found = listing(spark, f"{root}/*/*.md", ("md",))
+    return found.select(F.url_decode(F.element_at(F.split("path", "/"), -2)).alias("stem")).distinct()
+
+
+def available(names: DataFrame, *listings: DataFrame, on: str = "file") -> DataFrame:
+    """The rows of names that one of the listings (a cache, a source) has."""
+    every = listings[0].select(on)
+    for more in listings[1:]:
+        every = every.unionByName(more.select(on))
+    return names.join(every, on, "left_semi")
