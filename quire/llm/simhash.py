@@ -258,14 +258,19 @@ def alike(batches: Iterator[pd.DataFrame], least: float, limit: int | None = Non
         out = []
         while len(left) > 1:
             queue, left = [left[0]], left[1:]
+            joined = list(queue)
             while queue and len(left):
                 at = queue.pop()
                 near = (own[left] == own[at]).mean(axis=1) >= least
                 if near.any():
-                    hits = left[near]
-                    out += [(int(keys[at]), int(keys[x]), False) for x in hits]
-                    queue.extend(hits.tolist())
+                    hits = left[near].tolist()
+                    queue.extend(hits)
+                    joined += hits
                     left = left[~near]
+            # The smallest key is the root, so that the bands of one group give the same edges.
+            members = keys[joined]
+            root = int(members.min())
+            out += [(root, int(k), False) for k in members if k != root]
         return out
 
     def rows(found):
