@@ -51,6 +51,20 @@ HINTS = {
     "main": "article content main post entry story body text maincontent articlebody blogpost prose",
 }
 HINTS = {word: kind for kind, words in reversed(HINTS.items()) for word in words.split()}
+# Names that the made-up pages give their elements, in the manner of templates in several languages; the words in them are learnt from.
+NAMES = {
+    "menu": "site-nav main-menu top_links burger-drawer crumbs utility-links navi hauptmenue menu-principal barra-navegacion jump-links primaryTabs",
+    "frame": "site-head topline brandbar page-header kopfzeile entete cabecera site-footer bottom-bar fusszeile pied-page imprint legal-lines pie-pagina",
+    "side": "sidebar col-right rail related-posts seitenleiste weitere-artikel lire-aussi barra-lateral relacionados most-read popular-now teaserList",
+    "advert": "ad-slot ad banner-top promo-box sponsored-links werbung anzeige publicite annonce publicidad patrocinado partner-offers",
+    "notice": "cookie-bar consent-layer newsletter-box hinweis-leiste gdpr-note abo-hinweis avis-cookies inscription-lettre aviso-legal paywall-note modal-window alertBox",
+    "form": "search-form login-box suchfeld kontaktformular recherche formulaire buscador registro contact-panel feedback-form",
+    "comment": "comment-list comments reader-replies kommentare leserbriefe commentaires comentarios opiniones discussion-thread post-comments respond",
+    "share": "share-buttons social-links tags-line teilen partager compartir byline-meta print-tools follow-us hidden-note",
+    "main": "article-body entry-content post-text story-main artikel-inhalt beitrag corps-article contenu-principal cuerpo-noticia contenido main-column textblock",
+}
+NAMES = {kind: tuple(names.split()) for kind, names in NAMES.items()}
+LEAST_SEEN = 5  # a word of names is learnt from so many nodes on
 
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>"'<]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>"'<]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -65,6 +79,7 @@ class Node:
     parent: int
     hint: str
     inline: bool
+    words: tuple = ()  # of its names
     parts: list = field(default_factory=list)  # its texts, and the numbers of its children, in page order
     children: list = field(default_factory=list)
     linked: int = 0
@@ -84,6 +99,11 @@ def hint_of(attributes: str) -> str:
     return found
 
 
+def words_of(attributes: str) -> tuple:
+    """The words in an element's names, each once, in lower case."""
+    return tuple(sorted({w.lower() for value in _NAMES.findall(attributes) for w in _WORDS.findall(value)}))
+
+
 def parse(page: str) -> list[Node]:
     """The nodes, each after its parent; the first is the root. Broken markup is mended as browsers do in the common cases."""
     nodes = [Node("#root", -1, "none", False)]
@@ -148,7 +168,7 @@ def parse(page: str) -> list[Node]:
             number = holder
         else:
             number = len(nodes)
-            nodes.append(Node(tag, holder, hint, inline))
+            nodes.append(Node(tag, holder, hint, inline, words_of(attributes) if attributes else ()))
             nodes[holder].parts.append(number)
             nodes[holder].children.append(number)
         if tag in RAW:
@@ -186,6 +206,7 @@ def features(nodes: list[Node]) -> list[tuple]:
         out.append((
             ("tag", node.tag), ("hint", node.hint), ("own", bucket(len(own[k]), (1, 25, 80, 200))),
             ("links", node.tag, bucket(share, (0, 0.2, 0.6))), ("sentence", 2 if not own[k] else int(bool(_SENTENCE.search(own[k])))),
+            *[("name", w) for w in node.words],
         ))
     return out
 
@@ -254,9 +275,11 @@ def train(pages: Iterable[tuple[str, set[str]]], smoothing: float = 0.5) -> Mode
                 values.setdefault(x[0], set()).add(x)
             if k:
                 edges[state[nodes[k].parent], state[k]] += 1
+    if "name" in values:
+        values["name"] = {x for x in values["name"] if counts[x, False] + counts[x, True] >= LEAST_SEEN}
     of = lambda x, s, kinds: (counts[x, s] + smoothing) / (totals[s] + smoothing * (kinds + 1))
     seen = {x: (of(x, False, len(v)), of(x, True, len(v))) for v in values.values() for x in v}
-    unseen = {name: (1.0, 1.0) for name in values}
+    unseen = {name: (1.0, 1.0) for name in (*values, "name")}
     row = lambda s: tuple((edges[s, t] + smoothing) / (edges[s, False] + edges[s, True] + 2 * smoothing) for t in (False, True))
     return Model(seen, unseen, (row(False), row(True)), (0.5, 0.5))
 
@@ -272,8 +295,8 @@ def runs(parts: list) -> list[list[str]]:
     return [r for r in out if r]
 
 
-def labelled_pages(count: int = 400, seed: int = 5) -> list[tuple[str, set[str]]]:
-    """Made-up pages with known content: templates of many kinds, with words that say nothing."""
+def labelled_pages(count: int = 400, seed: int = 5, names: dict[str, tuple[str, ...]] = NAMES) -> list[tuple[str, set[str]]]:
+    """Made-up pages with known content: templates of many kinds whose elements have these names, with words that say nothing."""
     rng = random.Random(seed)
     letters = "abcdefghijklmnopqrstuvwxyzéüñ"
     word = lambda: "".join(rng.choices(letters, k=rng.randint(1, 9)))
@@ -286,11 +309,10 @@ def labelled_pages(count: int = 400, seed: int = 5) -> list[tuple[str, set[str]]
     def prose(low: int = 1, high: int = 8) -> str:
         return " ".join(sentence() for _ in range(rng.randint(low, high)))
 
-    def name(kinds: str) -> str:
-        words = [w for w, k in HINTS.items() if k in kinds.split()]
-        own = rng.choice(words)
-        own = rng.choice([own, f"{word()}-{own}", f"{own}_{word()}", own.capitalize()])
-        return rng.choice([f' class="{own}"', f' id="{own}"', f' class="{word()} {own}"', ""])
+    def name(kind: str, bare: float = 0.25) -> str:
+        own = rng.choice(names[kind])
+        own = rng.choice([own, own, f"{word()}-{own}", f"{own}_{word()}", own.capitalize()])
+        return "" if rng.random() < bare else rng.choice([f' class="{own}"', f' id="{own}"', f' class="{word()} {own}"'])
 
     def link() -> str:
         return f'<a href="/{word()}">{" ".join(word() for _ in range(rng.randint(1, 4)))}</a>'
@@ -300,25 +322,23 @@ def labelled_pages(count: int = 400, seed: int = 5) -> list[tuple[str, set[str]]
 
     def boilerplate(kind: str) -> str:
         if kind == "menu":
-            return rng.choice([f"<nav{name('menu')}>{items()}</nav>", f"<div{name('menu') or ' class=menu'}>{items()}</div>", f"<nav>{' '.join(link() for _ in range(5))}</nav>"])
+            return rng.choice([f"<nav{name('menu')}>{items()}</nav>", f"<div{name('menu', 0)}>{items()}</div>", f"<nav>{' '.join(link() for _ in range(5))}</nav>"])
         if kind == "header":
             return f"<header{name('frame')}>{rng.choice([f'<h1>{sentence(1, 4)}</h1>', f'<p>{sentence()}</p>', link(), f'<div>{word()}</div>'])}{items() if rng.random() < 0.5 else ''}</header>"
         if kind == "footer":
             inner = rng.choice([f"&copy; {word()} {sentence()}", f"<p>{prose()}</p>", f"<p>{sentence()}</p>{items()}", f"<div>{prose(1, 3)}</div>"])
-            return rng.choice([f"<footer{name('frame')}>{inner}</footer>", f'<div class="footer">{inner}</div>', f'<div id="site-footer">{inner}</div>'])
+            return rng.choice([f"<footer{name('frame')}>{inner}</footer>", f"<div{name('frame', 0)}>{inner}</div>"])
         if kind == "side":
-            return rng.choice([f"<aside{name('side')}>{rng.choice([items(), f'<p>{prose(1, 4)}</p>', f'<h3>{sentence(1, 4)}</h3>{items()}'])}</aside>", f'<div class="sidebar"><h3>{sentence(1, 3)}</h3>{rng.choice([items(), f"<p>{prose(1, 4)}</p>"])}</div>'])
+            return rng.choice([f"<aside{name('side')}>{rng.choice([items(), f'<p>{prose(1, 4)}</p>', f'<h3>{sentence(1, 4)}</h3>{items()}'])}</aside>", f'<div{name("side", 0)}><h3>{sentence(1, 3)}</h3>{rng.choice([items(), f"<p>{prose(1, 4)}</p>"])}</div>'])
         if kind == "comments":
-            tag, holder, own = rng.choice(["div", "li", "article"]), rng.choice(["section", "div", "ol"]), rng.choice(["comment", "reply", "comment-body"])
-            each = "".join(f'<{tag} class="{own}"><p>{prose(1, 6)}</p></{tag}>' for _ in range(rng.randint(1, 4)))
-            return f'<{holder} {rng.choice(["id", "class"])}="comments"><h3>{sentence(1, 3)}</h3>{each}</{holder}>'
+            tag, holder, own = rng.choice(["div", "li", "article"]), rng.choice(["section", "div", "ol"]), name("comment")
+            each = "".join(f"<{tag}{own}><p>{prose(1, 6)}</p></{tag}>" for _ in range(rng.randint(1, 4)))
+            return f"<{holder}{name('comment', 0)}><h3>{sentence(1, 3)}</h3>{each}</{holder}>"
         if kind == "form":
             return f"<form{name('form')}><label>{sentence(1, 4)}</label><input name=q><p>{sentence()}</p><select><option>{word()}<option>{word()}</select><button>{word()}</button></form>"
-        kinds = {"advert": "advert", "notice": "notice", "share": "share"}[kind]
-        words = [w for w, k in HINTS.items() if k == kinds]
         tag = rng.choice(["div", "div", "section", "p", "aside"])
         inner = rng.choice([prose(1, 3), sentence(), link(), items() if tag != "p" else sentence(), f"<p>{prose(1, 3)}</p>" if tag != "p" else sentence()])
-        return f'<{tag} {rng.choice(["class", "id"])}="{rng.choice(["", word() + "-"])}{rng.choice(words)}">{inner}</{tag}>'
+        return f"<{tag}{name(kind, 0)}>{inner}</{tag}>"
 
     out = []
     every = ["menu", "header", "footer", "side", "comments", "form", "advert", "notice", "share"]
@@ -348,7 +368,8 @@ def labelled_pages(count: int = 400, seed: int = 5) -> list[tuple[str, set[str]]
         body = "".join(parts)
         if rng.random() < 0.3:
             body += boilerplate("comments")
-        holder = rng.choice(['<article>{}</article>'] * 4 + ['<main>{}</main>', '<main><article class="post">{}</article></main>', '<div class="content">{}</div>', '<div id="main"><div class="article-body">{}</div></div>', '<section class="entry">{}</section>', '<div>{}</div>'])
+        own = name("main", 0)
+        holder = rng.choice(["<article>{}</article>"] * 4 + ["<main>{}</main>", f"<main><article{own}>{{}}</article></main>", f"<div{own}>{{}}</div>", f"<div{own}><div{name('main')}>{{}}</div></div>", f"<section{own}>{{}}</section>", "<div>{}</div>"])
         before = [boilerplate(k) for k in rng.sample(every, rng.randint(0, 4))]
         after = [boilerplate(k) for k in rng.sample(every, rng.randint(0, 4))]
         head = f"<html><head><title>{sentence()}</title><style>p{{}}</style><script>var a='</p>';</script></head>"

@@ -282,3 +282,45 @@ def test_word_scores_by_their_formulas(spark):
     often = [(hits.count(s) + 0.5) / total if hits else 1.5 / total for s in scores]
     mean = (1 - sum(often)) * math.exp(-model.rate * toxicity.DRIFT) + sum(f * math.exp(model.rate * s) for f, s in zip(often, scores))
     assert mean == pytest.approx(1, abs=1e-6)
+
+
+def block_f1(model, pages):
+    hit = extra = missed = 0
+    for page, wanted in pages:
+        got = set(html_text.main_text(page, model).split("\n")) - {""}
+        hit, extra, missed = hit + len(got & wanted), extra + len(got - wanted), missed + len(wanted - got)
+    return 2 * hit / (2 * hit + extra + missed)
+
+
+def test_templates_with_names_not_trained_on():
+    """A third of the names is kept from training; pages that use these alone must be read by words in common, tags and structure."""
+    part = lambda held: {kind: tuple(n for i, n in enumerate(names) if (i % 3 == 0) == held) for kind, names in html_text.NAMES.items()}
+    model = html_text.train(html_text.labelled_pages(300, 5, part(False)))
+    assert block_f1(model, html_text.labelled_pages(150, 99, part(True))) > 0.9
+    assert block_f1(model, html_text.labelled_pages(150, 99, part(False))) > 0.97
+    assert ("name", "werbung") in html_text.default_model().seen and "werbung" not in html_text.HINTS
+
+
+PAGES_BY_HAND = [
+    (
+        '<html><body><div id="kopfzeile"><a href="/">Zeitung</a><ul><li><a href=/a>Politik</a><li><a href=/b>Sport</a></ul></div>'
+        '<div class="artikel-inhalt"><h2>Regen am Montag</h2><p>Am Montag regnet es im Norden, sagt der Wetterdienst. Im S&uuml;den bleibt es trocken.</p><p>Am Dienstag kommt die Sonne zur&uuml;ck.</p></div>'
+        '<div class="werbung">Jetzt kaufen!</div><div class="kommentare"><div class="kommentar"><p>Das glaube ich nicht.</p></div></div><div id="fusszeile">&copy; Zeitung</div></body></html>',
+        ["Regen am Montag", "Am Montag regnet es im Norden, sagt der Wetterdienst. Im Süden bleibt es trocken.", "Am Dienstag kommt die Sonne zurück."],
+    ),
+    (
+        "<!doctype html><title>t</title><nav><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></nav><main><h1>Bread at home</h1><p>Mix flour and water, then wait.<p>Bake for forty minutes at high heat. Let it cool."
+        "<ul><li>500 g of flour.<li>350 g of water.</ul></main><aside><h3>More</h3><ul><li><a href=x>Soup</a><li><a href=y>Cake</a></ul></aside><footer>Legal notes</footer>",
+        ["Bread at home", "Mix flour and water, then wait.", "Bake for forty minutes at high heat. Let it cool.", "500 g of flour.", "350 g of water."],
+    ),
+    (
+        '<body><div class="cookie-bar"><p>We use cookies.</p><button>OK</button></div><section class="post-text"><h1>On rivers</h1><p>Rivers carve valleys over long times, and they carry sand.</p>'
+        '<form class="newsletter-box"><label>Mail</label><input></form><blockquote><p>No man steps into one river twice.</p></blockquote></section><div class="share-buttons"><a href=f>Share</a></div></body>',
+        ["On rivers", "Rivers carve valleys over long times, and they carry sand.", "No man steps into one river twice."],
+    ),
+]
+
+
+@pytest.mark.parametrize("page,blocks", PAGES_BY_HAND)
+def test_pages_by_hand(page, blocks):
+    assert html_text.main_text(page, html_text.default_model()).split("\n") == blocks
