@@ -60,8 +60,14 @@ STAGES = [
 ORACLE_SQL = None  # models, fingerprints and the mix cannot be expressed there; tests/llm/test_pipeline.py has a brute-force version
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents of sf_dir. The tables between them lie in the shared folder."""
+    """All stages over documents of sf_dir. The tables between them lie in the shared folder; each goes when the next one is written, and the last one, which
+    the result reads, stays."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/quire-pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
@@ -70,4 +76,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return out
         out.write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            remove(spark, f"{folder}/{number - 1}")
     return docs

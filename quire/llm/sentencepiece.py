@@ -46,7 +46,8 @@ class Vocabulary:
 
 def read_vocabulary(data: bytes) -> Vocabulary:
     """The pieces of a model file, by the wire format of protocol buffers: field 1 holds a piece (1 text, 2 score, 3 kind), field 2
-    the trainer's settings (3 kind of model), field 3 the normaliser's (3 whether a blank is put first)."""
+    the trainer's settings (3 kind of model), field 3 the normaliser's (3 whether a blank is put first). A file that maps characters (2), drops
+    blanks (4) or does not escape them (5) is refused."""
     found = Vocabulary([], [], [])
     for number, value in _fields(data):
         if number == 1:
@@ -57,7 +58,10 @@ def read_vocabulary(data: bytes) -> Vocabulary:
         elif number == 2:
             found.model = dict(_fields(value)).get(3, UNIGRAM)
         elif number == 3:
-            found.dummy_prefix = bool(dict(_fields(value)).get(3, 1))
+            settings = dict(_fields(value))
+            if settings.get(2) or settings.get(4, 1) or not settings.get(5, 1):
+                raise ValueError("not supported in a model file: a normaliser that changes texts")
+            found.dummy_prefix = bool(settings.get(3, 1))
     return found
 
 

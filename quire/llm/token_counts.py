@@ -257,13 +257,27 @@ class Merger:
         return total
 
 
+def refuse_others(content: dict) -> None:
+    """Raises for a vocabulary file with a setting that the transducers do not follow."""
+    splitter, model = content.get("pre_tokenizer") or {}, content["model"]
+    bad = [f"model {k}" for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    bad += ["normalizer"] * bool(content.get("normalizer")) + ["model type"] * (model.get("type", "BPE") != "BPE")
+    bad += ["pre_tokenizer"] * (splitter.get("type") != "ByteLevel" or bool(splitter.get("add_prefix_space", True)) or not splitter.get("use_regex", True))
+    for token in content.get("added_tokens") or []:
+        flags = [k for k in ("single_word", "lstrip", "rstrip", "normalized") if token.get(k)] + ["not special"] * (not token.get("special", True))
+        bad += [f"added token {token['content']}: {', '.join(flags)}"] * bool(flags)
+    if bad:
+        raise ValueError(f"not supported in a vocabulary file: {'; '.join(bad)}")
+
+
 class TokenCounter:
     """Counts of whole texts, equal to those of the library for the vocabulary file (a byte-level BPE, .json)."""
 
     def __init__(self, definition: str):
         content = json.loads(definition)
+        refuse_others(content)
         model = content["model"]
-        self.special = [t["content"] for t in content.get("added_tokens") or [] if t.get("special", True)]
+        self.special = [t["content"] for t in content.get("added_tokens") or []]
         self.splitter = Splitter()
         self.merger = Merger(model["vocab"], model["merges"])
         self.cache: dict[str, int] = {}

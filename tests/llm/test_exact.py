@@ -351,3 +351,14 @@ def test_targets_on_random_sources(spark):
         df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
         want = targets(sizes)
         assert all(r.target == pytest.approx(want[r.source]) for r in mixing.targets(df).collect())
+
+
+def test_a_normaliser_that_changes_texts_is_refused():
+    data = open(PATH, "rb").read()
+    assert sentencepiece.read_vocabulary(data).dummy_prefix
+    settings = next(v for k, v in sentencepiece._fields(data) if k == 3)
+    for changed in (settings.replace(b"\x20\x00", b"\x20\x01"), settings + b"\x28\x00"):
+        at = data.index(settings)
+        other = data[: at - 1] + bytes([len(changed)]) + changed + data[at + len(settings) :]
+        with pytest.raises(ValueError, match="not supported"):
+            sentencepiece.read_vocabulary(other)

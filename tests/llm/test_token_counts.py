@@ -37,3 +37,22 @@ def test_rows_nulls_and_clashing_names(spark, library):
     want = [(r[0], len(t.encode()), n, n > 512) for r, t, n in zip(rows, texts, expected(library, texts))]
     assert got == sorted(want, key=str)
     assert token_counts(df.limit(0), PATH).count() == 0
+
+
+def test_other_settings_are_refused():
+    import json
+
+    import pytest
+
+    from quire.llm.token_counts import TokenCounter
+
+    content = json.load(open(tokenizer("byte_bpe_50k.json")))
+    TokenCounter(json.dumps(content))
+    added = dict(content["added_tokens"][0])
+    changes = [
+        {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": content["pre_tokenizer"] | {"add_prefix_space": True}},
+        {"model": content["model"] | {"ignore_merges": True}}, {"added_tokens": [added | {"lstrip": True}]}, {"added_tokens": [added | {"special": False}]},
+    ]
+    for change in changes:
+        with pytest.raises(ValueError, match="not supported"):
+            TokenCounter(json.dumps(content | change))
