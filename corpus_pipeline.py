@@ -17,26 +17,29 @@ WIDTH, SIMILARITY = 5, 0.8
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is predicted go. The labels of sf_dir and the texts of docs are learnt from."""
+    """Documents whose toxicity is predicted go. The labels of sf_dir and the texts of docs are learnt from. Null, empty and wordless texts have no passage and
+    stay, repeated rows are judged alike, rows without an id are judged and not learnt from; without labels of both kinds all documents stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.toxic_scores(docs.withColumn("_scored", F.col("text")), model, "_scored")
     return scored.filter("predicted = 0").select(*COLUMNS)
 
 
 def reject_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go whose text has no letter, or whose language has a calibrated probability below LEAST_LANGUAGE_SCORE."""
+    """Documents go whose text is null or has no letter, or whose language has a calibrated probability below LEAST_LANGUAGE_SCORE. Repeated rows are judged
+    alike; where no document has a language to learn from, all go as undetermined."""
     found = language.languages(docs.withColumn("_read", F.col("text")), language.fit(docs), "_read")
     return found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays, those without an id last. Texts without words are one group; of repeated rows one stays."""
     return simhash.representatives(docs, width=WIDTH, similarity=SIMILARITY).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document comes taken / size times, where the mix takes that many of its words: the whole part always, the rest by a draw from a hash of its id, so
-    the words of each source follow its target in expectation. Rows of one source with one id, or without one, have their common ratio."""
+    the words of each source follow its target in expectation. Rows of one source with one id, or without one, have their common ratio. Rows without words
+    are no part of a mix by words and go."""
     taken = mixing.mixed(docs).filter("size > 0").groupBy(F.col("doc_id").alias("of"), F.col("source").alias("within")).agg((F.sum("taken") / F.sum("size")).alias("times"))
     joined = docs.join(taken.filter("times > 0"), F.col("doc_id").eqNullSafe(F.col("of")) & F.col("source").cast("string").eqNullSafe(F.col("within")))
     # Rows without an id draw by their text.
@@ -46,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, ids, n_pieces, exact) of every row."""
+    """(doc_id, lang, source, ids, n_pieces, exact) of every row; a null or empty text has no ids and is exact."""
     return sentencepiece.encoded(docs.drop("n_chars"), tokenizer("piece_bpe_32k.model"))
 
 

@@ -223,3 +223,38 @@ def test_near_copies_without_ids(spark):
     assert simhash.representatives(df).count() == 2
     named = spark.createDataFrame([(None, near), (4, texts[0])], "doc_id long, text string")
     assert [r.doc_id for r in simhash.representatives(named).collect()] == [4]
+
+
+ODD = [
+    (None, None, None, None, None), (None, None, None, None, None), (1, "", "en", "a", 0), (2, " \n", "en", None, 2), (3, "word " * 40_000, "en", "a", 200_000),
+    (4, "some words that are in this text", "en", "b", 32), (4, "some words that are in this text", "en", "b", 32), (None, "and a text without an id here", None, "b", 29), (5, "12345", None, "a", 5),
+]
+
+
+def test_odd_rows_in_every_stage(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, and empty tables."""
+    kind = "doc_id long, text string, lang string, source string, n_chars int"
+    docs = spark.createDataFrame(ODD, kind)
+    (tmp_path / "sf").mkdir()
+    spark.createDataFrame([(1, 1, 0), (4, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "sf" / "labels.parquet"))
+    sf = str(tmp_path / "sf")
+    assert sorted(map(str, P.reject_toxic(spark, docs, sf).collect())) == sorted(map(str, docs.collect()))
+    kept = {r.doc_id for r in P.reject_undetermined(spark, docs, sf).collect()}
+    assert kept <= {3, 4, None} and 1 not in kept
+    left = P.drop_near_copies(spark, docs, sf).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left) == [(False, 1), (False, 3), (False, 4), (False, 5), (True, 0)]
+    assert {r.doc_id for r in P.mix_sources(spark, docs, sf).collect()} <= {3, 4, None, 5}
+    encoded = P.encode(spark, docs, sf)
+    assert encoded.count() == len(ODD) and all(r.exact for r in encoded.collect())
+    none = docs.limit(0)
+    for _, stage in P.STAGES:
+        assert stage(spark, none, sf).count() == 0
+
+
+def test_names_of_columns_that_clash(spark):
+    """Columns with the names that the operators use inside pass through, or are replaced where the docstring says so."""
+    from quire.llm.common import with_texts
+
+    df = spark.createDataFrame([(1, "ab", "x", "y", 7)], "doc_id long, text string, _text string, _TEXT_ string, n long")
+    out = with_texts(df, "text", "n long", lambda: lambda texts: [[len(t) for t in texts]]).first()
+    assert (out.doc_id, out["_text"], out["_TEXT_"], out.n) == (1, "x", "y", 2)
