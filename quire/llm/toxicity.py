@@ -115,21 +115,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clea
 
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
     """Learns from at most about max_toxic and max_clean labelled rows. Documents that share their MINIMA least word hashes (copies and
-    most near copies) count once, with the first of their word lists."""
+    most near copies) count once, by the text of the least hash."""
     sample = labelled_sample(docs, labels, max_toxic, max_clean)
 
-    def start():
+    def minima():
         digest = xxhash.xxh64_intdigest
+        return lambda texts: [[digest(str(sorted(map(digest, set(_WORD.findall(t.lower()))))[:MINIMA])) >> 1 for t in texts]]
 
-        def apply(texts):
-            sets = [sorted(set(_WORD.findall(t.lower()))) for t in texts]
-            least = [digest(str(sorted(map(digest, s))[:MINIMA])) >> 1 for s in sets]
-            return [sets, least]
-
-        return apply
+    def start():
+        return lambda texts: [[sorted(set(_WORD.findall(t.lower()))) for t in texts]]
 
-    texts = reliable(sample.dropDuplicates())
-    bags = with_texts(texts, "text", "words array<string>, least long", start).groupBy("least", "toxic").agg(F.min("words").alias("words"))
+    texts = reliable(sample.dropDuplicates().withColumn("own", F.xxhash64("text")))
+    # Only hashes are grouped; as many rows as the sample has at most come back, so they can be broadcast.
+    kept = with_texts(texts, "text", "least long", minima).groupBy("least", "toxic").agg(F.min("own").alias("own")).select("own", "toxic")
+    bags = with_texts(texts.join(F.broadcast(kept.distinct()), ["own", "toxic"], "left_semi"), "text", "words array<string>", start)
     counts = bags.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(
         F.sum("toxic").cast("double").alias("pos"), F.sum(1 - F.col("toxic")).cast("double").alias("neg")
     )
