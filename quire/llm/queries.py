@@ -85,8 +85,33 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.whitening import whitened
+
+    found = whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding")
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.resampling import resampled
+
+    return resampled(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm.quality import fit, held_out, quality_scores
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing, op2_html, op6_topk)}
+    dealt = (
+        op3_token_counts, op5_simhash, op7_toxicity, op10_media, op1_language, op4_sentencepiece, op8_shards, op9_mixing, op2_html, op6_topk, op11_whitening, op12_resampling,
+        op13_quality,
+    )
+    return {f.__name__: f for f in dealt}
 
 
 OP6_SQL = """
