@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as T
+from quire.operators import hyphens
 
 INTRODUCTION = "Введение"  # fixed value: the name of a first chapter without a heading
 
@@ -17,9 +18,11 @@ def blocks(pages: DataFrame) -> DataFrame:
     return each.withColumn("text", T.stripped(F.col("text"))).filter("text <> ''")
 
 
-def stitched(parts: DataFrame) -> DataFrame:
+def stitched(parts: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """Blocks in which a tagged block that goes on from the last text block since a heading is joined to it: (book_name, n, text).
 
+    A hyphen at the joint goes but before a particle; with words (word), the known words decide as hyphens.decisions() says.
+
     Only the last joined piece decides whether the next one continues, so windows can tell; a joined block goes to the text before
     it even over blocks that are no text. The windows take flags of the blocks alone; texts are joined back and only meet those they are joined to.
     """
@@ -31,6 +34,7 @@ def stitched(parts: DataFrame) -> DataFrame:
         *key, F.col("text").startswith("#").cast("int").alias("heading"), (F.col("marker") != "").alias("tagged"), T.is_text_block(F.col("text")).alias("is_text"),
         T.is_unfinished(piece).alias("unfinished"), ((F.col("rest") != "") & ~F.col("rest").startswith("#")).alias("can_join"),
         T.begins_with_particle(F.col("rest")).alias("particle"), T.stripped(F.col("text")).endswith("-").alias("hyphen"),
+        *([F.lower(F.regexp_extract("text", r"([а-яА-ЯёЁa-zA-Z]+)-\z", 1)).alias("before"), F.lower(F.regexp_extract("rest", r"\A([а-яА-ЯёЁa-zA-Z]+)", 1)).alias("begins")] if words is not None else []),
     )
     order = Window.partitionBy("book_name").orderBy("file", "block_no")
     numbered = flags.select("*", F.row_number().over(order).alias("n"), F.sum("heading").over(order).alias("part"))
@@ -41,7 +45,13 @@ def stitched(parts: DataFrame) -> DataFrame:
     joined = joined.withColumn("head", F.when(F.col("joins"), F.last(F.when(F.col("is_text") & ~F.col("joins"), F.col("n")), ignorenulls=True).over(within)).otherwise(F.col("n")))
     following = Window.partitionBy("book_name", "head").orderBy("n")
     joined = joined.withColumn("followed", F.lead(F.lit(True)).over(following)).withColumn("before_particle", F.lead("particle").over(following))
-    joined = joined.withColumn("after_hyphen", F.lag("hyphen").over(following)).select(*key, "n", "head", "joins", "followed", "before_particle", "after_hyphen")
+    joined = joined.withColumn("after_hyphen", F.lag("hyphen").over(following))
+    if words is not None:
+        joined = joined.withColumn("after", F.lead("begins").over(following))
+        broken = joined.filter((F.col("before") != "") & (F.col("after") != ""))
+        # The joints of a book are few, and their spellings fewer.
+        joined = joined.join(hyphens.decisions(broken, words), ["before", "after"], "left").withColumn("before_particle", F.coalesce("keeps", F.lit(False)))
+    joined = joined.select(*key, "n", "head", "joins", "followed", "before_particle", "after_hyphen")
     whole = tagged.join(joined, key)
     own = F.when(F.col("joins"), F.col("rest")).otherwise(F.col("text"))
     ended = F.when(F.col("followed"), T.hyphen_resolved(T.stripped(own), F.col("before_particle"))).otherwise(own)
@@ -99,6 +109,6 @@ def has_text(content: Column) -> Column:
     return F.exists(F.split(F.coalesce(content, F.lit("")), "\n"), lambda x: (T.stripped(x) != "") & ~T.stripped(x).startswith("#"))
 
 
-def merged(pages: DataFrame, level: int = 0) -> DataFrame:
+def merged(pages: DataFrame, level: int = 0, words: DataFrame | None = None) -> DataFrame:
     """Pages to chapters."""
-    return chapters(split_headings(stitched(blocks(pages))), level)
+    return chapters(split_headings(stitched(blocks(pages), words)), level)

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import articles, boundaries, chapters, chunks, extraction, headings, page_files
+from quire.operators import articles, boundaries, chapters, chunks, extraction, headings, hyphens, page_files
 from quire.plans import corpus, points, registry
 from quire.plans.corpus import pages, toc
+from quire.sources import cache, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,6 +146,33 @@ def page_stitch(spark, sf):
     return chapters.stitched(chapters.blocks(d)).select("book_name", F.col("n").cast("long").alias("n"), text_of("text"))
 
 
+@query()
+def page_stitch_words(spark, sf):
+    d = pages(spark, sf).withColumn("text", T.tag_pages(F.col("text"), F.col("file")))
+    return chapters.stitched(chapters.blocks(d), hyphens.known_words(pages(spark, sf))).select("book_name", F.col("n").cast("long").alias("n"), text_of("text"))
+
+
+_WORDS = r"""w as (select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[а-яёa-z]+(?:-[а-яёa-z]+)*-?')) as word from {p}) where word not like '%-' group by word)"""
+
+
+@query("with " + _WORDS + " select word, n from w where n >= 2")
+def corpus_words(spark, sf):
+    return hyphens.word_counts(pages(spark, sf)).filter("n >= 2")
+
+
+# Every line's last word as if it were broken before the first word of the next line.
+@query("with " + _WORDS + r""", known as (select word from w where n >= 2),
+ l as (select book_name, file, unnest(ls) as line, generate_subscripts(ls, 1) as k from (select book_name, file, string_split(text, chr(10)) as ls from {p})),
+ b as (select distinct lower(regexp_extract(line, '([а-яА-ЯёЁa-zA-Z]+)[-.]*$', 1)) as before, lower(regexp_extract(lead(line) over (partition by book_name, file order by k), '^([а-яА-ЯёЁa-zA-Z]+)', 1)) as after from l)
+ select before, after, after in ('то', 'либо', 'нибудь', 'таки', 'ка', 'де') or before || '-' || after in (from known)
+   or (before || after not in (from known) and before in (from known) and after in (from known)) as keeps from b where before <> '' and after <> ''""")
+def hyphen_words(spark, sf):
+    p = pages(spark, sf)
+    line = F.explode(F.arrays_zip(F.split("text", "\n").alias("line"), F.slice(F.split("text", "\n"), 2, 1 << 30).alias("next")))
+    broken = p.select(line.alias("x")).select(F.regexp_extract("x.line", r"([а-яА-ЯёЁa-zA-Z]+)[-.]*\z", 1).alias("before"), F.regexp_extract("x.next", r"\A([а-яА-ЯёЁa-zA-Z]+)", 1).alias("after"))
+    return hyphens.decisions(broken.filter("before <> '' and after <> ''"), hyphens.known_words(p))
+
+
 @query()
 def chapter_split(spark, sf):
     return chapters.merged(pages(spark, sf)).select("book_name", "chapter_no", "name", text_of("text"), F.length("text").alias("chars"))
@@ -571,6 +599,37 @@ def answered_tables(spark, sf):
     return articles.answered_tables(pages(spark, sf).withColumn("answer", answer)).drop("idx")
 
 
+def _stored(spark, sf):
+    """The pages as files of a new store, those of every fifth page in a stage of images."""
+    root = corpus.scratch(spark, "store")
+    d = pages(spark, sf)
+    text = store.as_files(d.filter("page_no % 5 <> 0"), "text_md")
+    other = store.as_files(d.filter("page_no % 5 = 0").withColumn("file", F.regexp_replace("file", "md$", "JPG")), "convert_in_jpg")
+    store.write(text.unionByName(other), root)
+    return root
+
+
+@query(r"""select book_name || '/' || case when page_no % 5 = 0 then 'convert_in_jpg/' || replace(file, '.md', '.JPG') else 'text_md/' || file end as path, book_name,
+  case when page_no % 5 = 0 then 'convert_in_jpg' else 'text_md' end as stage, replace(file, '.md', '') as stem, case when page_no % 5 = 0 then 'jpg' else 'md' end as extension, cast(strlen(text) as bigint) as bytes from {p}""")
+def store_listing(spark, sf):
+    return store.listing(spark, _stored(spark, sf)).select("path", "book_name", "stage", "stem", "extension", "bytes")
+
+
+@query(r"""select book_name, file, md5(text) as text from {p} where page_no % 5 <> 0 and book_name like '%1'""")
+def store_pages(spark, sf):
+    books = [r.book_name for r in pages(spark, sf).filter("book_name like '%1'").select("book_name").distinct().collect()]
+    found = store.contents(spark, _stored(spark, sf)).filter(F.col("book_name").isin(books) & (F.col("extension") == "md"))
+    return found.select("book_name", "file", F.md5("content").alias("text"))
+
+
+@query(r"""select book_name, count(distinct md5(text)) as contents, count(*) as files, sum(strlen(text)) as bytes from {p} where page_no % 5 <> 0 group by 1""")
+def store_cache(spark, sf):
+    root = _stored(spark, sf)
+    listed = store.listing(spark, root).filter("stage = 'text_md'")
+    d = cache.read_through(listed, corpus.scratch(spark, "cache"), root)
+    return d.groupBy("book_name").agg(F.count_distinct("sha256").alias("contents"), F.count("*").alias("files"), F.sum(F.length("content")).alias("bytes"))
+
+
 @query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
 def step_totals(spark, sf):
     e = corpus.view(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_name"), F.col("event_type").alias("step"), F.floor("value").alias("seconds"), F.lit(1).alias("prompt_tokens"), F.lit(1).alias("completion_tokens"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import boundaries, chapters, chunks
+from quire.operators import boundaries, chapters, chunks, hyphens
 from quire.plans import corpus
 from quire.queries import QUERIES
 
@@ -30,7 +30,22 @@ def blocks_of(text):
     return [b for b in map(strip, re.split(r"\n\n+", text)) if b]
 
 
-def plain_stitch(blocks):
+def keeps_hyphen(before, after, known):
+    if after in T.PARTICLES or known is None:
+        return after in T.PARTICLES
+    whole, compound = before + after, f"{before}-{after}"
+    return compound in known or (whole not in known and before in known and after in known)
+
+
+def plain_words(texts, least=2):
+    seen = {}
+    for t in texts:
+        for w in re.findall("[а-яёa-z]+(?:-[а-яёa-z]+)*-?", t.lower()):
+            seen[w] = seen.get(w, 0) + 1
+    return {w for w, n in seen.items() if n >= least and not w.endswith("-")}
+
+
+def plain_stitch(blocks, known=None):
     out, held, head = [], None, None
     for text in blocks:
         if text.startswith("#"):
@@ -42,7 +57,8 @@ def plain_stitch(blocks):
             before = strip(out[head][-1])
             word = re.match("([а-яА-ЯёЁa-zA-Z]+)", rest)
             hyphen = before.endswith("-")
-            kept = re.search("[а-яА-ЯёЁa-zA-Z]-\\Z", before) and word and word[1].lower() in T.PARTICLES
+            last = re.search("([а-яА-ЯёЁa-zA-Z]+)-\\Z", before)
+            kept = last and word and keeps_hyphen(last[1].lower(), word[1].lower(), known)
             out[head][-1] = before + " " if not hyphen else before if kept else before[:-1]
             out[head] += [marker + ("" if hyphen else " "), rest]
         else:
@@ -118,6 +134,30 @@ def test_stitching_and_chapters_as_plain_loops_make_them(spark, seed):
         assert [(r.chapter_no, r.name, r.text) for r in rows] == plain_chapters(want, level)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_stitching_by_known_words(spark, seed):
+    rng = random.Random(seed)
+    parts = ["сло", "во", "слово", "где", "то", "кое", "сло-во", "юго", "запад", "юго-запад", "Word", "wor", "d"]
+    pages = [("B", f"{k:03d}.md", "\n\n".join(f"<{k}> " + " ".join(rng.choices(parts, k=3)) + rng.choice(["-", "-", "", "."]) for _ in range(2))) for k in range(40)]
+    df = spark.createDataFrame(pages, "book_name string, file string, text string")
+    known = rng.sample(["слово", "сло-во", "сло", "во", "юго-запад", "юго", "запад", "word", "wor", "d", "юго-d"], 6)
+    words = spark.createDataFrame([(w,) for w in known], "word string")
+    blocks = [b for _, _, t in pages for b in blocks_of(t)]
+    got = [r.text for r in chapters.stitched(chapters.blocks(df), words).orderBy("n").collect()]
+    assert got == plain_stitch(blocks, set(known))
+    found = chapters.stitched(chapters.blocks(df), hyphens.known_words(df)).orderBy("n").collect()
+    assert [r.text for r in found] == plain_stitch(blocks, plain_words(t for _, _, t in pages))
+    none = chapters.stitched(chapters.blocks(df), words.limit(0)).orderBy("n").collect()
+    assert [r.text for r in none] == plain_stitch(blocks)
+
+
+def test_decisions_of_pairs(spark):
+    words = spark.createDataFrame([("whole",), ("com-pound",), ("com",), ("pound",), ("a",), ("b",), (None,)], "word string")
+    pairs = spark.createDataFrame([("Who", "le"), ("com", "Pound"), ("a", "b"), ("a", "x"), ("x", "то"), ("a", "b"), ("b", "a")], "before string, after string")
+    found = {(r.before, r.after): r.keeps for r in hyphens.decisions(pairs, words).collect()}
+    assert found == {("who", "le"): False, ("com", "pound"): True, ("a", "b"): True, ("a", "x"): False, ("x", "то"): True, ("b", "a"): True}
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     if not os.path.isdir(SF):
@@ -133,6 +173,14 @@ def test_stitched_planted_books(spark, planted):
     assert sorted((r.book_name, r.text) for r in QUERIES["page_stitch"](spark, SF).collect()) == want
 
 
+def test_planted_books_stitched_by_known_words(spark, planted):
+    books, known = {}, plain_words(r.text for r in planted)
+    for r in planted:
+        books.setdefault(r.book_name, []).extend(blocks_of(r.tagged))
+    want = sorted((b, hashlib.md5(t.encode()).hexdigest()) for b, blocks in books.items() for t in plain_stitch(blocks, known))
+    assert sorted((r.book_name, r.text) for r in QUERIES["page_stitch_words"](spark, SF).collect()) == want
+
+
 def test_chapters_of_planted_books(spark, planted):
     books = {}
     for r in planted:
