@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import articles, boundaries, chapters, chunks, extraction, headings, hyphens, page_files
-from quire.plans import corpus, points, registry
+from quire.plans import conversion, corpus, points, registry
 from quire.plans.corpus import pages, toc
 from quire.sources import cache, store
+from quire.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -630,6 +631,65 @@ def store_cache(spark, sf):
     return d.groupBy("book_name").agg(F.count_distinct("sha256").alias("contents"), F.count("*").alias("files"), F.sum(F.length("content")).alias("bytes"))
 
 
+# Documents whose lines are pages; a part of over 400 characters does not fit.
+@query(r"""with recursive d as (select doc_id, string_split(text, chr(10)) as ls from documents),
+ part as (select doc_id, ls, 1 as first, len(ls) as last, len(ls) > 6 or length(array_to_string(ls, chr(10))) > 400 as cut from d
+  union all select doc_id, ls, f, l, l - f + 1 > 6 or length(array_to_string(ls[f:l], chr(10))) > 400 from (
+    select doc_id, ls, unnest([first, first + (last - first + 1) // 2]) as f, unnest([first + (last - first + 1) // 2 - 1, last]) as l from part where cut and last > first)),
+ leaf as (select doc_id, first, cut, array_to_string(ls[first:last], chr(10)) as t from part where not (cut and last > first))
+ select doc_id, md5(string_agg(case when cut then '<!-- часть пропущена: bad allocation of ' || length(t) || ' -->' else t end, chr(10) || chr(10) order by first)) as text, count(*) as parts, bool_or(cut) as lost from leaf group by doc_id""")
+def split_until_it_fits(spark, sf):
+    def start():
+        def convert(lines):
+            if len(text := "\n".join(lines)) > 400:
+                raise MemoryError(f"bad allocation of {len(text)}")
+            return text
+
+        return convert
+
+    d = corpus.view(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("page_no", "content"))
+    done = conversion.answers(d, start, corpus.scratch(spark, "conversion"), 6)
+    lost = done.groupBy("doc").agg(F.max(F.col("error").isNotNull()).alias("lost"))
+    return conversion.merged(done, "intended").join(lost, "doc").select(F.col("doc").alias("doc_id"), text_of("text"), "parts", "lost")
+
+
+# Jobs made of the events of five days of a user, at a tenth of their pace and less.
+_JOBS = """ev as (select user_id || '-' || (d // 432000000000) as job, d // 360000 as ms, event_id as seq,
+  case event_type when 'signup' then case when event_id % 2 = 0 then 'submitted' else 'result' end when 'error' then case event_id % 4 when 0 then 'result_error' when 1 then 'submit_error' else 'poll_error' end
+    when 'click' then 'poll_error' else 'status' end as kind,
+  case when event_type = 'signup' then case when event_id % 6 = 1 then '' else props end when event_type in ('view', 'purchase') then case cast(floor(value) as bigint) % 8 when 0 then 'done' when 1 then 'error ' || event_id else 'processing' end end as detail
+  from (select *, {d} as d from {e}) x)"""
+
+
+@query("with " + _JOBS.replace("{d}", "epoch_us(ts) - epoch_us(timestamp '2024-01-01')").replace("{e}", "events") + """,
+ n as (select *, row_number() over (partition by job order by ms, seq) as i from ev),
+ bad as (select *, count(*) filter (where kind = 'submit_error') over (partition by job order by i) as k from n),
+ refused as (select job, min(i) as r from bad where kind = 'submit_error' and k = 3 group by job), sent0 as (select job, min(i) as s from n where kind = 'submitted' group by job),
+ j as (select job, r, case when r is null or s < r then s end as s from (select distinct job from n) left join refused using (job) left join sent0 using (job)),
+ start as (select j.*, n.ms as began from j left join n on n.job = j.job and n.i = j.s),
+ w as (select n.*, began, count(*) filter (where kind = 'status') over (partition by n.job order by n.i) as g from n join start on n.job = start.job and n.i > s and n.ms <= began + 600000),
+ l as (select *, count(*) filter (where kind = 'poll_error') over (partition by job, g order by i) as lost from w),
+ b as (select job, min(i) filter (where (kind = 'poll_error' and lost = 4) or (kind = 'status' and detail like 'error%')) as b, min(i) filter (where kind = 'status' and detail = 'done') as d from l group by job),
+ q as (select start.*, b, case when b is null or d < b then d end as d from start left join b using (job)),
+ f as (select n.*, count(*) filter (where kind = 'result_error') over (partition by n.job order by n.i) as k from n join q on n.job = q.job and n.i > q.d where kind in ('result', 'result_error')),
+ last as (select job, min(i) as e from f where kind = 'result' or k = 3 group by job),
+ z as (select q.*, case when s is null then r when d is null then b else e end as fin from q left join last using (job))
+ select z.job, case when s is not null and d is null and fin is null then began + 600000 else n.ms end as ms,
+  case when s is not null and d is null and fin is null then 'failed' when fin is null then case when d is not null then 'fetching' when exists (select 1 from ev where ev.job = z.job and kind = 'submit_error') then 'submitting' else 'new' end
+       when kind = 'result' and detail <> '' then 'done' else 'failed' end as outcome,
+  case when s is not null and d is null and fin is null then 'timeout' when kind = 'status' or (kind = 'result' and detail <> '') then detail when kind = 'submit_error' then 'not sent' when kind = 'poll_error' then 'too many failed questions'
+       when kind = 'result_error' then 'not fetched' when kind = 'result' then 'empty result' end as detail
+ from z left join n on n.job = z.job and n.i = z.fin""")
+def conversion_jobs(spark, sf):
+    return jobs.outcomes(job_events(spark, sf), jobs.Limits(errors=4)).withColumnRenamed("at", "ms")
+
+
+def job_events(spark, sf):
+    d = "timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01', cast(ts as timestamp_ntz))"
+    sql = _JOBS.replace("{d}", d).replace("//", "div").replace("{e}", "{events}")
+    return spark.sql(f"with {sql} select job, ms as at, seq, kind, detail from ev", events=corpus.view(spark, sf, "events"))
+
+
 @query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
 def step_totals(spark, sf):
     e = corpus.view(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_name"), F.col("event_type").alias("step"), F.floor("value").alias("seconds"), F.lit(1).alias("prompt_tokens"), F.lit(1).alias("completion_tokens"))
