@@ -111,7 +111,7 @@ def table_chunks(tables: DataFrame, summaries: DataFrame, threshold: int = CHUNK
         F.nullif(T.stripped(T.headers_and_body(F.col("summary")).body), F.lit("")), F.nullif(T.caption_before_table(body), F.lit("")), F.substring(body, 1, threshold)
     )
     return split.select(
-        "book_name", "source_file", F.lit("table").alias("chunk_type"), F.when(small, body).otherwise(spoken).alias("text"), F.col("_p.headers").alias("headers"),
+        "book_name", "source_file", F.lit("table").alias("chunk_type"), F.lit(0).alias("chunk_index"), F.when(small, body).otherwise(spoken).alias("text"), F.col("_p.headers").alias("headers"),
         T.page_of_chunk_file(F.col("source_file")).alias("page_numbers"), body.alias("full_content"), F.when(small, T.table_id(body)).otherwise(T.table_id(F.col("text"))).alias("table_id"),
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as T
+from quire.plans import fulltext
 
 # The offsets of the kinds' indices and the dimensions of the models.
 OFFSETS = {"text": 0, "image": 100_000, "table": 200_000}
@@ -74,15 +75,6 @@ def dense(chunks: DataFrame, model: str = "e5-small", text: str = "embedding_tex
     return chunks.withColumn("dense", embed(text))
 
 
-def sparse(chunks: DataFrame, text: str = "embedding_text", buckets: int = 1 << 20) -> DataFrame:
-    """chunks with sparse (indices, values): hashed word counts damped by a logarithm, a stand-in for a learned sparse model."""
-    words = F.filter(F.split(F.lower(F.col(text)), r"(?U)\W+"), lambda w: w != "")
-    ids = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    indices = F.array_sort(F.array_distinct(ids))
-    values = F.transform(indices, lambda i: F.log1p(F.size(F.filter(ids, lambda x: x == i)).cast("double")).cast("float"))
-    return chunks.withColumn("sparse", F.struct(indices.alias("indices"), values.alias("values")))
-
-
 def unit(vector):
     """An array column at unit length; a zero vector stays."""
     norm = F.sqrt(F.aggregate(F.transform(vector, lambda x: x.cast("double") * x), F.lit(0.0), lambda a, x: a + x))
@@ -121,9 +113,10 @@ def image_points(described: DataFrame, mode: str = "compat") -> DataFrame:
 
 
 def vector_run(points: DataFrame, model: str, with_sparse: bool = True) -> DataFrame:
-    """Points of any kind with their vectors. A provider that gives another number of vectors than it got texts ends the run."""
+    """Points of any kind with their vectors. A provider that gives another number of vectors than it got texts ends the run. The sparse ones are weighted by
+    the frequencies of words in these points."""
     d = dense(points, model)
-    return sparse(d) if with_sparse else d
+    return fulltext.with_sparse(d) if with_sparse else d
 
 
 def upserted(old: DataFrame, new: DataFrame, seq: str | None = None) -> DataFrame:
@@ -141,12 +134,6 @@ def dimension_check(points: DataFrame, model: str, vector: str = "dense") -> Dat
     return d.select(F.lit(model).alias("model"), F.lit(wanted).alias("wanted"), "least", "largest", ((F.col("least") == wanted) & (F.col("largest") == wanted)).alias("fits"))
 
 
-def payload_tokens(points: DataFrame, low: int = 2, high: int = 20) -> DataFrame:
-    """(token, id): the full-text index over payload.text, of words of low to high characters."""
-    words = F.array_distinct(F.filter(F.split(F.lower("payload.text"), r"(?U)\W+"), lambda w: F.length(w).between(low, high)))
-    return points.select(F.explode(words).alias("token"), "id")
-
-
 class Collections:
     """Collections as folders of Parquet under one root; a snapshot is a copy under its name."""
 

@@ -98,18 +98,6 @@ def with_boxes(tags: DataFrame, boxes: DataFrame) -> DataFrame:
     return tags.withColumn("key", F.concat(F.lit("IMAGE_"), F.col("image_no").cast("string"))).join(parsed, ["book_name", "file", "key"]).drop("key")
 
 
-def detections(raw: DataFrame, least: float = 0.25) -> DataFrame:
-    """raw (book_name, page_stem, value), a JSON list of detections, as rows with at least that confidence."""
-    found = F.from_json("value", "array<struct<class_id: int, class_name: string, confidence: double, bbox_xyxy: array<int>>>")
-    each = raw.select("book_name", "page_stem", F.posexplode(found).alias("det_idx", "d"))
-    return each.select("book_name", "page_stem", "det_idx", "d.class_id", "d.class_name", "d.confidence", F.col("d.bbox_xyxy").alias("bbox")).filter(F.col("confidence") >= least)
-
-
-def detection_totals(found: DataFrame) -> DataFrame:
-    """(book_name, pages, tables, others), and the same over all books with a null name."""
-    return found.rollup("book_name").agg(F.count_distinct("page_stem").alias("pages"), F.count_if(F.col("class_name") == "table").alias("tables"), F.count_if(F.col("class_name") != "table").alias("others"))
-
-
 def step_totals(log: DataFrame) -> DataFrame:
     """Calls, seconds and tokens by book and step, by book, and in all."""
     return log.rollup("book_name", "step").agg(F.count("*").alias("calls"), F.sum("seconds").alias("seconds"), F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import articles, boundaries, chapters, chunks, extraction, headings, hyphens, page_files
-from quire.plans import conversion, corpus, points, registry
+from quire.operators import articles, boundaries, chapters, chunks, detections, extraction, headings, hyphens, page_files
+from quire.plans import conversion, corpus, fulltext, points, registry
 from quire.plans.corpus import pages, toc
 from quire.sources import cache, store
 from quire.streaming import jobs
@@ -503,6 +503,14 @@ def point_payload(spark, sf):
     return p.select("id", "idx", "payload.book_name", "payload.source_file", "payload.author", F.array_join("payload.page_numbers", ",").alias("pages"), F.md5("embedding_text").alias("embedded"))
 
 
+@query("with " + _CHOICE + """, n as (select *, row_number() over (partition by book_name order by file) - 1 + 200000 as idx from ch)
+ select ('0x' || substr(sha256(book_name || '::' || idx || '::' || substr(text, 1, 200)), 1, 13))::bigint as id, cast(idx as int) as idx, book_name, file as source_file, 'table' as kind, trim(split_part(book_name, ',', 1)) as author,
+   table_id, md5(text) as embedded from n""")
+def table_points(spark, sf):
+    p = points.points(chunks.with_book(_table_chunks(spark, sf)), "table")
+    return p.select("id", "idx", "payload.book_name", "payload.source_file", F.col("payload.chunk_type").alias("kind"), "payload.author", "payload.table_id", F.md5("embedding_text").alias("embedded"))
+
+
 @query(f"""with i as (select 'Author ' || source || ', Title ' || source as book_name, 'i' || lpad(cast(doc_id as varchar), 12, '0') as image, text from documents where doc_id % 2 = 0),
  n as (select *, row_number() over (partition by book_name order by image) - 1 + 100000 as idx from i)
  select ('0x' || substr(sha256(book_name || '::' || idx || '::' || substr(text, 1, 200)), 1, 13))::bigint as id, cast(idx as int) as idx, trim(split_part(book_name, ',', 1)) as author, md5({_strip('text')}) as embedded from n""")
@@ -690,6 +698,72 @@ def job_events(spark, sf):
     return spark.sql(f"with {sql} select job, ms as at, seq, kind, detail from ev", events=corpus.view(spark, sf, "events"))
 
 
+# Up to eleven boxes on the page of each document, of which those of one class overlap by different shares.
+_BOXES = """b as (select 'Book ' || source as book_name, lpad(cast(doc_id as string), 6, '0') as page_stem, cast(k as int) as det_idx, cast(k % 3 as int) as class_id,
+  case k % 3 when 0 then 'table' when 1 then 'figure' else 'formula' end as class_name, ((doc_id * 13 + k * 29) % 97) / 100.0e0 as confidence,
+  (doc_id * 7 + k * 5) % 90 - 20 as x1, (doc_id * 11 + k * 3) % 70 - 10 as y1, 40 + (doc_id + k * 17) % 60 as w, 30 + (doc_id * 3 + k * 7) % 50 as h, 100 + doc_id % 40 as width, 90 + doc_id % 30 as height from {boxes})"""
+_NMS = """with recursive """ + _BOXES.replace("{boxes}", "(select *, unnest(generate_series(0, doc_id % 11)) as k from documents)") + """,
+ r as (select *, {'i': det_idx, 'x1': x1, 'y1': y1, 'x2': x1 + w, 'y2': y1 + h} as box, row_number() over (partition by book_name, page_stem, class_id order by confidence desc, det_idx) as n from b where confidence >= 0.25),
+ f as (select book_name, page_stem, class_id, cast(0 as bigint) as n, cast([] as struct(i int, x1 bigint, y1 bigint, x2 bigint, y2 bigint)[]) as kept from r where n = 1
+  union all select f.book_name, f.page_stem, f.class_id, f.n + 1, case when len(list_filter(kept, lambda k:
+     (greatest(least(k.x2, box.x2) - greatest(k.x1, box.x1), 0) * greatest(least(k.y2, box.y2) - greatest(k.y1, box.y1), 0)) / (((k.x2 - k.x1) * (k.y2 - k.y1) + w * h
+       - greatest(least(k.x2, box.x2) - greatest(k.x1, box.x1), 0) * greatest(least(k.y2, box.y2) - greatest(k.y1, box.y1), 0)) * 1.0e0) > 0.4)) > 0 then kept else list_append(kept, box) end
+   from f join r on f.book_name = r.book_name and f.page_stem = r.page_stem and f.class_id = r.class_id and r.n = f.n + 1),
+ last as (select book_name, page_stem, class_id, max_by(kept, n) as kept from f group by 1, 2, 3),
+ s as (select r.* from r join last on r.book_name = last.book_name and r.page_stem = last.page_stem and r.class_id = last.class_id and list_contains(list_transform(kept, lambda k: k.i), det_idx))"""
+
+
+def _boxes(spark, sf):
+    sql = "with " + _BOXES.replace("{boxes}", "(select *, explode(sequence(0, doc_id % 11)) as k from {documents})")
+    return spark.sql(sql + " select *, array(cast(x1 as int), cast(y1 as int), cast(x1 + w as int), cast(y1 + h as int)) as bbox from b", documents=corpus.view(spark, sf, "documents").select("doc_id", "source"))
+
+
+@query(_NMS + " select book_name, page_stem, det_idx, class_name, confidence from s")
+def detection_suppression(spark, sf):
+    return detections.suppressed(_boxes(spark, sf), most=0.4).select("book_name", "page_stem", "det_idx", "class_name", "confidence")
+
+
+@query(_NMS + """, c as (select *, row_number() over (partition by book_name, page_stem order by confidence desc, det_idx) as place, greatest(0, x1 - 5) as l, greatest(0, y1 - 5) as t, least(width, x1 + w + 5) as rt, least(height, y1 + h + 5) as bt from s)
+ select book_name, case when class_name = 'table' then 'tables' else 'figures' end as folder, page_stem || '_' || place || '.jpg' as name, l as "left", t as top, rt as "right", bt as bottom from c where rt > l and bt > t""")
+def detection_crops(spark, sf):
+    boxes = _boxes(spark, sf)
+    sizes = boxes.select("book_name", "page_stem", "width", "height").distinct()
+    found = detections.crops(detections.suppressed(boxes, most=0.4), sizes)
+    return found.select("book_name", "folder", "name", *[F.col(f"crop.{c}").cast("long").alias(c) for c in ("left", "top", "right", "bottom")])
+
+
+@query(_NMS + """ select book_name, count(distinct page_stem) as pages, count(*) filter (where class_name = 'table') as tables, count(*) filter (where class_name <> 'table') as others from s group by rollup(book_name)""")
+def detection_totals(spark, sf):
+    boxes = _boxes(spark, sf)
+    pages_ = boxes.select("book_name", "page_stem", F.concat("page_stem", F.lit(".jpg")).alias("page_file"), "width", "height").distinct()
+    return detections.totals(detections.from_states(detections.page_states(pages_, detections.suppressed(boxes, most=0.4))))
+
+
+_TOKENS = r"""t as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{Nd}\p{Pc}]+'), lambda w: length(w) between 2 and 20) as ws from documents)"""
+
+
+@query("with " + _TOKENS + r""", q as (select doc_id as query_id, list_distinct(ws[1:3]) as asked from t where doc_id % 20 = 0)
+ select query_id, doc_id as id from q join t on len(asked) > 0 and list_has_all(ws, asked)""")
+def fulltext_search(spark, sf):
+    d = corpus.view(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    path = corpus.scratch(spark, "index")
+    fulltext.write_index(d, path)
+    asked = d.filter("id % 20 = 0").select(F.col("id").alias("query_id"), F.array_join(F.slice(fulltext.tokens_of(F.col("text")), 1, 3), " ").alias("text"))
+    return fulltext.search(path, asked).select("query_id", "id")
+
+
+@query("with " + _TOKENS + r""", e as (select doc_id, len(ws) as n, unnest(ws) as w from t), p as (select doc_id, w, n, count(*) as tf from e group by all), f as (select w, count(*) as df from p group by w),
+ s as (select count(*) as texts, avg(len(ws)) as mean from t),
+ v as (select doc_id, ('0x' || substr(md5(p.w), 1, 8))::bigint as i, ln(1 + (texts - df + 0.5e0) / (df + 0.5e0)) * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 + 0.75e0 * n / mean)) as x from p join f on p.w = f.w cross join s),
+ g as (select doc_id, i, cast(cast(sum(x) as float) as double) as x from v group by doc_id, i)
+ select doc_id as id, count(*) as terms, max(i) as last, round(sum(x), 2) as total, round(max(x), 4) as most from g group by doc_id""")
+def sparse_weights(spark, sf):
+    d = corpus.view(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    v = fulltext.sparse_vectors(d, "text", fulltext.LOW, fulltext.HIGH).filter(F.size("sparse.indices") > 0)
+    total = F.aggregate("sparse.values", F.lit(0.0), lambda a, x: a + x)
+    return v.select("id", F.size("sparse.indices").cast("long").alias("terms"), F.element_at("sparse.indices", -1).alias("last"), F.round(total, 2).alias("total"), F.round(F.array_max("sparse.values").cast("double"), 4).alias("most"))
+
+
 @query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
 def step_totals(spark, sf):
     e = corpus.view(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_name"), F.col("event_type").alias("step"), F.floor("value").alias("seconds"), F.lit(1).alias("prompt_tokens"), F.lit(1).alias("completion_tokens"))
