@@ -1,6 +1,7 @@
 """Pages read by models in three steps: text, boxes of its images, descriptions of these. The models are calls that the user gives; all else is joins.
 
-Each step takes what the step log does not have yet, so that a run resumes, and gives its answers with errors as data.
+Each step takes what the step log does not have yet, so that a run resumes, and gives its answers with errors as data. With the folder of a log each answer
+is stored before it is used, and asked for once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.plans import registry
+from quire.plans import answer_log, registry
 
 # The parts of a description's prompt, the caption of an image without one, the sign of an image to leave out, and the context's width.
 CAPTION_HEAD, CONTEXT_HEAD, TASK_HEAD = "ОРИГИНАЛЬНАЯ ПОДПИСЬ:", "КОНТЕКСТ ИЗ КНИГИ (вокруг картинки):", "ЗАДАЧА:"
@@ -26,10 +27,14 @@ def unread(pages: DataFrame, log: DataFrame, step: str) -> DataFrame:
     return pages.join(done, PAGE, "left_anti")
 
 
-def page_texts(images: DataFrame, call: Callable[[str], str], pause: float = registry.FIRST_PAUSE) -> DataFrame:
+def answered(requests: DataFrame, call: Callable[[str], str], pause: float, log: str | None, step: str, key: str = answer_log.KEY) -> DataFrame:
+    return registry.answers(requests, call, pause=pause) if log is None else answer_log.answered(requests, call, log, step, key, pause=pause)
+
+
+def page_texts(images: DataFrame, call: Callable[[str], str], pause: float = registry.FIRST_PAUSE, log: str | None = None) -> DataFrame:
     """Step 1: (book_name, file, text, error) of page images (book_name, file, content), which call reads in base 64."""
     asked = images.select(*PAGE, F.base64("content").alias("prompt"))
-    return registry.answers(asked, call, pause=pause).select(*PAGE, F.col("answer").alias("text"), "error")
+    return answered(asked, call, pause, log, "text").select(*PAGE, F.col("answer").alias("text"), "error")
 
 
 def image_requests(pages: DataFrame, boxes: DataFrame, sizes: DataFrame, around: int = AROUND) -> DataFrame:
@@ -58,10 +63,10 @@ def description_prompt(caption: Column, context: Column, task: str) -> Column:
     return F.concat(F.lit(CAPTION_HEAD + "\n"), caption, F.lit("\n\n" + CONTEXT_HEAD + "\n"), context, F.lit("\n\n" + TASK_HEAD + "\n" + task))
 
 
-def descriptions(requests: DataFrame, task: str, call: Callable[[str], str], pause: float = registry.FIRST_PAUSE) -> DataFrame:
+def descriptions(requests: DataFrame, task: str, call: Callable[[str], str], pause: float = registry.FIRST_PAUSE, log: str | None = None) -> DataFrame:
     """Step 3: requests with description and error. An answer with SKIP in it is no description."""
     asked = requests.withColumn("prompt", description_prompt(F.col("caption"), F.col("context"), task))
-    told = registry.answers(asked, call, pause=pause)
+    told = answered(asked, call, pause, log, "description", f"{answer_log.KEY}, image_no int")
     return told.withColumn("description", F.when(~F.col("answer").contains(SKIP), F.col("answer"))).drop("prompt", "answer")
 
 

@@ -55,30 +55,32 @@ def is_fatal(message: str) -> bool:
     return any(x in message.lower() for x in FATAL)
 
 
+def asked(call: Callable[[str], str], text: str, pause: float = FIRST_PAUSE) -> tuple[str | None, str | None]:
+    """(answer, error): call is tried ATTEMPTS times with doubled pauses; a fatal error is not tried again, and an empty answer is one."""
+    error = None
+    for k in range(ATTEMPTS):
+        try:
+            answer = call(text)
+            return (answer, None) if answer else (None, "empty answer")
+        except Exception as e:  # noqa: BLE001 - whatever a provider raises becomes the row's error
+            error = str(e)
+            if is_fatal(error):
+                break
+            if k + 1 < ATTEMPTS:
+                time.sleep(pause * 2**k)
+    return None, error
+
+
 def answers(requests: DataFrame, call: Callable[[str], str], prompt: str = "prompt", pause: float = FIRST_PAUSE) -> DataFrame:
-    """requests with answer and error: call is tried ATTEMPTS times with doubled pauses; a fatal error is not tried again.
+    """requests with answer and error. Errors are data: a row that fails does not end the run.
 
-    Errors are data: a row that fails does not end the run.
+    Each use of the result asks again; answer_log.answered() asks once.
     """
 
     @F.pandas_udf("answer string, error string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        def one(text: str) -> tuple[str | None, str | None]:
-            error = None
-            for k in range(ATTEMPTS):
-                try:
-                    answer = call(text)
-                    return (answer, None) if answer else (None, "empty answer")
-                except Exception as e:  # noqa: BLE001 - whatever a provider raises becomes the row's error
-                    error = str(e)
-                    if is_fatal(error):
-                        break
-                    if k + 1 < ATTEMPTS:
-                        time.sleep(pause * 2**k)
-            return None, error
-
         for texts in parts:
-            yield pd.DataFrame([one(t) for t in texts], columns=["answer", "error"])
+            yield pd.DataFrame([asked(call, t, pause) for t in texts], columns=["answer", "error"])
 
     return requests.withColumn("_r", run(prompt)).select(*requests.columns, "_r.*")
 

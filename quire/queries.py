@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import articles, boundaries, chapters, chunks, detections, extraction, headings, hyphens, page_files
-from quire.plans import conversion, corpus, fulltext, points, registry
+from quire.plans import answer_log, conversion, corpus, fulltext, page_steps, points, registry
 from quire.plans.corpus import pages, toc
 from quire.sources import cache, store
 from quire.streaming import jobs
@@ -764,6 +764,28 @@ def sparse_weights(spark, sf):
     return v.select("id", F.size("sparse.indices").cast("long").alias("terms"), F.element_at("sparse.indices", -1).alias("last"), F.round(total, 2).alias("total"), F.round(F.array_max("sparse.values").cast("double"), 4).alias("most"))
 
 
+@query("""select source as book_name, lpad(cast(doc_id as varchar), 9, '0') || '.jpg' as file, case when length(text) % 7 <> 0 then md5(length(text) || ':' || substr(text, 1, 40)) end as text, case when length(text) % 7 = 0 then 'unauthorized' end as error,
+  cast(case when length(text) % 7 = 0 and doc_id % 2 = 0 then 2 else 1 end as bigint) as asked from documents where text <> ''""")
+def page_step_run(spark, sf):
+    """The first step over half of the pages, then over all: only what the log lacks is asked for."""
+
+    def read(prompt):
+        import base64
+
+        text = base64.b64decode(prompt).decode()
+        if len(text) % 7 == 0:
+            raise RuntimeError("unauthorized")
+        return f"{len(text)}:{text[:40]}"
+
+    log = corpus.scratch(spark, "answers")
+    d = corpus.view(spark, sf, "documents").filter("text <> ''")
+    images = d.select("doc_id", F.col("source").alias("book_name"), F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".jpg")).alias("file"), F.encode("text", "UTF-8").alias("content"))
+    page_steps.page_texts(images.filter("doc_id % 2 = 0"), read, log=log)
+    found = page_steps.page_texts(images, read, log=log)
+    times = answer_log.entries(spark, log).groupBy("book_name", "file").agg(F.count("*").alias("asked"))
+    return found.join(times, ["book_name", "file"]).select("book_name", "file", text_of("text"), "error", "asked")
+
+
 @query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
 def step_totals(spark, sf):
     e = corpus.view(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_name"), F.col("event_type").alias("step"), F.floor("value").alias("seconds"), F.lit(1).alias("prompt_tokens"), F.lit(1).alias("completion_tokens"))

@@ -64,6 +64,9 @@ class FolderStore:
         with self.fs.open_input_stream(self.at(path)) as stream:
             return stream.read()
 
+    def has(self, path: str) -> bool:
+        return self.fs.get_file_info(self.at(path)).type == pafs.FileType.File
+
     def put(self, path: str, content: bytes) -> None:
         self.fs.create_dir(posixpath.dirname(self.at(path)), recursive=True)
         with self.fs.open_output_stream(self.at(path)) as stream:
@@ -71,8 +74,8 @@ class FolderStore:
 
     def move(self, source: str, target: str) -> None:
         self.fs.create_dir(posixpath.dirname(self.at(target)), recursive=True)
-        if self.fs.get_file_info(self.at(target)).type == pafs.FileType.File:
-            self.fs.delete_file(self.at(target))
+        if self.has(target):
+            self.remove(target)
         self.fs.move(self.at(source), self.at(target))
 
     def remove(self, path: str) -> None:
