@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,18 +18,26 @@ class Run:
     def __init__(self, spark: SparkSession, name: str = "run") -> None:
         self.sc, self.tag, self.cancelled = spark.sparkContext, f"quire-{name}-{uuid.uuid4().hex}", False
         self.observations: dict[str, Observation] = {}
+        self.over = threading.Event()
 
     def __enter__(self) -> Run:
+        self.over.clear()
         self.sc.addJobTag(self.tag)
         return self
 
     def __exit__(self, *_: object) -> None:
+        self.over.set()
         self.sc.removeJobTag(self.tag)
 
     def cancel(self) -> None:
-        """Stops the run's jobs; those that it starts later end at check()."""
+        """Stops the run's jobs, and those that it starts before it ends, as a write may consist of several."""
         self.cancelled = True
         self.sc.cancelJobsWithTag(self.tag)
+        threading.Thread(target=self._cancel_later, daemon=True).start()
+
+    def _cancel_later(self) -> None:
+        while not self.over.wait(0.2):
+            self.sc.cancelJobsWithTag(self.tag)
 
     def check(self) -> None:
         """Raises if the run was cancelled: for runs of several jobs, between them."""

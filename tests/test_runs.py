@@ -125,7 +125,7 @@ def test_a_cancelled_run_leaves_whole_files_only(spark, tmp_path, to):
         except Exception as e:
             failed.append(e)
 
-    thread = threading.Thread(target=work)
+    thread = threading.Thread(target=work, daemon=True)
     try:
         thread.start()
         deadline = time.time() + 60
