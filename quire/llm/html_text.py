@@ -9,8 +9,10 @@ smoothed frequencies in labelled pages; labelled_pages() makes such pages, and o
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -64,9 +66,13 @@ NAMES = {
     "main": "article-body entry-content post-text story-main artikel-inhalt beitrag corps-article contenu-principal cuerpo-noticia contenido main-column textblock",
 }
 NAMES = {kind: tuple(names.split()) for kind, names in NAMES.items()}
+LEAST_LOG = -200.0  # of a likelihood against that of the other state
 LEAST_SEEN = 5  # a word of names is learnt from so many nodes on
 
-_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>"'<]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>"'<]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+OPEN_QUOTES = 20  # tags of a page whose quotes are looked for to the end of the page in vain; from then on a tag ends at the next >
+_OPENS = re.compile(r"""<(/?)([a-zA-Z][^\s/>"'<]*)""")
+_STOPS = re.compile("[\"'>]")
+_COMMENT_ENDS = re.compile("--!?>")
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -104,61 +110,128 @@ def words_of(attributes: str) -> tuple:
     return tuple(sorted({w.lower() for value in _NAMES.findall(attributes) for w in _WORDS.findall(value)}))
 
 
+class Tags:
+    """The tags and comments of a page, one after the other; each place of the page is looked at a bounded number of times."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.vain = page, page.rfind(">"), 0
+
+    def end_of(self, at: int) -> int:
+        """Where a tag ends whose name ends there: behind the first > outside quotes, or if quotes stay open behind the first one."""
+        page, i = self.page, at
+        while self.vain < OPEN_QUOTES:
+            stop = _STOPS.search(page, i)
+            if stop and stop[0] == ">":
+                return stop.end()
+            i = page.find(stop[0], stop.end()) + 1 if stop else 0
+            if not i:
+                self.vain += 1
+                break
+        return page.find(">", at) + 1
+
+    def after(self, at: int) -> tuple[int, int, str, str, bool] | None:
+        """(start, end, name, attributes, closing) of the next tag; the name of what is none (comments, declarations) is empty."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if start > self.last:  # nothing but an open comment can follow
+                start = page.find("<!--", start)
+                return (start, len(page), "", "", False) if start >= 0 else None
+            if page.startswith("<!--", start):
+                end = _COMMENT_ENDS.search(page, start + 4)
+                return start, end.end() if end else len(page), "", "", False
+            if m := _OPENS.match(page, start):
+                end = self.end_of(m.end())
+                return start, end, m[2].lower(), page[m.end() : end - 1], bool(m[1])
+            if page[start + 1 : start + 2] in ("!", "?", "/"):
+                return start, page.find(">", start) + 1, "", "", False
+            at = start + 1
+        return None
+
+
+class Open:
+    """The open elements, with the places of those that end tags and new elements look for, so that a deep page costs no more for each tag."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#root", 0)]  # names and nodes; inline elements share the node of what holds them
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]  # not inline
+        self.barriers: list[int] = []
+        self.headings: list[int] = []
+        self.links = 0
+
+    @property
+    def node(self) -> int:
+        return self.stack[-1][1]
+
+    def kinds(self, tag: str) -> list[list[int]]:
+        more = [self.blocks] if tag not in INLINE else []
+        more += [self.barriers] if tag in BARRIERS else []
+        return [self.places.setdefault(tag, []), *more, *([self.headings] if tag in HEADINGS else [])]
+
+    def push(self, tag: str, node: int) -> None:
+        for places in self.kinds(tag):
+            places.append(len(self.stack))
+        self.stack.append((tag, node))
+        self.links += tag == "a"
+
+    def pop(self, to: int) -> None:
+        while len(self.stack) > to:
+            tag, _ = self.stack.pop()
+            for places in self.kinds(tag):
+                places.pop()
+            self.links -= tag == "a"
+
+    def close(self, tag: str) -> None:
+        """Ends the last open element of the name (of headings, any), unless a block for an inline one, or a barrier for another, lies above it."""
+        places = self.headings if tag in HEADINGS else self.places.get(tag)
+        if not places:
+            return
+        at = places[-1]
+        hidden = tag in INLINE and self.blocks[-1] > at or tag not in BARRIERS and tag not in ("tr", "tbody", "thead", "tfoot") and self.barriers and self.barriers[-1] > at
+        if not hidden:
+            self.pop(at)
+
+    def before(self, tag: str) -> None:
+        """Ends what an element of the name ends when it begins."""
+        if tag in CLOSES_P and self.stack[self.blocks[-1]][0] == "p":
+            self.pop(self.blocks[-1])
+        if tag in ENDS:
+            ends, barriers = ENDS[tag]
+            low = max((p[-1] for b in barriers if (p := self.places.get(b))), default=0)
+            found = [p[i] for e in ends if (p := self.places.get(e)) and (i := bisect_right(p, low)) < len(p)]
+            if found:
+                self.pop(min(found))
+
+
 def parse(page: str) -> list[Node]:
     """The nodes, each after its parent; the first is the root. Broken markup is mended as browsers do in the common cases."""
     nodes = [Node("#root", -1, "none", False)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements; inline ones share the node of what holds them
-    links = 0
+    tags, opened = Tags(page), Open()
     at = 0
 
     def text(raw: str) -> None:
         if raw:
-            node = nodes[stack[-1][1]]
+            node = nodes[opened.node]
             value = html.unescape(raw) if "&" in raw else raw
             node.parts.append(value)
-            if links:
+            if opened.links:
                 node.linked += len(value.strip())
 
-    def pop(to: int) -> None:
-        nonlocal links
-        while len(stack) > to:
-            links -= stack.pop()[0] == "a"
-
-    while m := _TAG.search(page, at):  # from the end of the last tag or raw text, so that nothing inside a script opens a tag
-        if m.start() > at:
-            text(page[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+    while found := tags.after(at):  # from the end of the last tag or raw text, so that nothing inside a script opens a tag
+        start, end, tag, attributes, closing = found
+        text(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag, closing, attributes = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
         if closing:
             if tag == "br":
-                nodes[stack[-1][1]].parts.append(" ")
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag or tag in HEADINGS and stack[k][0] in HEADINGS:
-                    pop(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE or stack[k][0] in BARRIERS and tag not in BARRIERS and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-                    break
+                nodes[opened.node].parts.append(" ")
+            opened.close(tag)
             continue
-        if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    pop(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
-        if tag in ENDS:
-            ends, barriers = ENDS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in barriers:
-                    break
-                if stack[k][0] in ends:
-                    pop(k)
-        if tag in ("html", "body") and any(t == tag for t, _ in stack):
+        opened.before(tag)
+        if tag in ("html", "body") and opened.places.get(tag):
             continue
-        holder = stack[-1][1]
+        holder = opened.node
         if tag in VOID:
             nodes[holder].parts.append(" " if tag in INLINE else None)
             continue
@@ -172,12 +245,11 @@ def parse(page: str) -> list[Node]:
             nodes[holder].parts.append(number)
             nodes[holder].children.append(number)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
-            at = end.start() if end else len(page)
-            if not end:
+            ended = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+            at = ended.start() if ended else len(page)
+            if not ended:
                 break
-        stack.append((tag, number))
-        links += tag == "a"
+        opened.push(tag, number)
     if at < len(page):
         text(page[at:])
     return nodes
@@ -221,11 +293,13 @@ class Model:
     root: tuple
 
     def potential(self, seen: tuple) -> tuple[float, float]:
-        a = b = 1.0
+        """The likelihoods of what is seen, over the larger one: an element may have any number of names."""
+        a = b = 0.0
         for x in seen:
             p, q = self.seen.get(x) or self.unseen[x[0]]
-            a, b = a * p, b * q
-        return a, b
+            a, b = a + math.log(p), b + math.log(q)
+        top = max(a, b)
+        return math.exp(max(a - top, LEAST_LOG)), math.exp(max(b - top, LEAST_LOG))
 
     def marginals(self, nodes: list[Node], seen: list[tuple]) -> list[float]:
         """The probability that each node is content."""
@@ -428,7 +502,7 @@ def default_model() -> Model:
 def main_texts(df: DataFrame, page: str = "html", model: Model | None = None) -> DataFrame:
     """df's columns but the page, with text and n_chars, its code points.
 
-    The whole page is read; a null, empty or blank page, or one without content, has an empty text. Character references are decoded, white space in a block is one
+    The whole page is read, in time that grows with its length alone, however its tags are nested or broken; a null, empty or blank page, or one without content, has an empty text. Character references are decoded, white space in a block is one
     space, blocks are joined by one newline. Repeated rows stay; a column of df with the name of a result is replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(model or default_model())

@@ -3,6 +3,8 @@
 import itertools
 import os
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -324,3 +326,85 @@ PAGES_BY_HAND = [
 @pytest.mark.parametrize("page,blocks", PAGES_BY_HAND)
 def test_pages_by_hand(page, blocks):
     assert html_text.main_text(page, html_text.default_model()).split("\n") == blocks
+
+
+def test_pages_with_many_names_are_read():
+    """An element may have hundreds of names that speak for and against content."""
+    model = html_text.default_model()
+    names = " ".join(x[1] for x in model.seen if x[0] == "name")
+    for wanted in (names, names * 20):
+        page = f'<div class="{wanted}"><p>Some text that is here. It goes on, and on.</p></div>'
+        nodes = html_text.parse(page)
+        assert all(0 <= b <= 1 for b in model.marginals(nodes, html_text.features(nodes)))
+        html_text.main_text(page, model)
+
+
+@pytest.mark.parametrize(
+    ("page", "low"),
+    [
+        ("a<" * 500_000, 900_000), ("<div>" * 8000 + "</xyz>" * 8000 + "</p>" * 8000, 0), ('<a ">" ' * 100_000, 0), ("<div>" * 8000 + "<li>x" * 8000, 0), ("<!--" + "<" * 500_000, 0),
+        ("<section><table><td>" + "<div>" * 8000 + "</section>" * 8000, 0), ("<i><div>" + "<b>" * 8000 + "</i>" * 8000, 0), ("<p>Some words, that go on. </p>" * 170_000, 4_000_000),
+    ],
+)
+def test_long_and_broken_pages_take_time_by_their_length(page, low):
+    began = time.time()
+    text = html_text.main_text(page, html_text.default_model())
+    assert len(text) >= low and time.time() - began < 30
+
+
+def plain_stack(page):
+    """Tags by one expression and open elements by walks through the whole stack: (name, parent) of each node that is no inline one, and all text."""
+    tag = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>"'<]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>"'<]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+    H, stack, out, at, text = html_text, [("#root", 0)], [("#root", -1)], 0, ""
+    while m := tag.search(page, at):
+        text, at = text + page[at : m.start()], m.end()
+        name = (m[2] or m[5] or "").lower()
+        if not name:
+            continue
+        walk = range(len(stack) - 1, 0, -1)
+        if m[1] or m[4]:
+            for k in walk:
+                if stack[k][0] == name or name in H.HEADINGS and stack[k][0] in H.HEADINGS:
+                    del stack[k:]
+                    break
+                if name in H.INLINE and stack[k][0] not in H.INLINE or stack[k][0] in H.BARRIERS and name not in H.BARRIERS and name not in ("tr", "tbody", "thead", "tfoot"):
+                    break
+            continue
+        if name in H.CLOSES_P:
+            for k in walk:
+                if stack[k][0] == "p":
+                    del stack[k:]
+                    break
+                if stack[k][0] not in H.INLINE:
+                    break
+        if name in H.ENDS:
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in H.ENDS[name][1]:
+                    break
+                if stack[k][0] in H.ENDS[name][0]:
+                    del stack[k:]
+        if name in H.VOID:
+            continue
+        number = stack[-1][1] if name in H.INLINE else len(out)
+        if number == len(out):
+            out.append((name, stack[-1][1]))
+        if name in H.RAW:
+            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
+            at = end.start() if end else len(page)
+            if not end:
+                break
+        stack.append((name, number))
+    return out, text + page[at:]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_pages_are_parsed_as_by_walks_through_the_stack(seed):
+    rng = random.Random(seed)
+    pieces = "<p> </p> <div> </div> <li> </li> <ul> </ul> <a> </a> <b> </b> <table> <tr> <td> </td> </tr> </table> <h1> </h2> <br> text < a<b <!--c--> <!-- \" ' <i/x='1' <script> </script> <select> <option> </select> <!x> </> <th> <dt> <dd> </dl>".split()
+    for _ in range(400):
+        page = " ".join(rng.choices(pieces, k=rng.randint(1, 40)))
+        nodes = html_text.parse(page)
+        tree, text = plain_stack(page)
+        assert [(n.tag, n.parent) for n in nodes] == tree
+        order = "".join(p for n in nodes for p in n.parts if isinstance(p, str))
+        assert sorted(order.replace(" ", "")) == sorted(text.replace(" ", ""))
