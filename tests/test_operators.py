@@ -1,6 +1,7 @@
 """Stages: stitching, chapters, boundaries, extraction, headings, chunks, points."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,38 +53,105 @@ def test_chapters(spark):
     ]
 
 
+def marked_texts(spark, texts, by):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    return [r.text for r in by(df).orderBy("i").collect()]
+
+
+def marking(spark, by):
+    return lambda text: marked_texts(spark, [text], by)[0]
+
+
 def test_table_boundaries(spark):
+    mark_tables = marking(spark, boundaries.with_table_markers)
     text = "text\n<001> Таблица 1. Имя\n<table><tr><td>1</td></tr></table>\n* note\nafter"
     marked = "text\n[TABLE_START]\n<001> Таблица 1. Имя\n<table><tr><td>1</td></tr></table>\n* note\n[TABLE_END]\nafter"
-    assert boundaries.mark_tables(text) == marked and boundaries.mark_tables(marked) == marked
+    assert mark_tables(text) == marked and mark_tables(marked) == marked
     plain = "a\n| x | y |\n|---|---|\n| 1 | 2 |\nb"
-    assert boundaries.mark_tables(plain) == plain
+    assert mark_tables(plain) == plain
     on = "Таблица 3.1 Имя\n| a |\n|---|\n| 1 |\n\n<002> Продолжение таблицы 3.1\n| a |\n|---|\n| 2 |\nz"
-    assert boundaries.mark_tables(on).count("[TABLE_START]") == 1
-    assert boundaries.mark_tables("<table><caption>Таблица 2 x</caption>\n<tr></tr></table> <002> Окончание").split("\n")[1] == "Таблица 2 x"
-    assert boundaries.mark_tables("<011> текст 5% <012> Таблица 2\n<table></table>").split("\n")[:3] == ["<011> текст 5%", "[TABLE_START]", "<012> Таблица 2"]
-    assert boundaries.mark_tables("Таблица 1: имя\n<table></table>") == "Таблица 1: имя\n<table></table>"
+    assert mark_tables(on).count("[TABLE_START]") == 1
+    assert mark_tables("<table><caption>Таблица 2 x</caption>\n<tr></tr></table> <002> Окончание").split("\n")[1] == "Таблица 2 x"
+    assert mark_tables("<011> текст 5% <012> Таблица 2\n<table></table>").split("\n")[:3] == ["<011> текст 5%", "[TABLE_START]", "<012> Таблица 2"]
+    assert mark_tables("Таблица 1: имя\n<table></table>") == "Таблица 1: имя\n<table></table>"
 
 
-def test_figure_boundaries():
+def test_figure_boundaries(spark):
+    mark_figures = marking(spark, boundaries.with_figure_markers)
     text = "a\n<001> Рис. 2. Схема:\n1 — вход;\nвыход — два\n\nb"
-    marked = boundaries.mark_figures(text)
+    marked = mark_figures(text)
     assert marked == "a\n[FIGURE_START]\n<001> Рис. 2. Схема:\n1 — вход;\nвыход — два\n[FIGURE_END]\n\nb"
-    assert boundaries.mark_figures(marked) == marked
-    assert boundaries.mark_figures("x\n<figure><img src=a><figcaption>Рис. 1. N</figcaption></figure>") == "x\n[FIGURE_START]\nРис. 1. N\n[FIGURE_END]"
+    assert mark_figures(marked) == marked
+    assert mark_figures("x\n<figure><img src=a><figcaption>Рис. 1. N</figcaption></figure>") == "x\n[FIGURE_START]\nРис. 1. N\n[FIGURE_END]"
     inside = "[TABLE_START]\nРис. 3. x\n[TABLE_END]"
-    assert boundaries.mark_figures(inside) == inside
+    assert mark_figures(inside) == inside
 
 
-def test_markers_are_stable_on_made_up_texts():
+def test_markers_are_stable_on_made_up_texts(spark):
     rng = random.Random(8)
     lines = ["Таблица 1.2 Имя", "<003> Окончание табл. 1.2", "<table>", "</table>", "| a | b |", "|---|---|", "| 1 | 2 | <004> Текст", "* note", "", "<005> Рис. 4. Вид:", "1 — да;", "![a](b)", "текст", "<figure><figcaption>Рис. 9. Z</figcaption></figure>", "# H"]
-    for _ in range(400):
-        text = "\n".join(rng.choices(lines, k=rng.randint(1, 25)))
-        once = boundaries.mark_tables(text)
-        assert boundaries.mark_tables(once) == once
-        twice = boundaries.mark_figures(once)
-        assert once.count("[TABLE_START]") == once.count("[TABLE_END]") and twice.count("[FIGURE_START]") == twice.count("[FIGURE_END]")
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 25))) for _ in range(400)]
+    once = marked_texts(spark, texts, boundaries.with_table_markers)
+    assert marked_texts(spark, once, boundaries.with_table_markers) == once
+    twice = marked_texts(spark, once, boundaries.with_figure_markers)
+    for one, two in zip(once, twice):
+        assert one.count("[TABLE_START]") == one.count("[TABLE_END]") and two.count("[FIGURE_START]") == two.count("[FIGURE_END]")
+
+
+def plain_bare(x):
+    return re.sub(r"<\d+>", "", x).strip()
+
+
+def plain_ranges(lines):
+    """(first, last, number) of the tables under captions by loops over lines, for texts whose lines hold one thing each."""
+    p, out, i = [plain_bare(x) for x in lines], [], 0
+    while i < len(lines):
+        end = None
+        caption = re.match(r"(?:<\d+>\s*)?(?:Таблица|Табл\.)\s+\d+[.\d]*(?:\s|$)", lines[i].strip())
+        on = re.match(r"(?i)(?:<\d+>\s*)?\*{0,2}(?:Окончание|Продолжение)\s+(?:табл\.|таблицы)\s+\d+", lines[i].strip())
+        for j in range(i + 1, min(len(p), i + 31)) if caption or on else ():
+            if "<table" in p[j]:
+                end = next((k for k in range(j, len(p)) if "</table" in p[k]), None)
+                break
+            size = next((k for k in range(j, len(p)) if not p[k].startswith("|")), len(p)) - j
+            if size >= 3 and any(re.match(r"\|[\s\-:|]+\|?$", x) for x in p[j : j + size]):
+                end = j + size - 1
+                break
+        if end is None:
+            i += 1
+            continue
+        last = end
+        for j in range(end + 1, min(len(p), end + 11)):
+            if p[j].startswith("*"):
+                last = j
+            elif p[j] or last > end:
+                break
+        number = re.search(r"(?:Таблица|[Тт]абл\.|таблицы)\s+(\d+[.\d]*)", p[i])[1]
+        if on and out and out[-1][2] == number:
+            out[-1] = (out[-1][0], last, number)
+        else:
+            out.append((i, last, number))
+        i = last + 1
+    return out
+
+
+def test_table_markers_by_plain_loops(spark):
+    rng = random.Random(11)
+    lines = ["Таблица 1.2 Имя", "<003> Окончание табл. 1.2", "Продолжение таблицы 7", "Таблица 7 x", "<table>", "</table>", "<tr></tr>", "| a | b |", "| 1 |", "|---|---|", "* note", "<004> ** note", "", "<005> ", "текст"]
+    texts = ["\n".join(rng.choices(lines, [3, 1, 1, 2, 2, 2, 1, 4, 4, 4, 2, 1, 3, 1, 2], k=rng.randint(1, 60))) for _ in range(500)]
+    for text, marked in zip(texts, marked_texts(spark, texts, boundaries.with_table_markers)):
+        out = text.split("\n")
+        for first, last, _ in reversed(plain_ranges(out)):
+            out[last + 1 : last + 1] = ["[TABLE_END]"]
+            out[first:first] = ["[TABLE_START]"]
+        assert re.sub(r"\n{4,}", "\n\n\n", "\n".join(out)) == re.sub(r"\n{4,}", "\n\n\n", marked)
+
+
+def test_markers_of_odd_texts(spark):
+    long = "Таблица 1 x\n" + "| a |\n" * 5000 + "|---|\n" + "| b |\n" * 5000 + "* note"
+    (marked,) = marked_texts(spark, [long], boundaries.with_table_markers)
+    assert marked == f"[TABLE_START]\n{long}\n[TABLE_END]"
+    assert marked_texts(spark, ["", None, "x"], boundaries.with_markers) == ["", None, "x"]
 
 
 def test_extraction(spark):
