@@ -41,13 +41,14 @@ def text_chunks(chapters: DataFrame, size: int = CHUNK_SIZE, overlap: int = OVER
     state = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<pos:int,page:{T.PAGE}>>").alias("marks"))
     pages = F.arrays_zip(F.slice(F.transform("_pieces", F.length), 1, F.size("_numbers")).alias("n"), F.col("_numbers").alias("page"))
     marks = F.aggregate(pages, state, lambda a, x: F.struct((a.at + x["n"]).alias("at"), F.concat(a.marks, F.array(F.struct((a.at + x["n"]).alias("pos"), x["page"].alias("page")))).alias("marks")), lambda a: a.marks)
-    split = split.withColumn("_marks", F.when(F.size("_numbers") > 0, marks).otherwise(state.marks)).filter(T.stripped(F.col("_clean")) != "")
+    split = split.withColumn("_marks", F.when(F.size("_numbers") > 0, marks).otherwise(state.marks))
     # Chunks are finished inside the array, so that nothing else of the chapter is copied into each of them.
     cut = lambda at: F.struct(
         F.substr(F.col("_clean"), at.s + 1, at.e - at.s).alias("text"),
         F.array_sort(F.array_compact(F.array_distinct(F.transform(F.filter("_marks", lambda m: (m.pos >= at.s) & (m.pos < at.e)), lambda m: m.page)))).alias("pages"),
     )
-    done = F.transform(spans(F.length("_clean"), size, overlap, least), cut)
+    # A filter on the clean text would be pushed down and all of it computed twice; without an array there are no chunks.
+    done = F.when(T.has_text(F.col("_clean")), F.transform(spans(F.length("_clean"), size, overlap, least), cut))
     each = split.select("book_name", "source_file", F.col("_p.headers").alias("headers"), F.posexplode(done).alias("chunk_index", "c"))
     chunk = F.col("c.text")
     return each.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as T
+from quire.sources.shared import computed
 
 # What a heading, a bare numbered line and a caption look like.
 TAGS = r"\A(?:<\d+>\s*)*"
@@ -68,14 +69,15 @@ def matches(found: DataFrame, toc: DataFrame) -> DataFrame:
     Strategies in order: A exact number, B longest parent number, C special key, D paragraph sign, E equal text, F prefix, G word overlap. Joins
     find the entries: one on keys of numbers and special words, others on whole beginnings and on the rarest words that texts with enough in common must share.
     """
-    entries = toc_entries(toc)
+    entries = computed(toc_entries(toc))
     keys = ["book_name", "looked"]
     looked = found.select(*keys).distinct()
     looked = looked.withColumn("section", T.section_key(F.col("looked"))).withColumn("special", T.special_key(F.col("looked")))
     sign = F.nullif(F.regexp_extract("looked", r"\A§\s*(\d+(?:\.\d+)+)[.\s]*", 1), F.lit(""))
     looked = looked.withColumn("sign", F.transform(F.split(sign, r"\."), T.whole_number))
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("looked", r"\A(\d+(?:\.\d+)+)[.\s]*", ""), SPECIAL_HEAD, ""), r"\A§\s*(\d+(?:\.\d+)+)[.\s]*", "")
-    looked = looked.withColumn("norm", T.normalized(F.regexp_replace(bare, r"\.+\z", "")))
+    # Entries and looked-up texts take part in every offer, so they are computed once.
+    looked = computed(looked.withColumn("norm", T.normalized(F.regexp_replace(bare, r"\.+\z", ""))))
 
     number = lambda x: F.concat(F.lit("n:"), F.array_join(x, "."))
     special = F.concat(F.lit("s:"), F.col("special.keyword"), F.lit(":"), F.col("special.number"))

@@ -5,11 +5,10 @@ A page's number follows from its document's id, so that no text is sorted to num
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.sources.shared import scratch  # noqa: F401 - queries name it by this module
+
 NL = "chr(10)"
 _BASE = """
 select 'Author ' || source || ', Title ' || source as book_name, doc_id, source, text as body, 1 + doc_id + cast(floor(doc_id / 7) as bigint) as page_no
@@ -49,18 +48,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, df.columns[0])
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that driver and executors share (spark.checkpoint.dir); in local sessions without one, a temporary one."""
-    sc = spark.sparkContext
-    known = sc._jsc.sc().getCheckpointDir()
-    shared = sc.getConf().get("spark.checkpoint.dir") or (known.get() if known.isDefined() else None)
-    if not shared:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="quire-scratch-")
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
-
-
 def _planted(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace("from documents", "from {documents}"), documents=view(spark, sf_dir, "documents"))
 
