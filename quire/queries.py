@@ -11,7 +11,7 @@ from quire.functions import text as T
 from quire.operators import articles, boundaries, chapters, chunks, detections, extraction, headings, hyphens, page_files
 from quire.plans import answer_log, conversion, corpus, fulltext, page_steps, points, registry
 from quire.plans.corpus import pages, toc
-from quire.sources import cache, store
+from quire.sources import cache, pdf, store
 from quire.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -786,6 +786,20 @@ def page_step_run(spark, sf):
     return found.join(times, ["book_name", "file"]).select("book_name", "file", text_of("text"), "error", "asked")
 
 
+@query("""with d as (select doc_id, text, cast(sum(doc_id % 4 + 1) over (order by doc_id rows between unbounded preceding and 1 preceding) as bigint) as before from documents),
+ p as (select *, unnest(generate_series(0, doc_id % 4)) as k from d)
+ select lpad(cast(doc_id as varchar), 9, '0') || '/split_pdf/' || case when coalesce(before, 0) + k < 1000 then lpad(cast(coalesce(before, 0) + k as varchar), 3, '0') else cast(coalesce(before, 0) + k as varchar) end || '.pdf' as path,
+   cast(case when k % 2 = 1 then 200 + doc_id % 50 else 100 + k end as double) as width, cast(case when k % 2 = 1 then 100 + k else 200 + doc_id % 50 end as double) as height, md5(text || k) as said from p""")
+def pdf_pages(spark, sf):
+    """A file of up to four pages, every other one turned, for each document, without a table of its objects."""
+    objects = r"""'%PDF-1.4\n1 0 obj<</Type/Catalog/Pages 2 0 R>>endobj\n2 0 obj<</Type/Pages/Kids[' || array_join(transform(sequence(0, doc_id % 4), k -> (10 + k) || ' 0 R'), ' ') || ']>>endobj\n'
+      || array_join(transform(sequence(0, doc_id % 4), k -> (10 + k) || ' 0 obj<</Type/Page/Parent 2 0 R/Rotate ' || (k % 2 * 90) || '/MediaBox[0 0 ' || (100 + k) || ' ' || (200 + doc_id % 50) || ']/Contents '
+           || (20 + k) || ' 0 R>>endobj ' || (20 + k) || ' 0 obj<</Length 32>>stream\n' || md5(text || k) || '\nendstream endobj\n'), '') || 'trailer<</Root 1 0 R>>'"""
+    d = corpus.view(spark, sf, "documents").select(F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".pdf")).alias("file"), F.encode(F.expr(objects), "UTF-8").alias("content"))
+    found = pdf.split_files(d)
+    return found.select("path", "width", "height", F.regexp_extract(F.decode("content", F.lit("ISO-8859-1")), r"stream\n([0-9a-f]{32})\n", 1).alias("said"))
+
+
 @query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
 def step_totals(spark, sf):
     e = corpus.view(spark, sf, "events").select(F.col("user_id").cast("string").alias("book_name"), F.col("event_type").alias("step"), F.floor("value").alias("seconds"), F.lit(1).alias("prompt_tokens"), F.lit(1).alias("completion_tokens"))
