@@ -797,7 +797,7 @@ def pdf_pages(spark, sf):
            || (20 + k) || ' 0 R>>endobj ' || (20 + k) || ' 0 obj<</Length 32>>stream\n' || md5(text || k) || '\nendstream endobj\n'), '') || 'trailer<</Root 1 0 R>>'"""
     d = corpus.view(spark, sf, "documents").select(F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".pdf")).alias("file"), F.encode(F.expr(objects), "UTF-8").alias("content"))
     found = pdf.split_files(d)
-    return found.select("path", "width", "height", F.regexp_extract(F.decode("content", F.lit("ISO-8859-1")), r"stream\n([0-9a-f]{32})\n", 1).alias("said"))
+    return found.select("path", "width", "height", F.regexp_extract(F.decode("content", "ISO-8859-1"), r"stream\n([0-9a-f]{32})\n", 1).alias("said"))
 
 
 @query("""select user_id, event_type, count(*) as calls, cast(sum(floor(value)) as bigint) as seconds from events group by rollup(user_id, event_type)""")
