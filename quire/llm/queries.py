@@ -123,6 +123,24 @@ select query_id, cast(rank as int) as rank, vec_id, distance from (
 where rank <= 10"""
 
 
+# The checksum's table by its rule, then checksums of the different features alone.
+OP12_SQL = r"""
+with recursive table_ as (select list_transform(range(0, 256), lambda n: list_reduce(list_prepend(n, range(0, 8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+ w as (select kind, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+   from (select 'd' as kind, doc_id, text from documents union all select 'b', item_id, text from benchmark)),
+ f as (select kind, doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as f from w),
+ own as (select f, hex(f) as h from (select distinct f from f)),
+ crc as (select f, xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(range(0, length(h), 2), lambda i: cast(('0x' || substr(h, i + 1, 2)) as bigint))),
+   lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket from own, table_),
+ n as (select bucket, count(*) filter (where kind = 'd') as s, count(*) filter (where kind = 'b') as t from f join crc using (f) group by bucket),
+ gain as (select bucket, cast(floor(1000 * ln(cast(t + 1 as double) * (sum(s) over () + 10000) / (cast(s + 1 as double) * (sum(t) over () + 10000)))) as bigint) as g from n),
+ sums as (select doc_id, cast(floor(sum(g) / cast(count(*) as double)) as bigint) as weight from f join crc using (f) join gain using (bucket) where kind = 'd' group by doc_id),
+ scored as (select doc_id, len(ws) as words, cast(case when len(ws) = 0 then 0 else 2 * len(ws) - 1 end as bigint) as n_features, coalesce(weight, 0) as weight,
+   coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast(('0x' || substr(sha256('7:' || doc_id), 1, 8)) as bigint) + 0.5e0) / 4294967296))) as bigint) as score from w left join sums using (doc_id) where kind = 'd'),
+ placed as (select *, row_number() over (partition by words >= 20 order by score desc, doc_id) as place, count(*) over (partition by words >= 20) as every from scored)
+select doc_id, n_features, weight, score, case when words >= 20 and place <= 25 * every // 100 then place end as rank from placed"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others need models, hashes or automata that SQL lacks; tests/llm compares them with brute force."""
-    return {"op6_topk": OP6_SQL}
+    return {"op6_topk": OP6_SQL, "op12_resampling": OP12_SQL}
