@@ -245,14 +245,20 @@ class Merger:
         return found, change
 
     def count(self, piece: bytes) -> int:
-        """The number of tokens of a pre-token."""
-        if len(self.states) > MAX_STATES or len(self.fits) > MAX_STATES:
-            self.reset()
+        """The number of tokens of a pre-token. However long it is, no more than about MAX_STATES states are kept."""
         state = total = 0
         moves = self.moves
         for byte in piece:
             found = moves.get(state << 8 | byte)
-            state, change = found if found is not None else self.move(state, byte)
+            if found is None:
+                if len(self.states) > MAX_STATES or len(self.fits) > MAX_STATES:
+                    here = self.states[state]
+                    self.reset()
+                    state = self.ids.setdefault(here, len(self.states))
+                    self.states[state:] = [here]
+                    moves = self.moves
+                found = self.move(state, byte)
+            state, change = found
             total += change
         return total
 

@@ -29,6 +29,19 @@ def test_equals_library_on_odd_texts(library):
     assert counter.counts(texts).tolist() == expected(library, texts)
 
 
+def test_states_are_bounded_inside_a_long_word(library, monkeypatch):
+    """A word of any length, with counts as if nothing had been forgotten."""
+    from quire.llm import token_counts as M
+
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k)) for k in (3000, 20_000)]
+    monkeypatch.setattr(M, "MAX_STATES", 40)
+    with open(PATH, encoding="utf-8") as file:
+        counter = TokenCounter(file.read())
+    assert counter.counts(words).tolist() == expected(library, words)
+    assert len(counter.merger.states) <= 42 and len(counter.merger.moves) <= 50
+
+
 def test_rows_nulls_and_clashing_names(spark, library):
     rows = [(1, "it's a test", 9), (1, "it's a test", 9), (None, None, None), (2, "", 1), (2**60, "word " * 600, 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
