@@ -21,6 +21,7 @@ from quire.llm.common import with_texts
 BLOCK = 576
 WIDTH = 24
 TILE = 24
+PIXELS_AT_ONCE = 1 << 18  # of a strip of an image that is resized
 FORMATS = ("pgm", "ppm", "bmp")
 _FIELD = re.compile(rb"(?:\s|#[^\n]*\n)*([0-9]+)")
 
@@ -120,27 +121,48 @@ def grayscale(pixels: np.ndarray) -> np.ndarray:
     return pixels.astype(np.float64) if pixels.ndim == 2 else pixels.astype(np.float64) @ np.array([0.299, 0.587, 0.114])
 
 
+def resized(pixels: np.ndarray, sizes: list[tuple[int, int]]) -> list[np.ndarray]:
+    """Gray means of an image over the boxes of grids of these heights and widths. One pass over strips of rows adds up integral images of each strip, so that a
+    long image needs no more memory than its strips."""
+    rows, columns = pixels.shape[:2]
+    out = [np.zeros((h, columns)) for h, _ in sizes]
+    step = max(1, PIXELS_AT_ONCE // max(columns, 1))
+    for top in range(0, rows, step):
+        gray = grayscale(pixels[top : top + step])
+        total = np.zeros((len(gray) + 1, columns))
+        np.cumsum(gray, axis=0, out=total[1:])
+        for sums, (h, _) in zip(out, sizes):
+            sums += box_sums(total, np.clip(np.arange(h + 1) * (rows / h) - top, 0, len(gray)))
+    made = []
+    for sums, (h, w) in zip(out, sizes):
+        total = np.zeros((columns + 1, h))
+        np.cumsum(sums.T, axis=0, out=total[1:])
+        made.append(box_sums(total, np.arange(w + 1) * (columns / w)).T / (rows / h) / (columns / w))
+    return made
+
+
+def box_sums(total: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sums between edges along the first axis of an integral image; an edge inside a pixel takes its share."""
+    low = np.minimum(edges.astype(np.intp), len(total) - 2)
+    part = (edges - low)[:, None]
+    return np.diff(total[low] * (1 - part) + total[low + 1] * part, axis=0)
+
+
 def area_resize(gray: np.ndarray, height: int, width: int) -> np.ndarray:
     """Means of the source over the boxes of a height x width grid."""
-    total = np.zeros((gray.shape[0] + 1, gray.shape[1] + 1))
-    np.cumsum(np.cumsum(gray, axis=0), axis=1, out=total[1:, 1:])
-    for axis, n in ((0, height), (1, width)):
-        edges = np.arange(n + 1) * (gray.shape[axis] / n)
-        low = np.minimum(edges.astype(np.intp), gray.shape[axis] - 1)
-        part = (edges - low).reshape((-1, 1) if axis == 0 else (1, -1))
-        total = np.take(total, low, axis) * (1 - part) + np.take(total, low + 1, axis) * part
-        total = np.diff(total, axis=axis) / (gray.shape[axis] / n)
-        if axis == 0:  # the columns are still sums from the left
-            continue
-    return total
+    return resized(gray, [(height, width)])[0]
 
 
-def difference_hash(pixels: np.ndarray) -> str:
+def hash_of(small: np.ndarray) -> str:
     """64 bits in hex: whether each of 8 x 8 cells is darker than its right neighbour, after rounding away float noise."""
-    small = np.round(area_resize(grayscale(pixels), 8, 9), 6)
+    small = np.round(small, 6)
     return np.packbits(small[:, :-1] < small[:, 1:]).tobytes().hex()
 
 
+def difference_hash(pixels: np.ndarray) -> str:
+    return hash_of(area_resize(pixels, 8, 9))
+
+
 def npy(array: np.ndarray) -> bytes:
     out = io.BytesIO()
     np.lib.format.write_array(out, np.ascontiguousarray(array), version=(1, 0), allow_pickle=False)
@@ -170,7 +192,7 @@ def media_tiles(df: DataFrame, media: str = "media", size: int = TILE, resize: t
                 return None, None, str(e), []
             shape = pixels.shape
             if resize:
-                pixels = np.clip(np.round(area_resize(grayscale(pixels), *resize)), 0, 65535).astype(pixels.dtype)
+                pixels = np.clip(np.round(area_resize(pixels, *resize)), 0, 65535).astype(pixels.dtype)
             return shape[0], shape[1], None, [dict(zip(("row", "col", "npy", "dhash"), t)) for t in tiles(pixels, size)]
 
         return lambda blobs: [list(x) for x in zip(*map(one, blobs))] or [[], [], [], []]
@@ -199,9 +221,9 @@ def text_media(df: DataFrame, text: str = "text") -> DataFrame:
             media = as_media(raw + b"\xff" * (-len(raw) % BLOCK if raw else BLOCK))
             pixels = decode(media)
             back = pixels.tobytes()
-            small = np.round(area_resize(grayscale(pixels), TILE, TILE), 6)
+            cells, small = resized(pixels, [(8, 9), (TILE, TILE)])
             sha = lambda b: hashlib.sha256(b).hexdigest()
-            return len(raw), len(back), sha(back), zlib.crc32(back[-32:]), len(media), sha(media), difference_hash(pixels), npy(np.round(small).astype(np.uint8)), media
+            return len(raw), len(back), sha(back), zlib.crc32(back[-32:]), len(media), sha(media), hash_of(cells), npy(np.round(np.round(small, 6)).astype(np.uint8)), media
 
         return lambda values: [list(x) for x in zip(*map(one, values))] or [[] for _ in range(9)]
 

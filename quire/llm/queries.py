@@ -41,7 +41,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm.media import text_media
 
-    return text_media(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("media", "tile")
+    return text_media(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("tile_sha256", F.sha2("tile", 256)).drop("media", "tile")
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:

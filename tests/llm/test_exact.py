@@ -1,6 +1,8 @@
 """Sentence pieces, images, shards, mixes: brute force and round trips."""
 
+import hashlib
 import math
+import os
 import random
 import struct
 import zlib
@@ -362,3 +364,28 @@ def test_a_normaliser_that_changes_texts_is_refused():
         other = data[: at - 1] + bytes([len(changed)]) + changed + data[at + len(settings) :]
         with pytest.raises(ValueError, match="not supported"):
             sentencepiece.read_vocabulary(other)
+
+
+def test_strips_of_a_long_image_add_up(monkeypatch):
+    rng = np.random.default_rng(12)
+    for shape in ((1000, 24), (7, 5), (333, 24, 3), (24, 24)):
+        pixels = rng.integers(0, 256, shape, dtype=np.uint8)
+        whole = media.resized(pixels, [(8, 9), (24, 24)])
+        for strip in (1, 50, 24 * 37):
+            monkeypatch.setattr(media, "PIXELS_AT_ONCE", strip)
+            for a, b in zip(whole, media.resized(pixels, [(8, 9), (24, 24)])):
+                assert a == pytest.approx(b, abs=1e-9)
+        monkeypatch.undo()
+        gray = media.grayscale(pixels)
+        if shape[:2] == (24, 24):
+            assert whole[1] == pytest.approx(gray)
+
+
+def test_the_query_has_the_tiles(spark):
+    from quire.llm import queries as Q
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    tiles = {r.doc_id: hashlib.sha256(bytes(r.tile)).hexdigest() for r in media.text_media(docs.select("doc_id", "text")).collect()}
+    assert {r.doc_id: r.tile_sha256 for r in Q.op10_media(spark, "/root/testdata/sf0.001").collect()} == tiles
