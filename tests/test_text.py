@@ -93,3 +93,34 @@ def test_embedding_text(spark):
     d = spark.sql("select ' text ' as t, map(1, 'a', 2, 'b') as h")
     assert d.select(T.embedding_text(F.col("t"), F.col("h")).alias("v")).first().v == "text"
     assert d.select(T.embedding_text(F.col("t"), F.col("h"), "intended").alias("v")).first().v == "b\n\ntext"
+
+
+@pytest.mark.parametrize(
+    ("line", "pipe", "empty", "goes_on", "number", "note"),
+    [
+        ("<007> | a | b |", True, False, False, None, False), ("|", False, False, False, None, False), (" <1> <2> ", False, True, False, None, False), ("", False, True, False, None, False),
+        ("<003> Окончание табл. 1.2", False, False, True, "1.2", False), ("**Продолжение таблицы 7", False, False, True, "7", False), ("Таблица 4 — Окончание таблицы 4", False, False, True, "4", False),
+        ("Таблица 3.1 Имя", False, False, False, "3.1", False), ("см. таблицу 5", False, False, False, "5", False), ("* note", False, False, False, None, True), ("<p>** note", False, False, False, None, True),
+        (r"\* note", False, False, False, None, True), ("text", False, False, False, None, False),
+    ],
+)
+def test_kinds_of_lines(spark, line, pipe, empty, goes_on, number, note):
+    c = F.col("line")
+    d = spark.createDataFrame([(line,)], "line string")
+    r = d.select(T.is_pipe_line(c).alias("a"), T.is_empty_line(c).alias("b"), T.is_continuation_line(c).alias("c"), T.caption_number(c).alias("d"), T.is_note_line(c).alias("e")).first()
+    assert tuple(r) == (pipe, empty, goes_on, number, note)
+
+
+def test_continuations_and_zones(spark):
+    rows = [("a word-", "rest", True), ("the end.", "rest", False), ("no sign", "# Head", False), ("no sign**", " rest", True), ("", "rest", False), ("x:", "", False)]
+    d = spark.createDataFrame(rows, "before string, text string, want boolean")
+    assert all(r.got == r.want for r in d.select("want", T.is_continuation(F.col("before"), F.col("text")).alias("got")).collect())
+    zones = F.array(F.struct(F.lit(2).alias("s"), F.lit(5).alias("e")), F.struct(F.lit(9).alias("s"), F.lit(10).alias("e")))
+    assert [r.id for r in spark.range(12).filter(T.inside(F.col("id"), zones)).collect()] == [2, 3, 4, 9]
+
+
+def test_white_space_is_trimmed_as_by_unicode(spark):
+    signs = [chr(c) for c in range(0x3001) if chr(c).isspace() or c in (0x85, 0x200B, 0x180E, 0xFEFF, 0x1C, 0x1F)]
+    rows = [(f"{s}a{s}b{s}",) for s in signs] + [(s * 3,) for s in signs] + [("",), (None,)]
+    d = spark.createDataFrame(rows, "t string").select("t", T.stripped(F.col("t")).alias("got"), F.regexp_replace("t", r"(?U)\A\s+|\s+\z", "").alias("want"), T.has_text(F.col("t")).alias("some"))
+    assert all(r.got == r.want and (r.t is None or r.some == (r.want != "")) for r in d.collect())
