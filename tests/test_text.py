@@ -99,7 +99,7 @@ def test_embedding_text(spark):
     ("line", "pipe", "empty", "goes_on", "number", "note"),
     [
         ("<007> | a | b |", True, False, False, None, False), ("|", False, False, False, None, False), (" <1> <2> ", False, True, False, None, False), ("", False, True, False, None, False),
-        ("<003> Окончание табл. 1.2", False, False, True, "1.2", False), ("**Продолжение таблицы 7", False, False, True, "7", False), ("Таблица 4 — Окончание таблицы 4", False, False, True, "4", False),
+        ("<003> Окончание табл. 1.2", False, False, True, "1.2", False), ("**Продолжение таблицы 7", False, False, True, "7", True), ("Таблица 4 — Окончание таблицы 4", False, False, True, "4", False),
         ("Таблица 3.1 Имя", False, False, False, "3.1", False), ("см. таблицу 5", False, False, False, "5", False), ("* note", False, False, False, None, True), ("<p>** note", False, False, False, None, True),
         (r"\* note", False, False, False, None, True), ("text", False, False, False, None, False),
     ],
