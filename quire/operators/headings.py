@@ -91,27 +91,27 @@ def matches(found: DataFrame, toc: DataFrame) -> DataFrame:
     )
     numbered = entries.withColumn("key", F.coalesce(number(F.col("section_key")), special)).filter("key is not null")
     numbered = numbered.groupBy("book_name", "key").agg(F.max("ord").alias("ord"), F.max_by("level", "ord").alias("level"))  # of equal keys the last entry
-    first = F.struct(F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"))
+    foremost = F.struct(F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord"))
     by_key = looked.select(*keys, F.explode(offers).alias("o")).select(*keys, "o.*").join(numbered, ["book_name", "key"])
-    by_key = by_key.select(*keys, "strategy", "score", first.alias("cand_ord"), "ord", "level")
+    by_key = by_key.select(*keys, "strategy", "score", foremost.alias("cand_ord"), "ord", "level")
 
-    texts = entries.filter("normalized <> ''").select("book_name", "normalized", "cand_ord", "ord", "level")
-    offered = texts.select("book_name", F.col("normalized").alias("text")).distinct()
+    # Entries with one text are offered alike, so the first of them stands for all, and looked-up texts that are normalized alike have one best entry:
+    # neither is multiplied by the other.
+    texts = entries.filter("normalized <> ''").groupBy("book_name", "normalized").agg(F.min(F.struct("cand_ord", "ord", "level")).alias("e")).select("book_name", "normalized", "e.*")
+    offered = texts.select("book_name", F.col("normalized").alias("text"))
     asked = looked.filter("norm <> ''").select("book_name", F.col("norm").alias("text")).distinct()
     flipped = lambda d: d.select("book_name", F.col("other").alias("text"), F.col("text").alias("other"))
     pairs = begun(asked, offered).unionByName(flipped(begun(offered, asked))).unionByName(overlapping(asked, offered)).unionByName(flipped(overlapping(offered, asked)))
-    pairs = pairs.select("book_name", F.col("text").alias("norm"), F.col("other").alias("normalized")).distinct()
-    pairs = pairs.join(looked.select(*keys, "norm"), ["book_name", "norm"]).join(texts, ["book_name", "normalized"])
+    pairs = pairs.select("book_name", F.col("text").alias("norm"), F.col("other").alias("normalized")).distinct().join(texts, ["book_name", "normalized"])
     long_enough = (F.length("norm") >= LEAST_PREFIX) & (F.length("normalized") >= LEAST_PREFIX)
     prefix = F.col("norm").startswith(F.col("normalized")) | F.col("normalized").startswith(F.col("norm"))
     overlap = T.token_overlap(F.col("norm"), F.col("normalized"))
     enough = F.least(F.size(F.split("norm", " ")), F.size(F.split("normalized", " "))) >= LEAST_TOKENS
     strategy = F.when(F.col("norm") == F.col("normalized"), "E").when(long_enough & prefix, "F").when((overlap >= LEAST_OVERLAP) & enough, "G")
-    by_text = pairs.withColumn("strategy", strategy).filter("strategy is not null").select(
-        *keys, "strategy", F.when(F.col("strategy") == "G", overlap).otherwise(0.0).alias("score"), "cand_ord", "ord", "level"
-    )
-    order = Window.partitionBy(*keys).orderBy("strategy", F.desc("score"), "cand_ord")
-    best = by_key.unionByName(by_text).withColumn("place", F.row_number().over(order)).filter("place = 1")
+    by_text = pairs.withColumn("strategy", strategy).filter("strategy is not null").withColumn("score", F.when(F.col("strategy") == "G", overlap).otherwise(0.0))
+    first = lambda d, *by: d.groupBy(*by).agg(F.min(F.struct("strategy", F.negative("score").alias("less"), "cand_ord", "ord", "level")).alias("b"))
+    by_text = first(by_text, "book_name", "norm").join(looked.select(*keys, "norm"), ["book_name", "norm"]).select(*keys, "b.strategy", F.negative("b.less").alias("score"), "b.cand_ord", "b.ord", "b.level")
+    best = first(by_key.unionByName(by_text), *keys).select(*keys, "b.*")
     return found.join(best.select(*keys, "strategy", F.col("ord").alias("entry"), F.col("level").alias("new_level")), keys, "left")
 
 
