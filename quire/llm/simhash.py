@@ -181,8 +181,17 @@ def linked(points: DataFrame, radius: int = RADIUS, cell_limit: int = CELL_LIMIT
     return edges.unionByName(again.select("a", "b")).distinct()
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges with the components of the edges (a, b), no longer as many for a b as it has different a: each b is joined to its smallest a alone, and those
+    a to each other. Forests of many cells whose b are the same thus come to about one edge a node, as their a, the roots, are few. A b has at most one a
+    for each cell that it is in, so none collects many."""
+    parents = edges.filter("a <> b").groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("p"))
+    return parents.select(F.col("p")[0].alias("a"), F.explode(F.concat(F.array("b"), F.slice("p", 2, 1 << 30))).alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each node of the edges (a, b) reaches."""
+    """(node, root): the smallest node that each node of the edges (a, b), b's own and a the one that it was found by, reaches."""
+    edges = contracted(contracted(edges))
     both = reliable(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = reliable(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")))
     while True:
@@ -440,8 +449,7 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     of = lambda end: prints.select(F.col("fp").alias(end), F.col("anchor").alias(f"{end}_key"))
     near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
     edges = near.unionByName(same).unionByName(chained)
-    edges = reliable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
-    grouped = components(edges)
+    grouped = components(reliable(edges.distinct()))
     members = points.join(grouped, F.col("key") == F.col("node")).select(F.col("root").alias("group"), "key", "least.row", "size")
     texts = meetings(reliable(members), GROUP_LIMIT).join(plain.select("row", "text"), "row")
     roots = components(resembling(texts, width, similarity))

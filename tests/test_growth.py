@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from quire.llm import simhash
 from quire.operators import headings
 
 
@@ -41,3 +42,13 @@ def test_headings_with_one_text_are_not_multiplied_by_entries_with_it(spark, hea
     want = {k: (number, k) if k and k % 2 == 0 else ("E", 2) for k in range(n)}
     assert {r.line_no: (r.strategy, r.entry) for r in found} == want
     assert 0 < made <= 4 * n
+
+
+def test_components_of_a_group_found_in_many_cells_come_from_about_one_edge_a_node(spark):
+    n, cells = 400, 16
+    # As bands give them: in each cell the nodes have another root.
+    edges = spark.createDataFrame([(c, k) for c in range(cells) for k in range(cells, n) if (k + c) % 3] + [(900, 901)], "a long, b long")
+    found = {}
+    made = rows_made(spark, lambda: found.update({r.node: r.root for r in simhash.components(edges).collect()}))
+    assert found == {**{k: 0 for k in range(n)}, 900: 900, 901: 900}
+    assert 0 < made <= 3 * n
