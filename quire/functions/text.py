@@ -86,9 +86,10 @@ def page_number(file: Column) -> Column:
 
 def tag_pages(text: Column, file: Column) -> Column:
     """Squeezed text in which each line but blank ones and headings begins with the page tag; unchanged when the file has no digits."""
-    squeezed = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, " {2,}", " "), "\n{2,}", "\n"), r"\.{4,}", "...")
+    squeezed = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "  +", " "), "\n\n+", "\n"), r"\.\.\.\.+", "...")
     number = F.regexp_extract(file, r"(\d+)", 1)
-    tagged = F.transform(F.split(squeezed, "\n"), lambda x: F.when(x.rlike(r"(?U)\A\s*(#|\z)"), x).otherwise(F.concat(F.lit("<"), number, F.lit("> "), x)))
+    begins = lambda x: F.ltrim(x, F.lit(WHITE_SPACE))
+    tagged = F.transform(F.split(squeezed, "\n"), lambda x: F.when((begins(x) == "") | begins(x).startswith("#"), x).otherwise(F.concat(F.lit("<"), number, F.lit("> "), x)))
     return F.when(number == "", text).otherwise(F.array_join(tagged, "\n"))
 
 
@@ -229,13 +230,19 @@ def table_body(text: Column) -> Column:
 
 
 def is_text_block(block: Column) -> Column:
-    return ~block.rlike(r"(?U)\A\s*(\||#|!\[|<img|\$\$)")
+    begins = F.ltrim(block, F.lit(WHITE_SPACE))
+    return ~(begins.startswith("|") | begins.startswith("#") | begins.startswith("![") | begins.startswith("<img") | begins.startswith("$$"))
 
 
 def is_unfinished(text: Column) -> Column:
     """Whether a text stops in mid-sentence."""
-    end = F.regexp_replace(stripped(text), r"[*_]+\z", "")
-    return (F.length(text) > 0) & (end.endswith("-") | ~end.rlike("[.!?»\":;]\\z"))
+    end = F.regexp_extract(F.reverse(text), r"(?sU)\A\s*+[*_]*+(.?)", 1)
+    return (text != "") & ~end.isin(*".!?»\":;")
+
+
+def last_word(text: Column, after: str) -> Column:
+    """The letters that stand last but for what the pattern of single signs takes; empty without any. Read from the end, so that words before are not tried."""
+    return F.reverse(F.regexp_extract(F.reverse(text), rf"\A{after}([а-яА-ЯёЁa-zA-Z]+)", 1))
 
 
 def is_continuation(previous: Column, text: Column) -> Column:
@@ -245,7 +252,7 @@ def is_continuation(previous: Column, text: Column) -> Column:
 
 def begins_with_particle(text: Column) -> Column:
     """Whether the first word is one that stays behind its hyphen."""
-    return F.lower(F.regexp_extract(stripped(text), r"\A([а-яА-ЯёЁa-zA-Z]+)", 1)).isin(PARTICLES)
+    return F.lower(F.regexp_extract(F.ltrim(text, F.lit(WHITE_SPACE)), r"\A([а-яА-ЯёЁa-zA-Z]+)", 1)).isin(PARTICLES)
 
 
 def hyphen_resolved(previous: Column, before_particle: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from quire.functions import text as T
 from quire.operators import hyphens
+from quire.sources.shared import computed
 
 INTRODUCTION = "Введение"  # fixed value: the name of a first chapter without a heading
 
@@ -34,7 +35,7 @@ def stitched(parts: DataFrame, words: DataFrame | None = None) -> DataFrame:
         *key, F.col("text").startswith("#").cast("int").alias("heading"), (F.col("marker") != "").alias("tagged"), T.is_text_block(F.col("text")).alias("is_text"),
         T.is_unfinished(piece).alias("unfinished"), ((F.col("rest") != "") & ~F.col("rest").startswith("#")).alias("can_join"),
         T.begins_with_particle(F.col("rest")).alias("particle"), T.stripped(F.col("text")).endswith("-").alias("hyphen"),
-        *([F.lower(F.regexp_extract("text", r"([а-яА-ЯёЁa-zA-Z]+)-\z", 1)).alias("before"), F.lower(F.regexp_extract("rest", r"\A([а-яА-ЯёЁa-zA-Z]+)", 1)).alias("begins")] if words is not None else []),
+        *([F.lower(F.when(F.col("text").endswith("-"), T.last_word(F.col("text"), "-")).otherwise("")).alias("before"), F.lower(F.regexp_extract("rest", r"\A([а-яА-ЯёЁa-zA-Z]+)", 1)).alias("begins")] if words is not None else []),
     )
     order = Window.partitionBy("book_name").orderBy("file", "block_no")
     numbered = flags.select("*", F.row_number().over(order).alias("n"), F.sum("heading").over(order).alias("part"))
@@ -47,10 +48,11 @@ def stitched(parts: DataFrame, words: DataFrame | None = None) -> DataFrame:
     joined = joined.withColumn("followed", F.lead(F.lit(True)).over(following)).withColumn("before_particle", F.lead("particle").over(following))
     joined = joined.withColumn("after_hyphen", F.lag("hyphen").over(following))
     if words is not None:
-        joined = joined.withColumn("after", F.lead("begins").over(following))
-        broken = joined.filter((F.col("before") != "") & (F.col("after") != ""))
-        # The joints of a book are few, and their spellings fewer.
-        joined = joined.join(hyphens.decisions(broken, words), ["before", "after"], "left").withColumn("before_particle", F.coalesce("keeps", F.lit(False)))
+        # Flags are compact and read twice, so they are computed once. Joints are few, their spellings fewer, and blocks without one meet no words.
+        joined = computed(joined.withColumn("after", F.coalesce(F.lead("begins").over(following), F.lit(""))).drop("before_particle"))
+        joint = (F.col("before") != "") & (F.col("after") != "")
+        decided = joined.filter(joint).join(hyphens.decisions(joined.filter(joint), words), ["before", "after"]).withColumnRenamed("keeps", "before_particle")
+        joined = decided.unionByName(joined.filter(~joint).withColumn("before_particle", F.lit(False)))
     joined = joined.select(*key, "n", "head", "joins", "followed", "before_particle", "after_hyphen")
     whole = tagged.join(joined, key)
     own = F.when(F.col("joins"), F.col("rest")).otherwise(F.col("text"))

@@ -13,8 +13,8 @@ LEAST = 2  # a word that occurs so often is known
 
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): the words of all texts, in lower case, with their inner hyphens. One that a hyphen ends may be broken and is not counted."""
-    words = F.filter(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD), F.lit(0)), lambda w: ~w.endswith("-"))
-    return texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD), F.lit(0))).alias("word"))
+    return words.filter(~F.col("word").endswith("-")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def known_words(texts: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:

@@ -1,11 +1,12 @@
 """Joins make rows in proportion to their input, however large a group of equal keys is."""
 
 import re
+import time
 
 import pytest
 
 from quire.llm import simhash
-from quire.operators import headings
+from quire.operators import chapters, headings
 
 
 def rows_made(spark, run, kind="Join"):
@@ -52,3 +53,13 @@ def test_components_of_a_group_found_in_many_cells_come_from_about_one_edge_a_no
     made = rows_made(spark, lambda: found.update({r.node: r.root for r in simhash.components(edges).collect()}))
     assert found == {**{k: 0 for k in range(n)}, 900: 900, 901: 900}
     assert 0 < made <= 3 * n
+
+
+def test_a_block_of_one_long_word_is_read_once_for_the_word_before_its_hyphen(spark):
+    long = "я" * 300_000
+    pages = spark.createDataFrame([("B", "1.md", f"<1> {long}"), ("B", "2.md", f"<2> {long} сло-"), ("B", "3.md", "<3> во.")], "book_name string, file string, text string")
+    words = spark.createDataFrame([("слово",)], "word string")
+    began = time.time()
+    found = [r.text for r in chapters.stitched(chapters.blocks(pages), words).collect()]
+    assert time.time() - began < 40
+    assert found == [f"<1> {long} <2> {long} сло<3>во."]
