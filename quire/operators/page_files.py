@@ -63,12 +63,15 @@ def is_table_part(line: Column) -> Column:
     return out
 
 
-def line_kind(line: Column) -> Column:
-    """c: has a caption, b: blank but for page tags, h: of an HTML table, p: pipe row, t: begins an HTML table, o: other."""
-    bare = T.stripped(T.without_page_tags(line))
-    return (
-        F.when(bare.rlike(CAPTION), "c").when(bare == "", "b").when(is_table_part(bare), "h").when(bare.startswith("|"), "p").when(bare.startswith("<table"), "t").otherwise("o")
-    )
+def line_kinds(lines: Column) -> Column:
+    """A sign for each line: c: has a caption, b: blank but for page tags, h: of an HTML table, p: pipe row, t: begins an HTML table, o: other."""
+
+    def kind(bare: Column) -> Column:
+        return (
+            F.when(bare.rlike(CAPTION), "c").when(bare == "", "b").when(is_table_part(bare), "h").when(bare.startswith("|"), "p").when(bare.startswith("<table"), "t").otherwise("o")
+        )
+
+    return F.array_join(F.transform(F.transform(lines, lambda x: T.stripped(T.without_page_tags(x))), kind), "")
 
 
 def last_lines(text: Column, n: int) -> Column:
@@ -77,21 +80,23 @@ def last_lines(text: Column, n: int) -> Column:
     return F.reverse(F.slice(lines, F.greatest(F.size(lines) - (n - 1), F.lit(1)), F.lit(n)))
 
 
-def caption_above(text: Column, start: Column) -> Column:
-    """The caption lines right above a place, blank lines and the rest of an earlier table between, with the lines that run into them; else empty."""
-    lines = last_lines(F.regexp_replace(F.substr(text, F.lit(1), start), r"(?U)\s+\z", ""), CAPTION_LINES)
-    kinds = F.array_join(F.transform(lines, line_kind), "")
+def caption_above(lines: Column, kinds: Column) -> Column:
+    """The caption lines right above a place, blank lines and the rest of an earlier table between, with the lines that run into them; else null. lines has
+    the last ones above, the lowest first, and kinds their line_kinds()."""
     skipped, taken = F.length(F.regexp_extract(kinds, r"\A([bh]*)c", 1)), F.length(F.regexp_extract(kinds, r"\A[bh]*(c[co]*)", 1))
-    said = lambda x: F.when(line_kind(x) == "c", F.regexp_extract(T.stripped(T.without_page_tags(x)), CAPTION, 0)).otherwise(T.stripped(x))
-    return F.when(taken > 0, F.array_join(F.reverse(F.transform(F.slice(lines, skipped + 1, taken), said)), "\n")).otherwise("")
+    bare = lambda x: T.stripped(T.without_page_tags(x))
+    said = lambda x: F.when(bare(x).rlike(CAPTION), F.regexp_extract(bare(x), CAPTION, 0)).otherwise(T.stripped(x))
+    return F.when(taken > 0, F.nullif(F.array_join(F.reverse(F.transform(F.slice(lines, skipped + 1, taken), said)), "\n"), F.lit("")))
+
+
+def last_paragraph(above: Column) -> Column:
+    return T.stripped(F.element_at(F.split(above, r"(?U)\n\s*\n"), -1))
 
 
-def paragraph_above(text: Column, start: Column) -> Column:
-    """The last paragraph above a place; of one over PARAGRAPH characters its last line."""
-    before = F.regexp_replace(F.substr(text, F.lit(1), start), r"(?U)\s+\z", "")
-    last = T.stripped(F.element_at(F.split(before, r"(?U)\n\s*\n"), -1))
-    line = F.coalesce(F.nullif(T.stripped(F.substring_index(last, "\n", -1)), F.lit("")), F.concat(F.lit("..."), T.stripped(F.right(last, F.lit(LAST_PART)))))
-    return F.when(F.length(last) > PARAGRAPH, line).otherwise(last)
+def shortened(paragraph: Column) -> Column:
+    """A paragraph; of one over PARAGRAPH characters its last line."""
+    line = F.coalesce(F.nullif(T.stripped(F.substring_index(paragraph, "\n", -1)), F.lit("")), F.concat(F.lit("..."), T.stripped(F.right(paragraph, F.lit(LAST_PART)))))
+    return F.when(F.length(paragraph) > PARAGRAPH, line).otherwise(paragraph)
 
 
 def page_tables(pages: DataFrame) -> DataFrame:
@@ -100,9 +105,13 @@ def page_tables(pages: DataFrame) -> DataFrame:
     The caption is the table's own, else that of the lines above, else the paragraph above. A page without tables gives no rows.
     """
     each = pages.withColumn("_t", tables_in_page(F.col("text"))).select("book_name", "file", "text", F.size("_t").alias("total"), F.posexplode("_t").alias("idx", "t"))
-    start = F.col("t.start")
-    given = F.coalesce(F.nullif(F.col("t.inner"), F.lit("")), F.nullif(caption_above(F.col("text"), start), F.lit("")), paragraph_above(F.col("text"), start))
-    return each.select("book_name", "file", "idx", "total", "t.type", given.alias("caption"), "t.body", "t.start", "t.end")
+    # Each step is a column, so that it is computed once a table however often the next one names it.
+    above = F.rtrim(F.substr(F.col("text"), F.lit(1), F.col("t.start")), F.lit(T.WHITE_SPACE))
+    each = each.select("book_name", "file", "idx", "total", "t", above.alias("above")).withColumn("lines", last_lines(F.substring_index("above", "\n", -CAPTION_LINES), CAPTION_LINES))
+    each = each.withColumn("kinds", line_kinds(F.col("lines")))
+    each = each.withColumn("said", F.coalesce(F.nullif(F.col("t.inner"), F.lit("")), caption_above(F.col("lines"), F.col("kinds"))))
+    each = each.withColumn("last", F.when(F.col("said").isNull(), last_paragraph(F.col("above"))))
+    return each.select("book_name", "file", "idx", "total", "t.type", F.coalesce("said", shortened(F.col("last"))).alias("caption"), "t.body", "t.start", "t.end")
 
 
 def stem(file: Column) -> Column:
@@ -120,7 +129,7 @@ def removal_range(text: Column, start: Column, end: Column) -> Column:
     """struct(start, end): a table's span with the captions above it and the notes below it."""
     before = F.substr(text, F.lit(1), start)
     lines = F.split(before, "\n")
-    kinds = F.array_join(F.transform(last_lines(before, REMOVED_LINES), line_kind), "")
+    kinds = line_kinds(last_lines(before, REMOVED_LINES))
     above = F.length(F.regexp_extract(kinds, r"\A([bh]*c(?:[coth]*[cot])?)", 1))
     kept = F.size(lines) - above
     first = F.when(above > 0, F.length(F.array_join(F.slice(lines, 1, kept), "\n")) + F.when(kept > 0, 1).otherwise(0)).otherwise(start)

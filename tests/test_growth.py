@@ -6,7 +6,7 @@ import time
 import pytest
 
 from quire.llm import simhash
-from quire.operators import chapters, headings
+from quire.operators import chapters, headings, page_files
 from quire.queries import QUERIES
 
 
@@ -73,3 +73,12 @@ def test_a_line_of_one_long_word_is_read_once_for_the_word_that_may_be_broken(sp
     found = {(r.before, r.after, r.keeps) for r in QUERIES["hyphen_words"](spark, str(tmp_path)).collect()}
     assert time.time() - began < 40
     assert ("сло", "во", False) in found
+
+
+def test_white_space_above_a_table_is_read_once(spark):
+    text = "a" + " " * 300_000 + "b\n| x | y |\n|---|---|\n| 1 | 2 |"
+    pages = spark.createDataFrame([("B", "1.md", text)], "book_name string, file string, text string")
+    began = time.time()
+    (row,) = page_files.page_tables(pages).collect()
+    assert time.time() - began < 40
+    assert row.caption == "a" + " " * 300_000 + "b"  # one line, the last of a long paragraph
