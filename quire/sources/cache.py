@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.sources import store
+from quire.sources.shared import computed
 
 MANIFEST = "path string, bytes long, modified timestamp, sha256 string, fetched_at timestamp"
 OBJECTS = "sha256 string, content binary"
@@ -59,6 +60,7 @@ def filled(listed: DataFrame, cache: str, root: str, **options: str) -> int:
 
 def read_through(listed: DataFrame, cache: str, root: str, **options: str) -> DataFrame:
     """listed with sha256 and content, from the cache, after what it misses was fetched."""
+    listed = computed(listed)  # the store's folders are listed once
     filled(listed, cache, root, **options)
     spark = listed.sparkSession
     latest = Window.partitionBy("path", "bytes", "modified").orderBy(F.desc("fetched_at"), "sha256")

@@ -5,6 +5,7 @@
 
 The driver lists the folders of the first level alone; each partition lists its books, and filters on book, stage and extension leave out books and files
 before anything is read. A write stages the files of each task aside and moves them when all tasks are done, so a failed write leaves the store as it was.
+write() moves them by tasks; the sink alone has no tasks left by then, and the driver moves them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, IsNotNull, StringEndsWith, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from quire.sources.shared import computed
+
 LISTED = "path string, book_name string, stage string, file string, stem string, extension string, bytes long, modified timestamp"
 STAGING = "_staging"
 PARTITIONS = 64
@@ -46,6 +49,7 @@ class FolderStore:
             self.fs, self.root = pafs.FileSystem.from_uri(root)
         else:
             self.fs, self.root = pafs.LocalFileSystem(), os.path.abspath(root)
+        self.made: set[str] = set()  # folders that this object has made
 
     def at(self, path: str) -> str:
         return posixpath.join(self.root, path) if path else self.root
@@ -57,8 +61,10 @@ class FolderStore:
 
     def files(self, folder: str, deep: bool = True) -> Iterator[Entry]:
         found = self.fs.get_file_info(pafs.FileSelector(self.at(folder), recursive=deep, allow_not_found=True))
+        top = self.root.rstrip("/") + "/"
         for f in sorted((f for f in found if f.type == pafs.FileType.File), key=lambda f: f.path):
-            yield Entry(posixpath.relpath(f.path, self.root), f.size, f.mtime or datetime.fromtimestamp(0, timezone.utc))
+            path = f.path[len(top) :] if f.path.startswith(top) else posixpath.relpath(f.path, self.root)
+            yield Entry(path, f.size, f.mtime or datetime.fromtimestamp(0, timezone.utc))
 
     def get(self, path: str) -> bytes:
         with self.fs.open_input_stream(self.at(path)) as stream:
@@ -68,12 +74,19 @@ class FolderStore:
         return self.fs.get_file_info(self.at(path)).type == pafs.FileType.File
 
     def put(self, path: str, content: bytes) -> None:
-        self.fs.create_dir(posixpath.dirname(self.at(path)), recursive=True)
+        self.make_folder(path)
         with self.fs.open_output_stream(self.at(path)) as stream:
             stream.write(content)
 
+    def make_folder(self, path: str) -> None:
+        """Makes the folder of a file."""
+        folder = posixpath.dirname(self.at(path))
+        if folder not in self.made:
+            self.fs.create_dir(folder, recursive=True)
+            self.made.add(folder)
+
     def move(self, source: str, target: str) -> None:
-        self.fs.create_dir(posixpath.dirname(self.at(target)), recursive=True)
+        self.make_folder(target)
         if self.has(target):
             self.remove(target)
         self.fs.move(self.at(source), self.at(target))
@@ -161,6 +174,13 @@ class Staged(WriterCommitMessage):
     files: int
 
 
+def stage(store, folder: str, path: str | None, content: bytes | None) -> None:
+    """Puts a file below a folder of staged ones."""
+    if path is None or content is None or posixpath.normpath(path) != path or path.startswith(("/", "../", "_", ".")):
+        raise ValueError(f"a row without content, or a path that is no path below the root: {path!r}")
+    store.put(f"{folder}/{path}", bytes(content))
+
+
 class StoreWriter(DataSourceWriter):
     def __init__(self, options: dict[str, str], schema: StructType, overwrite: bool) -> None:
         if not {"path", "content"} <= set(schema.names):
@@ -171,9 +191,7 @@ class StoreWriter(DataSourceWriter):
         """Each attempt of a task has a folder of its own, so that one that is repeated or lost is never mixed with another."""
         store, folder, seen = opened(self.options), f"{self.run}/{uuid.uuid4().hex}", 0
         for row in iterator:
-            if row.path is None or row.content is None or posixpath.normpath(row.path) != row.path or row.path.startswith(("/", "../", "_", ".")):
-                raise ValueError(f"a row without content, or a path that is no path below the root: {row.path!r}")
-            store.put(f"{folder}/{row.path}", bytes(row.content))
+            stage(store, folder, row.path, row.content)
             seen += 1
         return Staged(folder, seen)
 
@@ -262,16 +280,55 @@ def fetched(listed: DataFrame, root: str, partitions: int = PARTITIONS, **option
 def write(files: DataFrame, root: str, overwrite: bool = False, **options: str) -> None:
     """Stores files (path, content): all of them or, if a task fails for good or two rows have one path, none. Files of the same paths are replaced; with
     overwrite all others go."""
-    register(files.sparkSession)
-    files.select("path", "content").write.format("store").mode("overwrite" if overwrite else "append").options(**located(root, options)).save()
+    given, run = located(root, options), f"{STAGING}/{uuid.uuid4().hex}"
+
+    def staged(batches):
+        """(path, staged): each attempt of a task has a folder of its own, so that one that is repeated or lost is never mixed with another."""
+        import pyarrow as pa
+
+        store, folder = opened(given), f"{run}/{uuid.uuid4().hex}"
+        for batch in batches:
+            paths, contents = batch.column(0), batch.column(1)
+            for at in range(batch.num_rows):
+                stage(store, folder, paths[at].as_py(), contents[at].as_py())
+            yield pa.RecordBatch.from_arrays([paths, pa.array([f"{folder}/{p}" for p in paths.to_pylist()], pa.string())], names=["path", "staged"])
+
+    def moved(batches):
+        store = opened(given)
+        for batch in batches:
+            for target, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if store.has(source):
+                    store.move(source, target)
+                elif not store.has(target):  # an attempt before this one may have moved it
+                    raise FileNotFoundError(f"a staged file is missing: {source}")
+            yield batch
+
+    def removed(batches):
+        store = opened(given)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                if store.has(path):
+                    store.remove(path)
+            yield batch
+
+    try:
+        names = computed(files.select("path", "content").mapInArrow(staged, "path string, staged string"))
+        twice = names.groupBy("path").count().filter("count > 1").first()
+        if twice:
+            raise ValueError(f"two rows have the path {twice.path}")
+        names.repartition(PARTITIONS, "path").mapInArrow(moved, names.schema).count()
+        if overwrite:
+            old = listing(files.sparkSession, root, **options).filter("book_name is not null").select("path")
+            missing(old, names).mapInArrow(removed, old.schema).count()
+    finally:
+        opened(given).remove_folder(run)
 
 
 def copied(spark: SparkSession, source: dict[str, str], target: dict[str, str], only: Column | None = None) -> None:
     """Files of one store written to another: source and target are the options of each, root among them."""
     register(spark)
     found = spark.read.format("store").options(**source).load()
-    files = (found.filter(only) if only is not None else found).select("path", "content")
-    files.write.format("store").mode("append").options(**target).save()
+    write(found.filter(only) if only is not None else found, **target)
 
 
 def saved(files: DataFrame, cache: str, remote: dict[str, str] | None = None) -> None:
@@ -280,7 +337,7 @@ def saved(files: DataFrame, cache: str, remote: dict[str, str] | None = None) ->
     if remote:
         written = files.select("path")
         held = listing(files.sparkSession, cache).join(written, "path", "left_semi")
-        fetched(held, cache).select("path", "content").write.format("store").mode("append").options(**remote).save()
+        write(fetched(held, cache), **remote)
 
 
 def tidied(root: str, older: float = 86_400.0, **options: str) -> int:

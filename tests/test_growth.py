@@ -1,5 +1,6 @@
 """Joins make rows in proportion to their input, however large a group of equal keys is."""
 
+import os
 import re
 import time
 
@@ -8,6 +9,7 @@ import pytest
 from quire.llm import simhash
 from quire.operators import chapters, headings, page_files
 from quire.queries import QUERIES
+from quire.sources import store
 
 
 def rows_made(spark, run, kind="Join"):
@@ -82,3 +84,26 @@ def test_white_space_above_a_table_is_read_once(spark):
     (row,) = page_files.page_tables(pages).collect()
     assert time.time() - began < 40
     assert row.caption == "a" + " " * 300_000 + "b"  # one line, the last of a long paragraph
+
+
+class Movers(store.FolderStore):
+    """A folder that notes which process moved a file."""
+
+    def __init__(self, options):
+        super().__init__(options)
+        self.log = options["log"]
+
+    def move(self, source, target):
+        with open(f"{self.log}/{os.getpid()}", "a") as f:
+            f.write("x")
+        super().move(source, target)
+
+
+def test_staged_files_are_moved_by_many_tasks(spark, tmp_path):
+    root, log = str(tmp_path / "books"), tmp_path / "log"
+    log.mkdir()
+    files = spark.range(400).selectExpr("concat('B/md/', id, '.md') as path", "encode(cast(id as string), 'UTF-8') as content")
+    store.write(files, root, log=str(log), **{"class": "tests.test_growth:Movers"})
+    moves = [p.stat().st_size for p in log.iterdir()]
+    assert sum(moves) == 400 and len(moves) > 1
+    assert {r.path: bytes(r.content) for r in store.contents(spark, root).collect()} == {f"B/md/{i}.md": str(i).encode() for i in range(400)}
